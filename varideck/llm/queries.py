@@ -10,8 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_orc
-from .common import fresh_path, map_batches, small_batches, table
+from . import bpe, minhash, token_orc, topk, warc
+from .common import fresh_path, map_batches, small_batches, stored, table
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages say, read back."""
+    path = fresh_path(spark, "warc")
+    manifest = warc.write_warc(warc.with_record_types(table(spark, sf_dir, "pages", "page_id", "url", "html")), path)
+    found = warc.resolve_revisits(stored(warc.read_warc(spark, path, manifest), "warc-records"))
+    return found.withColumnRenamed("key", "page_id")
 
 
 def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +30,17 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_starts(token_orc.read_token_orc(spark, path))
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, on two-word shingles."""
+    small_batches(spark)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), words=2)
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector against all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each document's ids and of the text they decode to, both from one pass of the codec."""
     small_batches(spark)
@@ -45,9 +64,46 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_batches(table(spark, sf_dir, "documents", "doc_id", "text"), make, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+#: Records of equal payloads of at least 100 bytes: the smallest page_id is the response.
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first < page_id THEN first END AS refers_to
+FROM f
+"""
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN [words[1]]
+    ELSE list_distinct(list_transform(generate_series(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1])) END AS grams FROM w),
+g AS (SELECT doc_id, CAST(len(grams) AS BIGINT) AS n, unnest(grams) AS gram FROM s),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM o WHERE 100 * c >= 80 * (na + nb - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict:
-    return {"op3_token_orc": op3_token_orc, "op10_bpe": op10_bpe}
+    return {"op2_warc": op2_warc, "op3_token_orc": op3_token_orc, "op6_minhash": op6_minhash, "op8_topk": op8_topk, "op10_bpe": op10_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": OP2_SQL, "op6_minhash": OP6_SQL, "op8_topk": OP8_SQL}
