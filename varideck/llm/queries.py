@@ -10,10 +10,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, token_orc, topk, warc
+from . import bpe, minhash, pii, quality, suffixes, token_orc, topk, warc
 from .common import fresh_path, map_batches, small_batches, stored, table
 
 
+#: Documents with a lower score are junk.
+KEEP = 0.7
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scores = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality")))
+    return scores.select("doc_id", F.coalesce(quality.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= KEEP).cast("int").alias("predicted"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archives of all pages say, read back."""
     path = fresh_path(spark, "warc")
@@ -30,6 +42,17 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_starts(token_orc.read_token_orc(spark, path))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of the personal data in every document."""
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s.base)
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    counts = [F.size(F.filter("spans", lambda s, kind=kind: s.base & (s.kind == kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, on two-word shingles."""
     small_batches(spark)
@@ -41,6 +64,11 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0)
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 400-byte strings that occur twice."""
+    return suffixes.without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), digests=True)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each document's ids and of the text they decode to, both from one pass of the codec."""
     small_batches(spark)
@@ -102,7 +130,16 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 
 def queries() -> dict:
-    return {"op2_warc": op2_warc, "op3_token_orc": op3_token_orc, "op6_minhash": op6_minhash, "op8_topk": op8_topk, "op10_bpe": op10_bpe}
+    return {
+        "op1_quality": op1_quality,
+        "op2_warc": op2_warc,
+        "op3_token_orc": op3_token_orc,
+        "op5_pii": op5_pii,
+        "op6_minhash": op6_minhash,
+        "op8_topk": op8_topk,
+        "op9_suffixes": op9_suffixes,
+        "op10_bpe": op10_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
