@@ -49,7 +49,8 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(docs, pii.fit(docs))
     base = F.filter("spans", lambda s: s.base)
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s.base & (s.kind == kind))).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
+    of_kind = lambda kind: F.filter("spans", lambda s: s.base & (s.kind == kind))
+    counts = [F.size(of_kind(kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
