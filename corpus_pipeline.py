@@ -2,11 +2,57 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from varideck.llm.common import stored
+from varideck.llm import bpe, lsa, minhash, pii, quality
+from varideck.llm.common import small_batches, stored, table
 
-STAGES: list = []
+#: A document with a lower quality score goes.
+KEEP = 0.7
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject."""
+    small_batches(spark)
+    model = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.with_score(docs, model, out="_score").filter(F.col("_score") >= KEEP).drop("_score")
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near-duplicates, on five-word shingles at 0.8."""
+    small_batches(spark)
+    gone = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, percent=80).filter("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    small_batches(spark)
+    flagged = lsa.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")).filter("contaminated").select("doc_id")
+    return docs.join(stored(flagged, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by the name of its kind."""
+    small_batches(spark)
+    return pii.redacted(docs, pii.fit(docs)).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids and their number for all documents."""
+    small_batches(spark)
+    return bpe.bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near-dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("bpe", bpe_stage),
+]
 
 #: The trained classifier, the sketches and the latent space aren't SQL-expressible; tests hold the stages against brute force.
 ORACLE_SQL = None

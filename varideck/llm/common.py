@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -125,11 +126,16 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each run of bytes that aren't ASCII white space, and the number of such words before each
+#: White space and ASCII punctuation.
+MARKS = SPACES.copy()
+MARKS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
+def words_of(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes outside `gaps` (ASCII white space), and the number of such words before each
     document's start (one more entry than documents). Words don't cross documents."""
     solid = np.zeros(len(raw) + 2, bool)
-    solid[1:-1] = ~SPACES[raw]
+    solid[1:-1] = ~gaps[raw]
     first = solid[1:-1] & ~solid[:-2]
     last = solid[1:-1] & ~solid[2:]
     inner = offsets[1:-1]

@@ -285,6 +285,24 @@ def find_personal_data(df: DataFrame, model: SemiMarkov, key: str = "doc_id", te
     return map_batches(df.select(key, text), make, f"`{key}` {df.schema[key].dataType.simpleString()}, spans {SPANS}" + ", redacted string" * redacted)
 
 
+def redacted(docs: DataFrame, model: SemiMarkov, text: str = "text") -> DataFrame:
+    """docs with each span in the text replaced by <KIND>; a null text stays null."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def make():
+        here = shared.value
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = [redact(x, all_spans(x, here)) if x and SPOT.search(x) else x for x in batch.column(at).to_pylist()]
+            columns = [*batch.columns]
+            columns[at] = pa.array(texts, pa.string())
+            return pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+        return work
+
+    return map_batches(docs, make, docs.schema)
+
+
 def redact(text: str, spans: list[tuple[str, int, int, bool]]) -> str:
     """The text with each stretch of overlapping spans replaced by the name of the kind that begins it."""
     parts, at = [], 0

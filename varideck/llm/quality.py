@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import RollingHash, map_batches, mixed, text_bytes, words_of
 
@@ -134,3 +135,22 @@ def score(docs: DataFrame, model: QualityModel, key: str = "doc_id", text: str =
         return work
 
     return map_batches(docs.select(key, text), make, f"`{key}` {docs.schema[key].dataType.simpleString()}, score double")
+
+
+def with_score(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
+    """docs as they are, and the score of each row; a column that has the name already raises ValueError."""
+    if out in docs.columns:
+        raise ValueError(f"docs has a column {out} already")
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def make():
+        here = shared.value
+        features = Features(here.bits)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            scores = [here.scores(batch.column(at).slice(i, 128), features) for i in range(0, batch.num_rows, 128)]
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores))], [*batch.schema.names, out])
+
+        return work
+
+    return map_batches(docs, make, StructType([*docs.schema.fields, StructField(out, DoubleType())]))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, pii, quality, suffixes, token_orc, topk, warc
+from . import bpe, lsa, minhash, pii, quality, suffixes, token_orc, toolcalls, topk, warc
 from .common import fresh_path, map_batches, small_batches, stored, table
 
 
@@ -42,6 +42,12 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_starts(token_orc.read_token_orc(spark, path))
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linked, ordered and checked tool calls of every conversation."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return toolcalls.link_tool_calls(*toolcalls.from_conversations(turns), toolcalls.own_tools(spark))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digests of the personal data in every document."""
     small_batches(spark)
@@ -60,6 +66,12 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), words=2)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items found in every document."""
+    small_batches(spark)
+    return lsa.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every 20th vector against all others."""
     return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0)
@@ -104,6 +116,33 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+#: Calls and results derived from the turns, linked by identifier, levelled by recursion, checked and written as JSON.
+OP4_SQL = """
+WITH RECURSIVE u AS (
+  SELECT conv_id, turn, conv_id || '-' || turn AS call_id, ['search', 'lookup', 'report'][CAST(turn % 3 AS INTEGER) + 1] AS name, coalesce(text, '') AS query,
+    CASE WHEN turn >= 2 THEN conv_id || '-' || CAST(CAST(floor((turn - 2) / 4) AS BIGINT) * 2 + turn % 2 AS BIGINT) END AS needs
+  FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, min(turn) AS turn, count(*) AS n, arg_min(text, turn) AS content FROM conversations WHERE role = 'assistant' GROUP BY 1, 2),
+l AS (
+  SELECT u.call_id, u.conv_id, 0 AS level FROM u LEFT JOIN u p ON p.conv_id = u.conv_id AND p.call_id = u.needs WHERE p.call_id IS NULL
+  UNION ALL SELECT u.call_id, u.conv_id, l.level + 1 FROM u JOIN l ON u.conv_id = l.conv_id AND u.needs = l.call_id),
+e AS (
+  SELECT u.conv_id, u.turn, u.call_id, u.name, u.query, a.content, coalesce(a.n, 0) AS n, l.level,
+    list_filter(list_sort(list_filter([
+      CASE WHEN u.conv_id % 13 = 0 AND u.name <> 'report' THEN 'missing query' END,
+      CASE WHEN u.conv_id % 11 = 0 THEN 'wrong type limit' END,
+      CASE WHEN u.conv_id % 17 = 0 AND u.name <> 'report' THEN 'unexpected debug' END], lambda x: x IS NOT NULL)) ||
+      [CASE WHEN u.needs IS NOT NULL AND p.call_id IS NULL THEN 'no call ' || u.needs END], lambda x: x IS NOT NULL) AS errors
+  FROM u JOIN l USING (conv_id, call_id) LEFT JOIN a USING (conv_id, call_id) LEFT JOIN u p ON p.conv_id = u.conv_id AND p.call_id = u.needs)
+SELECT conv_id, call_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, call_id) - 1 AS BIGINT) AS position, CAST(level AS INTEGER) AS level,
+  CASE WHEN n > 1 THEN 'ambiguous' WHEN n = 0 THEN 'missing_result' WHEN len(errors) > 0 THEN 'invalid' ELSE 'ok' END AS status,
+  array_to_string(errors, '; ') AS errors,
+  '{"arguments":{' || CASE WHEN conv_id % 17 = 0 THEN '"debug":true,' ELSE '' END || '"limit":' || CASE WHEN conv_id % 11 = 0 THEN '"' || turn || '"' ELSE CAST(turn AS VARCHAR) END ||
+    CASE WHEN conv_id % 13 <> 0 THEN ',"query":' || to_json(query) ELSE '' END || '},"call_id":"' || call_id || '","name":"' || name || '"' ||
+    CASE WHEN content IS NOT NULL THEN ',"result":' || to_json(content) ELSE '' END || '}' AS json
+FROM e
+"""
+
 OP6_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
@@ -135,8 +174,10 @@ def queries() -> dict:
         "op1_quality": op1_quality,
         "op2_warc": op2_warc,
         "op3_token_orc": op3_token_orc,
+        "op4_tool_calls": op4_tool_calls,
         "op5_pii": op5_pii,
         "op6_minhash": op6_minhash,
+        "op7_decontamination": op7_decontamination,
         "op8_topk": op8_topk,
         "op9_suffixes": op9_suffixes,
         "op10_bpe": op10_bpe,
@@ -144,4 +185,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op6_minhash": OP6_SQL, "op8_topk": OP8_SQL}
+    return {"op2_warc": OP2_SQL, "op4_tool_calls": OP4_SQL, "op6_minhash": OP6_SQL, "op8_topk": OP8_SQL}
