@@ -2,13 +2,15 @@
 
 A document's set holds the 64-bit hashes of its distinct shingles; its sketch is the k least of them. Documents with equal sets form
 one class at once. Classes meet through inverted lists of retained values: two sets with the asked similarity share at least t of
-their retained values (exactly so while the sketch is the whole set, else but for one case in 10^9), so each class enters only the
+their retained values (exactly so while the sketch is the whole set, else but for one case in 10^6 at the very bound), so each class enters only the
 lists of its |sketch| - t + 1 rarest values; frequent values are never expanded. Pairs pass the size bound, then the estimate from
 the sketch of the union, then the exact similarity on the full sets.
 
-Long lists aren't expanded into all pairs at once: first every class meets its list's least class; after the verified links are
-merged into components, only pairs of a list whose components still differ are compared. So no link between components is lost, and
-large groups of near copies cost rows in proportion to their size.
+Long lists aren't expanded into all pairs at once: first every class meets the class of its list with the fewest values of its own
+(of a group of copies, the one that the others were made from or the nearest to it); after the verified links are merged into
+components, only pairs of a list whose components still differ, and whose sizes and own values allow a link, are compared; within
+a large group that is done in blocks of sketches, the few classes outside its component against all. So no link between components
+is lost, and large groups of near copies cost rows about in proportion to their size.
 
 Defined cases: a document without words (null, empty) has an empty set and links with nothing; one with fewer words than a shingle
 has one shingle, its whole sequence; rows that share an id count as linked; a row with a null id takes part through its set but is
@@ -17,18 +19,19 @@ always kept; empty tables give empty ones; other columns are dropped, whatever t
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, RollingHash, map_batches, mixed, stored, text_bytes, words_of
 from .components import connected_components
 
 #: Estimates below the asked similarity by this many deviations are dropped before the exact check.
-DEVIATIONS = 6.5
+DEVIATIONS = 4.8
 
 
 def shingle_sets(column: pa.Array, words: int, rolling: RollingHash) -> list[np.ndarray]:
@@ -57,7 +60,7 @@ def shingle_sets(column: pa.Array, words: int, rolling: RollingHash) -> list[np.
     return out
 
 
-def least_shared(k: int, similarity: float, error: float = 1e-9) -> int:
+def least_shared(k: int, similarity: float, error: float = 1e-6) -> int:
     """The largest t such that at least t of k retained values are shared, but for a chance of `error`, at this similarity."""
     tail, t = 0.0, 0
     while t < k:
@@ -68,8 +71,8 @@ def least_shared(k: int, similarity: float, error: float = 1e-9) -> int:
     return max(1, t)
 
 
-def sketches(df: DataFrame, key: str, text: str, words: int, k: int) -> DataFrame:
-    """key, n (size of the set), d1, d2 (digest of the set), sketch (its k least hashes, sorted)."""
+def sketches(df: DataFrame, key: str, text: str, words: int, k: int, most: int) -> DataFrame:
+    """key, n (size of the set), d1, d2 (digest of the set), sketch (its k least hashes, sorted; a set up to `most` is kept whole)."""
 
     def make():
         rolling = RollingHash(7)
@@ -79,7 +82,7 @@ def sketches(df: DataFrame, key: str, text: str, words: int, k: int) -> DataFram
             n = np.fromiter(map(len, sets), np.int64, len(sets))
             with np.errstate(over="ignore"):
                 digests = [np.array([mixed(x + np.uint64(salt)).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64) for salt in (11, 1 << 40)]
-            low = [x[:k] for x in sets]
+            low = [x if len(x) <= most else x[:k] for x in sets]
             at = np.cumsum([0, *map(len, low)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(low).view(np.int64)))
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *map(pa.array, digests), lists], ["key", "n", "d1", "d2", "sketch"])
@@ -105,63 +108,154 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
     return map_batches(df.select("key", "text"), make, "key bigint, shingles array<bigint>")
 
 
-def rare_entries(classes: DataFrame, k: int, similarity: float) -> DataFrame:
-    """value, key, n: each class (key, n, sketch) in the inverted lists of its rarest retained values that others retain too."""
-    entries = classes.select("key", "n", F.explode("sketch").alias("value"))
-    lists = entries.groupBy("value").agg(F.count(F.lit(1)).alias("_lists")).filter("_lists > 1")
-    shared = entries.join(lists, "value")
-    t = F.when(F.col("n") <= int(similarity * k), F.ceil(F.col("n") * F.lit(round(similarity * 100)) / 100)).otherwise(least_shared(k, similarity))
+def whole_below(k: int, similarity: float) -> int:
+    """Sets up to this size are retained whole: partners of sets up to k / similarity are never sketched on one side alone."""
+    return int(3.2 * k)
+
+
+def rare_entries(classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """value, key, n, own, whole: each class (key, n, sketch) in the inverted lists of its rarest retained values that others retain
+    too; own: how many of its values no other class retains.
+
+    Sets of at most whole_below values meet by all their values (whole), larger ones and those that can match larger ones by their
+    k least values; each kind has lists of its own, so every pair that can reach the similarity meets in one kind."""
+    p, most = percent / 100, whole_below(k, percent / 100)
+    kinds = [
+        (F.col("n") <= most, F.lit(True), F.col("sketch")),
+        (F.col("n") >= int(p * most), F.lit(False), F.slice("sketch", 1, k)),
+    ]
+    entries = None
+    for where, whole, values in kinds:
+        some = classes.filter(where).select("key", "n", whole.alias("whole"), F.explode(values).alias("value"))
+        entries = some if entries is None else entries.union(some)
+    lists = entries.groupBy("value", "whole").agg(F.count(F.lit(1)).alias("_lists")).filter("_lists > 1")
+    held = F.when(F.col("whole"), F.col("n")).otherwise(F.lit(k))
+    t = F.when(F.col("whole"), F.ceil(F.col("n") * percent / 100)).otherwise(least_shared(k, p))
+    own = held - F.size("_all")
     # Values that no other class retains are the rarest; they use up places of the prefix without needing a list.
-    places = F.least("n", F.lit(k)) - t + 1 - (F.least("n", F.lit(k)) - F.size("_all"))
-    chosen = shared.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("_lists", "value"))).alias("_all"))
-    return chosen.select("key", "n", F.explode(F.slice("_all", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))).alias("_e")).select(F.col("_e.value").alias("value"), "key", "n")
+    places = held - t + 1 - own
+    chosen = entries.join(lists, ["value", "whole"]).groupBy("key", "n", "whole").agg(F.array_sort(F.collect_list(F.struct("_lists", "value"))).alias("_all"))
+    chosen = chosen.withColumn("own", own.cast("bigint")).withColumn("_places", places.cast("int")).filter("_places > 0")
+    return chosen.select("key", "n", "own", "whole", F.explode(F.slice("_all", F.lit(1), F.col("_places"))).alias("_e")).select(F.col("_e.value").alias("value"), "key", "n", "own", "whole")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 |A and B| >= percent |A or B|."""
-    side = lambda x: classes.select(F.col("key").alias(x), F.col("sketch").alias(f"s{x}"))
+    side = lambda x: classes.select(F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
     seen = pairs.join(side("a"), "a").join(side("b"), "b")
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
-    both = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-    size = F.size(union)
     p = percent / 100
-    slack = F.when((F.size("sa") < k) & (F.size("sb") < k), 0.0).otherwise(DEVIATIONS * (p * (1 - p)) ** 0.5 / F.sqrt(size))
-    likely = stored(seen.filter(both / size >= p - slack - 1e-9).select("a", "b"), "likely-pairs")
-    needed = likely.select(F.col("a").alias("key")).union(likely.select(F.col("b").alias("key"))).distinct()
+    both_whole = F.greatest("na", "nb") <= whole_below(k, p)
+    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
+    shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
+    slack = DEVIATIONS * (p * (1 - p)) ** 0.5 / F.sqrt(F.size(union))
+    inter = F.size(F.array_intersect("sa", "sb"))
+    exact = 100 * inter >= percent * (F.col("na") + F.col("nb") - inter)
+    likely = stored(seen.filter(F.when(both_whole, exact).otherwise(shared / F.size(union) >= p - slack)).select("a", "b", both_whole.alias("sure")), "likely-pairs")
+    open_ = likely.filter("not sure").select("a", "b")
+    needed = open_.select(F.col("a").alias("key")).union(open_.select(F.col("b").alias("key"))).distinct()
     sets = full_sets(texts.join(needed, "key", "left_semi"), words)
     sets = stored(sets.dropDuplicates(["key"]), "full-sets")
-    joined = likely.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("xa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("xb")), "b")
+    joined = open_.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("xa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("xb")), "b")
     inter = F.size(F.array_intersect("xa", "xb"))
-    return stored(joined.filter(100 * inter >= percent * (F.size("xa") + F.size("xb") - inter)).select("a", "b"), "verified-pairs")
+    found = joined.filter(100 * inter >= percent * (F.size("xa") + F.size("xb") - inter)).select("a", "b")
+    return stored(likely.filter("sure").select("a", "b").union(found), "verified-pairs")
+
+
+def with_homes(placed: DataFrame) -> DataFrame:
+    """placed and home: the component that most often prevails in the lists of a class (its own, where it is of a large group)."""
+    by_list = placed.groupBy("value", "whole", "c").agg(F.count(F.lit(1)).alias("_n"))
+    prevails = by_list.groupBy("value", "whole").agg(F.max(F.struct("_n", "c")).alias("_m")).select("value", "whole", F.col("_m.c").alias("_c"))
+    votes = placed.join(prevails, ["value", "whole"]).groupBy("key", "whole", "_c").agg(F.count(F.lit(1)).alias("_n"))
+    homes = votes.groupBy("key", "whole").agg(F.max(F.struct("_n", "_c")).alias("_m")).select("key", "whole", F.col("_m._c").alias("home"))
+    return stored(placed.join(homes, ["key", "whole"]), "homes")
+
+
+BLOCK = 128
+PACK = "array<struct<key:bigint,c:bigint,n:bigint,sketch:array<bigint>>>"
+
+
+def pairs_at_home(placed: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b) of one home and different components that may reach the similarity. Those outside the home's component are compared
+    with all of the home, in blocks of about BLOCK sketches, so that only likely pairs become rows."""
+    some = placed.select("key", "whole", "c", "home").distinct()
+    size = some.groupBy("home", "whole").agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("c") != F.col("home")).alias("_out")).filter("_out > 0 and _n > 1")
+    some = some.join(size, ["home", "whole"]).join(classes.select("key", "n", "sketch"), "key")
+    some = some.withColumn("sketch", F.when(F.col("whole"), F.col("sketch")).otherwise(F.slice("sketch", 1, k)))
+
+    def packs(rows: DataFrame, count: str, name: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("key"), F.ceil(F.col(count) / BLOCK))
+        return rows.groupBy("home", "whole", block.alias("_b")).agg(F.collect_list(F.struct("key", "c", "n", "sketch")).alias(name)).drop("_b")
+
+    met = packs(some.filter("c <> home"), "_out", "outside").join(packs(some, "_n", "members"), ["home", "whole"]).select("whole", "outside", "members")
+    least = least_shared(k, percent / 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                whole = batch.column(0)[i].as_py()
+                sides = []
+                for column in batch.columns[1:]:
+                    part = column[i].values
+                    lists = part.field("sketch")
+                    at = np.asarray(lists.offsets).astype(np.int64)
+                    sides.append((*(np.asarray(part.field(x)) for x in ("key", "c", "n")), at - at[0], np.asarray(lists.values)[at[0] : at[-1]]))
+                a, b = likely_of_blocks(*sides, whole, least, percent)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return met.mapInArrow(run, "a bigint, b bigint")
+
+
+def likely_of_blocks(outside: tuple, members: tuple, whole: bool, least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of pairs of different components that share enough retained values (of whole sets: that have the similarity)."""
+    (ka, ca, na, ata, va), (kb, cb, nb, atb, vb) = outside, members
+    values = np.unique(va)
+    left = np.zeros((len(ka), len(values)), np.float32)
+    left[np.repeat(np.arange(len(ka)), np.diff(ata)), np.searchsorted(values, va)] = 1
+    at = np.minimum(np.searchsorted(values, vb), max(0, len(values) - 1))
+    known = values[at] == vb if len(values) else np.zeros(len(vb), bool)
+    right = np.zeros((len(kb), len(values)), np.float32)
+    right[np.repeat(np.arange(len(kb)), np.diff(atb))[known], at[known]] = 1
+    shared = np.rint(left @ right.T).astype(np.int64)
+    enough = 100 * shared >= percent * (na[:, None] + nb[None, :] - shared) if whole else shared >= least
+    i, j = np.nonzero(enough & (ca[:, None] != cb[None, :]))
+    return ka[i], kb[j]
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
     """key, n_shingles long, component_id long (the least key reachable over links), kept boolean."""
-    rows = stored(sketches(df, key, text, words, k), "sketches")
+    rows = stored(sketches(df, key, text, words, k, whole_below(k, percent / 100)), "sketches")
     sets = ["n", "d1", "d2"]
     members = rows.filter("n > 0").groupBy(*sets).agg(F.min("key").alias("rep"))
     first = rows.filter("key is not null and n > 0").join(members.select(*sets, F.col("rep").alias("key")), [*sets, "key"], "left_semi")
     classes = stored(first.dropDuplicates(["key", *sets]).select("key", "n", "d1", "d2", "sketch"), "classes")
-    lists = stored(rare_entries(classes, k, percent / 100), "inverted-lists")
+    lists = stored(rare_entries(classes, k, percent), "inverted-lists")
     keys = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     texts = keys.join(classes.select("key"), "key", "left_semi")
-    fits = lambda a, b: (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
-    heads = lists.groupBy("value").agg(F.min(F.struct("key", "n")).alias("h"))
-    star = lists.join(heads, "value").filter((F.col("key") > F.col("h.key")) & fits(F.col("n"), F.col("h.n")))
-    tried = stored(star.select(F.col("h.key").alias("a"), F.col("key").alias("b")).distinct(), "star-pairs")
+    def fits(x: str, y: str) -> Column:
+        """What sizes and lone values allow: |A and B| has to reach percent / (100 + percent) of |A| + |B|."""
+        n, m = F.col(f"{x}n"), F.col(f"{y}n")
+        most = F.least(n - F.col(f"{x}own"), m - F.col(f"{y}own"))
+        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (~F.col(f"{x}whole") | ((100 + percent) * most >= percent * (n + m)))
+
+    heads = lists.groupBy("value", "whole").agg(F.min(F.struct("own", "key", "n")).alias("h"))  # the class with the fewest values of its own
+    heads = heads.select("value", "whole", F.col("h.own").alias("hown"), F.col("h.key").alias("hkey"), F.col("h.n").alias("hn"), F.col("whole").alias("hwhole"))
+    star = lists.join(heads, ["value", "whole"]).filter((F.col("key") != F.col("hkey")) & fits("", "h"))
+    tried = stored(star.select(F.least("key", "hkey").alias("a"), F.greatest("key", "hkey").alias("b")).distinct(), "star-pairs")
     links = verified(tried, classes, texts, words, k, percent)
     parts = stored(connected_components(links), "components")
 
-    placed = lists.join(parts, lists.key == parts.node, "left").select("value", "key", "n", F.coalesce("component", "key").alias("c"))
-    open_lists = placed.groupBy("value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("value")
-    placed = stored(placed.join(open_lists, "value", "left_semi"), "open-lists")
-    l, r = (placed.select("value", *(F.col(x).alias(x + s) for x in ("key", "n", "c"))) for s in "lr")
-    met = l.join(r, (l.value == r.value) & (F.col("keyl") < F.col("keyr")) & (F.col("cl") != F.col("cr")) & fits(F.col("nl"), F.col("nr")))
-    rest = met.select(F.col("keyl").alias("a"), F.col("keyr").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    placed = lists.join(parts, lists.key == parts.node, "left").select("value", "key", "n", "own", "whole", F.coalesce("component", "key").alias("c"))
+    open_lists = placed.groupBy("value", "whole").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("value", "whole")
+    placed = with_homes(stored(placed.join(open_lists, ["value", "whole"], "left_semi"), "open-lists"))
+    l, r = (placed.select(*(F.col(x).alias(s + x) for x in ("value", "key", "n", "own", "whole", "c", "home"))) for s in "lr")
+    met = l.join(r, (F.col("lvalue") == F.col("rvalue")) & (F.col("lwhole") == F.col("rwhole")) & (F.col("lkey") < F.col("rkey")) & (F.col("lc") != F.col("rc")) & (F.col("lhome") != F.col("rhome")) & fits("l", "r"))
+    met = met.select(F.col("lkey").alias("a"), F.col("rkey").alias("b")).union(pairs_at_home(placed, classes, k, percent))
+    rest = met.distinct().join(tried, ["a", "b"], "left_anti")
     more = verified(stored(rest, "cross-pairs"), classes, texts, words, k, percent)
     parts = connected_components(links.union(more))
 
     of_class = members.join(parts, members.rep == parts.node, "left").select(*sets, F.coalesce("component", "rep").alias("component_id"))
     placed_rows = rows.join(of_class, sets, "left").select("key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
-    return placed_rows.select(F.col("key").alias(key), "n_shingles", "component_id", (F.col("key").isNull() | (F.col("key") == F.col("component_id"))).alias("kept"))
+    return placed_rows.select(F.col("key").alias(key), "n_shingles", "component_id", (F.col("key").isNull() | F.col("component_id").isNull() | (F.col("key") == F.col("component_id"))).alias("kept"))
