@@ -11,11 +11,16 @@ the order of their texts; an empty table gives an empty one; other columns are d
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,41 +29,114 @@ from .common import map_batches
 END_ID = 1
 
 
+#: Fixed value: the split pattern of the tokenizer file, for lower-case text; then what it comes to where all is ASCII.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_PATTERN = r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[^\sa-z0-9]+"
+WORD_END = "</w>"
+
+
+class _Runs(dict):
+    """A number for each run, in the order of first sight; new runs wait to be encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, run: bytes) -> int:
+        self[run] = at = len(self)
+        self.fresh.append(run)
+        return at
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizers file whose words never cross white space: each distinct run of other characters goes
-    through the library once (and again after `most_words` others)."""
+    """Encodes texts with a tokenizers file whose words never cross white space and end in ids of their own. Each distinct word goes
+    through the library once (and again after `most_runs` other runs), many words in one call; what a run between white space
+    comes to is remembered too. A text whose words depend on more than themselves (special tokens' strings, letters that
+    normalising or lower-casing would split or join) goes through the library whole."""
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_runs: int = 800_000):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.most_words = most_words
-        self.known: dict[bytes, int] = {}
+        # For words, which are lower-case and normal already: the same model, split at white space alone.
+        parts = [{"type": "WhitespaceSplit"}, spec["pre_tokenizer"]["pretokenizers"][-1]]
+        self.by_word = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": parts}}))
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith(WORD_END)]] = True
+        self.plain, self.wide = re.compile(ASCII_PATTERN, re.ASCII), regex.compile(PATTERN)
+        self.most_runs = most_runs
         self._forget()
 
     def _forget(self) -> None:
-        self.known.clear()
+        self.runs, self.words = _Runs(), {}
         self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.run_flat, self.run_starts, self.run_sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
+    @staticmethod
+    def _simple(text: str) -> bool:
+        """Whether the ids of the text are those of its runs, each lower-cased and split by itself."""
+        if "<|" in text:
+            return False
+        if text.isascii():
+            return True
+        low = text.lower()
+        return len(low) == len(text) and "\u03a3" not in text and "\u212a" not in text and unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)
+
+    @staticmethod
+    def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        size = sizes[at]
+        return flat[np.repeat(starts[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+
+    def _learn_words(self, fresh: list[str]) -> None:
+        for at in range(0, len(fresh), 20_000):
+            part = fresh[at : at + 20_000]
+            ids = self._ids(self.by_word, " ".join(part))
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part) or stops[-1] != len(ids):
+                each = [self._ids(self.tokenizer, w) for w in part]
+                ids, stops = np.concatenate(each), np.cumsum([len(x) for x in each])
+            sizes = np.diff(np.r_[0, stops])
+            self.words.update(zip(part, range(len(self.words), len(self.words) + len(part)), strict=True))
+            self.starts = np.r_[self.starts, len(self.flat) + stops - sizes]
+            self.sizes = np.r_[self.sizes, sizes]
+            self.flat = np.r_[self.flat, ids]
+
+    def _learn_runs(self) -> None:
+        fresh, self.runs.fresh = self.runs.fresh, []
+        split = [self.plain.findall(x) if x.isascii() else self.wide.findall(x) for x in (run.decode().lower() for run in fresh)]
+        if new := list(dict.fromkeys(w for words in split for w in words if w not in self.words)):
+            self._learn_words(new)
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter((self.words[w] for words in split for w in words), np.int64, int(counts.sum()))
+        before = np.r_[0, np.cumsum(self.sizes[at])]
+        bounds = before[np.r_[0, np.cumsum(counts)]]
+        self.run_starts = np.r_[self.run_starts, len(self.run_flat) + bounds[:-1]]
+        self.run_sizes = np.r_[self.run_sizes, np.diff(bounds)]
+        self.run_flat = np.r_[self.run_flat, self._gather(self.flat, self.starts, self.sizes, at)]
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
-        if len(self.known) > self.most_words:
+        if len(self.runs) > self.most_runs:
             self._forget()
-        split = [(x or "").encode().split() for x in texts]  # bytes split at ASCII white space alone
-        fresh = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
-        if fresh:
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.starts = np.r_[self.starts, len(self.flat) + np.cumsum(sizes) - sizes]
-            self.sizes = np.r_[self.sizes, sizes]
-            self.flat = np.r_[self.flat, np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))]
-        number, out = self.known.__getitem__, []
-        for words in split:
-            at = np.fromiter(map(number, words), np.int64, len(words))
-            size = self.sizes[at]
-            shift = np.repeat(self.starts[at] - (np.cumsum(size) - size), size)
-            out.append(self.flat[shift + np.arange(len(shift))])
-        return out
+        number, split = self.runs.__getitem__, []
+        for text in texts:
+            runs = (text or "").encode().split() if self._simple(text or "") else None  # bytes split at ASCII white space alone
+            split.append(None if runs is None else np.fromiter(map(number, runs), np.int64, len(runs)))
+        if self.runs.fresh:
+            self._learn_runs()
+        return [self._ids(self.tokenizer, text) if at is None else self._gather(self.run_flat, self.run_starts, self.run_sizes, at) for text, at in zip(texts, split, strict=True)]
+
+
+@lru_cache(1)
+def encoder(path: str) -> WordEncoder:
+    """One encoder for each worker process."""
+    return WordEncoder(path)
 
 
 def write_token_orc(df: DataFrame, out_path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", files: int | None = None, end_id: int = END_ID) -> None:
@@ -69,13 +147,13 @@ def write_token_orc(df: DataFrame, out_path: str, tokenizer_path: str, key: str
     kind = df.schema[key].dataType.simpleString()
 
     def make():
-        encoder = WordEncoder(tokenizer_path)
+        words = encoder(tokenizer_path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             end = np.array([end_id], np.int32)
             texts, parts, sizes = batch.column(1).to_pylist(), [], []
             for at in range(0, len(texts), 256):
-                for ids in encoder.encode(texts[at : at + 256]):
+                for ids in words.encode(texts[at : at + 256]):
                     parts += [ids, end]
                     sizes.append(len(ids) + 1)
             offsets = np.cumsum([0, *sizes])
