@@ -1,0 +1 @@
+"""Operators over variants, calls, reads, coverage and gVCF blocks."""

@@ -1,0 +1 @@
+"""Compositions of operators, and the registered queries with their SQL."""

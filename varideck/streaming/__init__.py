@@ -1,0 +1 @@
+"""Rebuilding what new or changed sources touch."""
