@@ -81,7 +81,9 @@ def best_of_blocks(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.nd
         finer = segment_features(q, segments) @ segment_features(x, segments).T
         live &= finer + slack >= least
     if live.mean() > 0.05:
-        score = q @ x.T  # most pairs survive: one product costs less than gathering them
+        score = np.where(live, q @ x.T, -np.inf)  # most pairs survive: one product costs less than gathering them
+        if k < x.shape[0]:
+            least = np.maximum(least, -np.partition(-score, k - 1, axis=1)[:, k - 1 : k])
         a, b = np.nonzero(live & (score >= least))
         s = score[a, b]
     else:
