@@ -121,7 +121,7 @@ def split_multiallelics(v: DataFrame) -> DataFrame:
 def recode_split(calls: DataFrame) -> DataFrame:
     """calls (gt, allele_index) after a split: the row's own alternative becomes 1, other alternatives 0, '.' stays."""
     one = F.transform(c.alleles(F.col("gt")), lambda a: F.when(a == ".", a).otherwise((a == F.col("allele_index").cast("string")).cast("int").cast("string")))
-    return calls.withColumn("gt", F.array_join(one, F.when(F.col("gt").contains("|"), "|").otherwise("/")))
+    return calls.withColumn("gt", F.when(F.col("gt").contains("|"), F.array_join(one, "|")).otherwise(F.array_join(one, "/")))
 
 
 def thin(v: DataFrame, fraction: float = 0.2, key: str = "variant_id") -> DataFrame:

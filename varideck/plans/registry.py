@@ -178,9 +178,10 @@ def _(p):
     return k.site_metrics(p.calls).select("chrom", "pos", "mean_depth")
 
 
-@query("F23_depth_matrix", "SELECT chrom, pos, max(CASE WHEN sample = 'S0001' THEN dp END) AS S0001, max(CASE WHEN sample = 'S0002' THEN dp END) AS S0002, max(CASE WHEN sample = 'S0003' THEN dp END) AS S0003 FROM calls GROUP BY 1, 2", "calls")
+@query("F23_depth_matrix", "SELECT chrom, pos, CAST(max(CASE WHEN sample = 'S0001' THEN dp END) AS DOUBLE) AS S0001, CAST(max(CASE WHEN sample = 'S0002' THEN dp END) AS DOUBLE) AS S0002, CAST(max(CASE WHEN sample = 'S0003' THEN dp END) AS DOUBLE) AS S0003 FROM calls GROUP BY 1, 2", "calls")
 def _(p):
-    return k.depth_matrix(p.calls, ["S0001", "S0002", "S0003"])
+    names = ["S0001", "S0002", "S0003"]
+    return k.depth_matrix(p.calls, names).select("chrom", "pos", *[F.col(x).cast("double").alias(x) for x in names])
 
 
 @query("F24_target_chroms", f"{IDS} WHERE chrom IN ('Chr03', 'Chr05')", "sites")
@@ -221,11 +222,11 @@ def _(p):
     f"""WITH a AS (SELECT * FROM calls WHERE sample IN (SELECT sample FROM calls GROUP BY 1 HAVING CAST(count(*) - count(dosage) AS DOUBLE) / count(*) <= 0.0625)),
     b AS (SELECT * FROM a WHERE site_key IN (SELECT site_key FROM a GROUP BY 1 HAVING CAST(count(*) - count(dosage) AS DOUBLE) / count(*) <= 0.06)),
     d AS (SELECT * FROM b WHERE site_key IN (SELECT site_key FROM b GROUP BY 1 HAVING {MAF} >= 0.05))
-    SELECT site_key, sample, dosage FROM d""",
+    SELECT site_key, sample FROM d""",
     "calls",
 )
 def _(p):
-    return k.sample_variant_qc(p.calls, 0.06, 0.0625, 0.05).select("site_key", "sample", "dosage")
+    return k.sample_variant_qc(p.calls, 0.06, 0.0625, 0.05).select("site_key", "sample")
 
 
 @query("F31_dedup_sites", "SELECT chrom, pos, min(site_key) AS site_key FROM (SELECT chrom, floor(pos / 1000) * 1000 AS pos, site_key FROM sites) GROUP BY 1, 2", "sites")
@@ -404,8 +405,9 @@ def _(p):
 
 @query(
     "A20_het_windows",
-    f"""WITH m AS ({METRICS}), w AS (SELECT chrom, CAST(floor(pos / 500000) AS BIGINT) AS "window", count(*) AS n_sites, avg(heterozygous_rate) AS m, coalesce(stddev_samp(heterozygous_rate), 0) AS s FROM m GROUP BY 1, 2)
-    SELECT chrom, "window", n_sites, round(m, 6) AS mean_het, round(s, 6) AS sd_het, round(greatest(m - s, 0), 6) AS low, round(least(m + s, 1), 6) AS high FROM w""",
+    f"""WITH m AS ({METRICS}), w AS (SELECT chrom, CAST(floor(pos / 500000) AS BIGINT) AS "window", count(*) AS n_sites, sum(CAST(round(heterozygous_rate * 1e6) AS BIGINT)) AS x, sum(CAST(round(heterozygous_rate * 1e6) AS BIGINT) * CAST(round(heterozygous_rate * 1e6) AS BIGINT)) AS xx FROM m GROUP BY 1, 2),
+    v AS (SELECT chrom, "window", n_sites, CAST(x AS DOUBLE) / n_sites / 1e6 AS m, coalesce(sqrt(CAST(n_sites * xx - x * x AS DOUBLE) / CAST(nullif(n_sites * (n_sites - 1), 0) AS DOUBLE)) / 1e6, 0) AS s FROM w)
+    SELECT chrom, "window", n_sites, round(m, 6) AS mean_het, round(s, 6) AS sd_het, round(greatest(m - s, 0), 6) AS low, round(least(m + s, 1), 6) AS high FROM v""",
     "calls",
 )
 def _(p):
@@ -552,10 +554,10 @@ def _(p):
     return inv.resolve_unique(p.artifacts, "_recal.bam")
 
 
-@query("J08_contig_lengths", "SELECT DISTINCT chrom, 1000000 + chrom_num AS length FROM sites WHERE chrom_num > 2 UNION SELECT DISTINCT chrom, NULL FROM sites WHERE chrom_num <= 2", "sites")
+@query("J08_contig_lengths", "SELECT DISTINCT chrom, CAST(1000000 + chrom_num AS DOUBLE) AS length FROM sites WHERE chrom_num > 2 UNION SELECT DISTINCT chrom, NULL FROM sites WHERE chrom_num <= 2", "sites")
 def _(p):
     fai = p.sites.filter("chrom_num > 2").select(F.col("chrom").alias("contig"), (F.lit(1000000) + F.col("chrom_num")).alias("length")).distinct()
-    return v.contig_lengths(p.sites.select("chrom").distinct(), fai)
+    return v.contig_lengths(p.sites.select("chrom").distinct(), fai).withColumn("length", F.col("length").cast("double"))
 
 
 def files_by_chrom(p):
