@@ -929,6 +929,27 @@ def _(p):
     return lines.sample_names(header_lines(p))
 
 
+WHOLE = f"{NF} = 11 AND site_key % 41 <> 3"
+BODY = "SELECT site_key AS line_no, chrom, pos, ref, alt, filter, line FROM sites JOIN vcf_lines ON line_no = site_key WHERE " + WHOLE
+
+
+def cohort_lines(p):
+    """The well-formed lines, under a header of two samples."""
+    good = p.vcf_lines.filter(F.size(lines.fields()) == 11).filter("line_no % 41 <> 3").select(F.lit("x.vcf").alias("file"), "line_no", "line")
+    head = p.samples.limit(1).select(F.lit("x.vcf").alias("file"), F.lit(-1).cast("bigint").alias("line_no"), F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA\tB").alias("line"))
+    return head.union(good)
+
+
+@query("S01_read_vcf_variants", f"SELECT chrom, pos, ref, alt, filter, CAST(2.5 AS DOUBLE) AS qd, 1 AS imp FROM ({BODY})", "sites", "vcf_lines")
+def _(p):
+    return vcf.parse_vcf(cohort_lines(p))[0].select("chrom", "pos", "ref", F.concat_ws(",", "alt").alias("alt"), "filter", "qd", "imp")
+
+
+@query("S01b_read_vcf_calls", f"SELECT chrom, pos, sample, gt, dp FROM ({BODY}), (SELECT unnest(['A', 'B']) AS sample, unnest(['0/1', './.']) AS gt, unnest([CAST(7 AS DOUBLE), NULL]) AS dp)", "sites", "vcf_lines")
+def _(p):
+    return vcf.parse_vcf(cohort_lines(p))[1].select("chrom", "pos", "sample", "gt", F.col("dp").cast("double").alias("dp"))
+
+
 @query("Q06_looks_biallelic", f"SELECT count(*) AS checked, CAST(count_if({SNP}) AS BIGINT) AS biallelic, count_if({SNP}) = count(*) AS all_biallelic FROM (SELECT * FROM sites ORDER BY chrom, pos, ref LIMIT 1000)", "sites")
 def _(p):
     return v.looks_biallelic(p.variants)
