@@ -92,7 +92,7 @@ def train(texts: list[str | None], labels: list[int], bits: int = 17, dim: int =
         raw, offsets = text_bytes(pa.array([text], pa.string()))
         buckets = np.concatenate([b for b, _ in features.of(raw, offsets)])
         found, counts = np.unique(buckets.astype(np.int64), return_counts=True)
-        docs.append((found, (counts / max(1, counts.sum())).astype(np.float32)))
+        docs.append((found.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)))
     vectors = rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
     weights, bias = rng.normal(0, 0.5, (dim, 2)).astype(np.float32), np.zeros(2, np.float32)
     targets = np.array(labels)
@@ -112,7 +112,7 @@ def train(texts: list[str | None], labels: list[int], bits: int = 17, dim: int =
     return QualityModel(bits, (vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = 4000) -> QualityModel:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = 2000) -> QualityModel:
     """The model of at most `rows` labelled rows that aren't held out, with the least hash of their id; only they reach the driver."""
     chosen = labels.filter(~held_out(F.col(key)) & F.col(label).isNotNull()).select(key, label)
     chosen = chosen.orderBy(F.xxhash64(key), key, label).limit(rows)
