@@ -164,6 +164,26 @@ def test_decontamination(spark):
     assert lsa.contaminated(df, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_latent_space_keeps_the_items(spark):
+    """The corpus' own directions don't push the items out of the space: it holds them whole, and all copies are found."""
+    sf = "/root/testdata/sf0.01"
+    docs, bench = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "benchmark"))
+    words = lsa.stored_words(docs, "doc_id", "text")
+    counts, total = lsa.document_frequencies(words)
+    rows = [(r.item_id, r.text) for r in bench.orderBy("item_id").collect()]
+    space = lsa.latent_space(words, rows, np.log((1 + total) / (1 + counts)), 0.45)
+    assert np.linalg.norm(space.latent, axis=1).min() > 0.999
+    plain = {d.doc_id: sorted(i for i, t in rows if t in d.text) for d in docs.collect()}
+    got = {r.doc_id: r["items"] for r in lsa.search(words, space, "doc_id", 0.8, 0.5).collect()}
+    assert got == plain
+
+
+def test_document_frequencies(spark):
+    df = spark.createDataFrame([(1, "a b a " * 20), (2, "b"), (3, None)], "doc_id bigint, text string")
+    counts, total = lsa.document_frequencies(lsa.stored_words(df, "doc_id", "text"))
+    assert total == 3 and sorted(counts[counts > 0]) == [2, 3]
+
+
 def test_longest_common_subsequence():
     rnd = random.Random(1)
     for _ in range(200):
