@@ -77,9 +77,12 @@ def document_frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
             passages = -(-sizes // PASSAGE)
             place = np.arange(len(hashes)) - np.repeat(at[:-1], sizes)
             number = np.repeat(np.cumsum(passages) - passages, sizes) + place // PASSAGE
-            pairs = np.sort((number.astype(np.uint64) << np.uint64(16)) | (hashes & np.uint32(BUCKETS - 1)).astype(np.uint64))
-            pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
-            counts += np.bincount((pairs & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            # Passage and bucket fit 32 bits, which sort faster, for 2**16 passages at a time.
+            for part in np.split(np.arange(len(hashes)), np.searchsorted(number, np.arange(BUCKETS, int(number[-1]) + 1, BUCKETS))):
+                a, b = part[0], part[-1] + 1
+                pairs = np.sort(((number[a:b] % BUCKETS).astype(np.uint32) << np.uint32(16)) | (hashes[a:b] & np.uint32(BUCKETS - 1)))
+                pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
+                counts += np.bincount(pairs & np.uint32(BUCKETS - 1), minlength=BUCKETS)
             total += int(passages.sum())
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.arange(BUCKETS), BUCKETS].astype(np.int32)), pa.array(np.r_[counts, total])], ["bucket", "n"])
 
@@ -104,6 +107,22 @@ class Space:
     latent: np.ndarray  # items x rank, unit length
     cosine: float
 
+    def term_numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word's term, or -1: by a table over the upper bits, and by search where two terms share them."""
+        if not hasattr(self, "_slots"):
+            upper = (self.terms >> np.uint32(12)).astype(np.int64)
+            self._slots = np.full(1 << 20, -1, np.int32)
+            self._slots[upper] = np.arange(len(self.terms))
+            self._shared = np.zeros(1 << 20, bool)
+            self._shared[upper[1:][upper[1:] == upper[:-1]]] = True
+            self._square = (self.idf**2).astype(np.float64)
+        upper = hashes >> np.uint32(12)
+        term = self._slots[upper]
+        odd = np.flatnonzero(self._shared[upper])
+        term[odd] = np.minimum(np.searchsorted(self.terms, hashes[odd]), len(self.terms) - 1)
+        term[self.terms[term] != hashes] = -1
+        return term
+
     def windows(self, hashes: np.ndarray, at: np.ndarray, stride: int) -> tuple[np.ndarray, ...]:
         """Windows whose weight on the terms lets them reach the cosine: start, end, squared norm; and each word's term or -1."""
         sizes = np.diff(at)
@@ -111,11 +130,11 @@ class Space:
         doc = np.repeat(np.arange(len(sizes)), counts)
         start = at[:-1][doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
         end = np.minimum(start + PASSAGE, at[1:][doc])
-        term = np.searchsorted(self.terms, hashes)
-        term[term == len(self.terms)] = 0
-        term = np.where(self.terms[term] == hashes, term, -1)
-        square = self.idf[hashes & np.uint32(BUCKETS - 1)] ** 2
-        total, inside = (np.r_[0, np.cumsum(x)] for x in (square, np.where(term >= 0, square, 0)))
+        term = self.term_numbers(hashes)
+        square = self._square[hashes & np.uint32(BUCKETS - 1)]
+        total, inside = np.zeros(len(hashes) + 1), np.zeros(len(hashes) + 1)
+        np.cumsum(square, out=total[1:])
+        np.cumsum(np.where(term >= 0, square, 0), out=inside[1:])
         norm, on_terms = total[end] - total[start], inside[end] - inside[start]
         keep = (on_terms >= self.cosine**2 * norm) & (norm > 0)
         return start[keep], end[keep], norm[keep], term
@@ -123,7 +142,7 @@ class Space:
     def rows(self, term: np.ndarray, start: np.ndarray, end: np.ndarray, matrix: np.ndarray) -> np.ndarray:
         """The TF-IDF rows of windows times matrix."""
         out = np.zeros((len(start), matrix.shape[1]), np.float32)
-        scaled = matrix * self.weights[:, None].astype(np.float32)
+        scaled = (matrix * self.weights[:, None]).astype(np.float32)
         for offset in range(PASSAGE):
             here = start + offset
             fits = np.flatnonzero(here < end)
