@@ -32,6 +32,7 @@ PASSAGE = 48
 STRIDE = 24
 BUCKETS = 1 << 16
 SENTENCE = (46, 33, 63)
+EMPHASIS = 1e4
 
 
 def word_hashes(column: pa.Array, rolling: RollingHash) -> list[np.ndarray]:
@@ -242,7 +243,8 @@ def latent_space(words: DataFrame, rows: list, idf: np.ndarray, cosine: float, e
     for i, item in enumerate(items):
         np.add.at(own[i], np.searchsorted(terms, item), 1)
     own *= weights
-    scale = max(1.0, mass / max(1e-9, float((own**2).sum())))  # the items weigh as much as the corpus, so their directions stay
+    # The items outweigh the corpus by far, so that one power step keeps their directions whatever the corpus holds.
+    scale = EMPHASIS * max(1.0, mass / max(1e-9, float((own**2).sum())))
     product += scale * (own.T @ (own @ random))
     basis, _ = np.linalg.qr(product)
     latent = own @ basis
