@@ -73,8 +73,31 @@ def window_anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int,
     return grams[place].view(np.int64), place, lo, hi, mixed(first.slices(p, lo, ends)).view(np.int64), mixed(second.slices(second.prefixes(raw), lo, ends)).view(np.int64)
 
 
+COLUMNS = ["gram", "doc", "place", "lo", "hi", "c1", "c2"]
+
+
+def within_documents(which: np.ndarray, g: np.ndarray, c1: np.ndarray, c2: np.ndarray, lo: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """Of contexts that a document has several times, two are enough for the others to meet. Which rows to keep; and (row, start, end)
+    of the joined stretches that all of them cover. Rows come by document and place."""
+    order = np.lexsort((c2, c1, g, which))
+    same = np.ones(len(order) - 1, bool)
+    for x in (which, g, c1, c2):
+        same &= x[order][1:] == x[order][:-1]
+    head = np.flatnonzero(np.r_[True, ~same])
+    sizes = np.diff(np.r_[head, len(order)])
+    rank = np.arange(len(order)) - np.repeat(head, sizes)
+    keep, several = np.ones(len(order), bool), np.zeros(len(order), bool)
+    keep[order] = rank < 2
+    several[order] = np.repeat(sizes > 1, sizes)
+    at = np.flatnonzero(several)
+    cut = np.flatnonzero(np.r_[True, (which[at][1:] != which[at][:-1]) | (lo[at][1:] > end[at][:-1])]) if len(at) else at
+    last = np.r_[cut[1:], len(at)] - 1 if len(at) else at
+    return keep, (at[cut], lo[at[cut]], end[at[last]])
+
+
 def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """gram, doc (16 bytes of the text's SHA-256), place, lo, hi, c1, c2 of a table with the column text."""
+    """gram, doc (16 bytes of the text's SHA-256), place, lo, hi, c1, c2 of a table with the column text. A stretch of contexts that
+    repeat in their document is one row with a null gram, its start as lo and its end as hi."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = RollingHash(21), RollingHash(22)
@@ -97,7 +120,13 @@ def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
                             shift = bounds[which] - (cut - a if last == group + 1 else 0)
                             names = pa.array(docs[group:last], pa.binary()).take(pa.array(which))
                             g, place, lo, hi, c1, c2 = found
-                            yield pa.RecordBatch.from_arrays([pa.array(g), names, *(pa.array(x - shift) for x in (place, lo, hi)), pa.array(c1), pa.array(c2)], ["gram", "doc", "place", "lo", "hi", "c1", "c2"])
+                            keep, runs = within_documents(which, g, c1, c2, lo, hi + length)
+                            columns = [pa.array(g), names, *(pa.array(x - shift) for x in (place, lo, hi)), pa.array(c1), pa.array(c2)]
+                            yield pa.RecordBatch.from_arrays(columns, COLUMNS).filter(pa.array(keep))
+                            if len(runs[0]):
+                                at, start, end = runs
+                                move, none = shift[at], pa.nulls(len(at), pa.int64())
+                                yield pa.RecordBatch.from_arrays([none, names.take(pa.array(at)), none, pa.array(start - move), pa.array(end - move), none, none], COLUMNS)
                     group = last
 
     return texts.mapInArrow(run, "gram bigint, doc binary, place bigint, lo bigint, hi bigint, c1 bigint, c2 bigint")
@@ -269,7 +298,9 @@ def sorted_runs(rows: DataFrame, length: int, most: int = 4 << 20) -> DataFrame:
 
 def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc, start, end of covered runs (not joined yet) of a table (row, text, doc) of texts, each distinct text counting once."""
-    found = stored(anchors(texts.select("text"), length, gram), "anchors")
+    rows = stored(anchors(texts.select("text"), length, gram), "anchors")
+    inside = rows.filter("gram is null").select("doc", F.col("lo").alias("start"), F.col("hi").alias("end"))
+    found = rows.filter("gram is not null")
     spot = F.struct("doc", "place")
     repeated = found.groupBy("gram").agg(F.min(spot).alias("lo_"), F.max(spot).alias("hi_")).filter("lo_ < hi_").select("gram")
     classes = found.join(repeated, "gram", "left_semi").groupBy("gram", "c1", "c2").agg(F.min(F.struct("doc", "place", "lo", "hi")).alias("x"), F.max(spot).alias("last"))
@@ -277,12 +308,11 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     whole = found.join(classes.filter("not lone").select("gram", "c1", "c2"), ["gram", "c1", "c2"], "left_semi").select("doc", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     unsure = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("lone").alias("any_lone")).filter("n > 1 and any_lone").select("gram")
     asked = classes.join(unsure, "gram", "left_semi").select(F.col("x.doc").alias("doc"), F.struct("gram", "x.place", "x.lo", "x.hi", (F.col("x.hi") + length).alias("end"), "lone").alias("p"))
-    rows = texts.groupBy("doc").agg(F.min("row").alias("row"))
-    places = asked.groupBy("doc").agg(F.collect_list("p").alias("places")).join(rows, "doc")
+    places = asked.groupBy("doc").agg(F.collect_list("p").alias("places")).join(texts.groupBy("doc").agg(F.min("row").alias("row")), "doc")
     cut = contexts(places, texts.select("row", "doc", "text"))
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     edges = sorted_runs(cut.dropDuplicates(["gram", "doc", "place"]).repartition(n, "gram").sortWithinPartitions("gram"), length)
-    return whole.unionByName(edges)
+    return whole.unionByName(edges).unionByName(inside)
 
 
 def cut_out(rows: DataFrame) -> DataFrame:
