@@ -119,7 +119,12 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec
                 found = best_of_blocks(np.frombuffer(q).reshape(len(q_ids), dim), q_ids, np.frombuffer(x).reshape(len(ids), dim), ids, k)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    best = pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    # A row holds two blocks, so few go into a batch; the setting holds for this job alone.
+    rows, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(rows, "16")
+    try:
+        best = stored(pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint"), "best-of-blocks")
+    finally:
+        spark.conf.set(rows, before)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
