@@ -74,6 +74,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0] if len(at) else np.zeros(1, np.int64)
 
 
+def slices(column: pa.Array, rows: int = 256) -> Iterator[pa.Array]:
+    """A column in parts of so many rows, which bounds what is worked on at once."""
+    for i in range(0, len(column), rows):
+        yield column.slice(i, rows)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     with np.errstate(over="ignore"):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, MARKS, RollingHash, map_batches, mixed, stored, text_bytes, words_of
+from .common import LOWER, MARKS, RollingHash, map_batches, mixed, slices, stored, text_bytes, words_of
 
 PASSAGE = 48
 STRIDE = 24
@@ -51,7 +51,7 @@ def stored_words(docs: DataFrame, key: str, text: str) -> DataFrame:
         rolling = RollingHash(31)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in word_hashes(batch.column(1), rolling)], pa.binary())], [key, "words"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for part in slices(batch.column(1)) for x in word_hashes(part, rolling)], pa.binary())], [key, "words"])
 
         return work
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, RollingHash, map_batches, mixed, stored, text_bytes, words_of
+from .common import LOWER, RollingHash, map_batches, mixed, slices, stored, text_bytes, words_of
 from .components import connected_components
 
 #: Estimates below the asked similarity by this many deviations are dropped before the exact check.
@@ -78,7 +78,7 @@ def sketches(df: DataFrame, key: str, text: str, words: int, k: int, most: int)
         rolling = RollingHash(7)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = shingle_sets(batch.column(1), words, rolling)
+            sets = [x for part in slices(batch.column(1)) for x in shingle_sets(part, words, rolling)]
             n = np.fromiter(map(len, sets), np.int64, len(sets))
             with np.errstate(over="ignore"):
                 digests = [np.array([mixed(x + np.uint64(salt)).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64) for salt in (11, 1 << 40)]
@@ -99,7 +99,7 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
         rolling = RollingHash(7)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = shingle_sets(batch.column(1), words, rolling)
+            sets = [x for part in slices(batch.column(1)) for x in shingle_sets(part, words, rolling)]
             at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64)))], ["key", "shingles"])
 
