@@ -32,9 +32,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: it cuts the lineage and outlives lost executors."""
+    """df as a Parquet table in the shared folder, read again: it cuts the lineage and outlives lost executors. The shuffle files
+    behind it aren't needed any more; Spark removes them when the driver collects its garbage, so that is asked for."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
