@@ -164,6 +164,34 @@ def test_decontamination(spark):
     assert lsa.contaminated(df, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_loose_paraphrases_short_and_long_items_in_long_texts(spark):
+    rnd = random.Random(11)
+    w = [f"{rnd.choice('bcdfg')}{rnd.choice('aeiou')}{rnd.choice('lmnrst')}{i}" for i in range(3000)]
+    text = lambda n: " ".join(rnd.choice(w) for _ in range(n))
+    items = {i: f"{text(n - 4)}. {text(4)}." for i, n in enumerate((15, 20, 25, 30, 59, 400))} | {6: "Short one of eight words. It is here.", 7: text(8)}
+
+    def loose(item, share):
+        """`share` of the item's words in order, the answer's among them; the others are replaced."""
+        body = item.split()
+        gone = rnd.sample(range(len(body) - 4), int((1 - share) * len(body)))
+        return " ".join(rnd.choice(w) if i in gone else x for i, x in enumerate(body))
+
+    docs, want = [], {}
+    for i, item in items.items():
+        for share in (0.52, 0.6, 0.7, 1.0) if i < 6 else (1.0,):
+            want[len(docs)] = [i]
+            docs.append((len(docs), f"{text(rnd.randint(300, 900))} {loose(item, share) if share < 1 else item} {text(300)}"))
+    for i in range(6):  # half of the item without its answer, or too little with it
+        body = items[i].split()
+        want[len(docs)] = []
+        docs.append((len(docs), f"{text(300)} {' '.join(body[: len(body) * 6 // 10])} {text(300 + 2 * len(body))}"))
+        want[len(docs)] = []
+        docs.append((len(docs), f"{text(300)} {' '.join(body[-len(body) * 4 // 10 :])} {text(300 + 2 * len(body))}"))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: r["items"] for r in lsa.contaminated(df, spark.createDataFrame(list(items.items()), "item_id bigint, text string")).collect()}
+    assert got == want
+
+
 def test_latent_space_keeps_the_items(spark):
     """The corpus' own directions don't push the items out of the space: it holds them whole, and all copies are found."""
     sf = "/root/testdata/sf0.01"

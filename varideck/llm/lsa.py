@@ -6,8 +6,12 @@
    passages with enough weight on those terms to reach the asked cosine. With a random matrix R each task adds up its part of
    A'(A R); the sum of these small matrices, orthonormalised, spans the leading right singular vectors (one power step).
 4. Overlapping windows of all documents are projected; pairs of window and item with enough cosine are candidates.
-5. The longest common subsequence of the item and the words around a window decides: enough of the item in order is a copy, less is a
-   paraphrase if the item's answer (its last sentence) is there too.
+5. So are all places that the decision below could accept, whatever their cosine. Of L words of which n have to be found, any L - n + 1
+   hold one that is found: each item is looked up by so many of its rarest words (for a copy) and of its answer's (for a paraphrase), and
+   a place stays if the words around it hold enough of the item's.
+6. The longest common subsequence of the item and the words around a window decides: enough of the item in order is a copy, less is a
+   paraphrase if the item's answer (its last sentence) is there too. Every stretch of at most the item's words and STRIDE more that
+   passes is found, for items of any length.
 
 The benchmark is worked on in groups of at most `group` items, so what is broadcast is bounded whatever the benchmark's size.
 
@@ -176,6 +180,68 @@ def decided(item: np.ndarray, answer: np.ndarray, words: np.ndarray, copied: flo
     return 0.0
 
 
+def least_share(n: int, share: float) -> int:
+    """The least whole number that is at least `share` of n."""
+    return next(x for x in range(max(0, int(share * n) - 1), n + 2) if x >= share * n or n and x / n >= share)
+
+
+@dataclass
+class Lookup:
+    """The items by the words of which one has to be there. Sizes depend on the group alone."""
+
+    first: np.ndarray  # of each term and one more: where its items begin in `number`
+    number: np.ndarray
+    counts: np.ndarray  # items x terms: how often the item has the term, at most 255
+    need: np.ndarray  # words of each item that have to be found, at most 255
+    reach: np.ndarray  # words looked at on either side
+
+    @staticmethod
+    def of(space: Space, copied: float, paraphrased: float) -> Lookup:
+        pairs = set()
+        counts = np.zeros((len(space.items), len(space.terms)), np.uint8)
+        need = np.zeros(len(space.items), np.int64)
+        for j, (item, answer) in enumerate(zip(space.items, space.answers, strict=True)):
+            if not len(item):
+                continue
+            counts[j] = np.minimum(np.bincount(np.searchsorted(space.terms, item), minlength=len(space.terms)), 255)
+            whole = least_share(len(item), copied)
+            need[j] = min(whole, least_share(len(item), paraphrased)) if len(answer) else whole
+            for words, least in ((item, whole), (answer, least_share(len(answer), 0.8))):
+                terms = np.searchsorted(space.terms, words)
+                rarest = terms[np.argsort(-space.weights[terms], kind="stable")]
+                pairs |= {(int(t), j) for t in rarest[: len(words) - least + 1]}
+        order = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        first = np.searchsorted(order[:, 0], np.arange(len(space.terms) + 1))
+        reach = np.array([len(x) + STRIDE for x in space.items], np.int64)
+        return Lookup(first, order[:, 1], counts, np.minimum(need, 255), reach)
+
+    def places(self, term: np.ndarray, at: np.ndarray, words: int = 1 << 16, cells: int = 1 << 20) -> Iterator[tuple[int, int, int]]:
+        """item, start and end of the words around each place that could be accepted. term: of each word, or -1; documents begin at `at`."""
+        for offset in range(0, len(term), words):  # a stretch of words at a time, so that what is held is bounded
+            here = offset + np.flatnonzero(term[offset : offset + words] >= 0)
+            sizes = self.first[term[here] + 1] - self.first[term[here]]
+            spot = np.repeat(here, sizes)
+            j = self.number[np.repeat(self.first[term[here]], sizes) + np.arange(len(spot)) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
+            order = np.argsort(self.reach[j], kind="stable")
+            spot, j = spot[order], j[order]
+            doc = np.searchsorted(at, spot, "right") - 1
+            a, b = np.maximum(spot - self.reach[j], at[doc]), np.minimum(spot + self.reach[j] + 1, at[doc + 1])
+            i = 0
+            while i < len(spot):
+                width = 2 * int(self.reach[j[min(len(spot), i + 4096) - 1]]) + 1
+                part = slice(i, i + max(1, min(4096, cells // width)))
+                grid = a[part, None] + np.arange(width)
+                t = np.where(grid < b[part, None], term[np.minimum(grid, len(term) - 1)], -1)
+                mine = np.where(t >= 0, self.counts[j[part, None], t], 0)
+                ok = np.flatnonzero((mine > 0).sum(1) >= self.need[j[part]])
+                # The words of the item that are there at all, each as often as the item has it.
+                t = np.sort(t[ok], axis=1)
+                fresh = np.c_[np.ones(len(ok), bool), t[:, 1:] != t[:, :-1]] & (t >= 0)
+                ok = ok[np.where(fresh, self.counts[j[part][ok, None], t], 0).sum(1, dtype=np.int64) >= self.need[j[part][ok]]]
+                yield from zip(j[part][ok].tolist(), a[part][ok].tolist(), b[part][ok].tolist(), strict=True)
+                i += len(grid)
+
+
 def read_items(rows: list, rolling: RollingHash) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Word hashes of each item and of its answer: its last sentence, or the last quarter where it has one sentence."""
     items = word_hashes(pa.array([r[1] for r in rows], pa.string()), rolling)
@@ -255,26 +321,31 @@ def latent_space(words: DataFrame, rows: list, idf: np.ndarray, cosine: float, e
 
 def search(words: DataFrame, space: Space, key: str, copied: float, paraphrased: float) -> DataFrame:
     """key, items array<bigint>, share double (the largest) for each document, repeated rows one by one."""
-    shared = words.sparkSession.sparkContext.broadcast(space)
+    shared = words.sparkSession.sparkContext.broadcast((space, Lookup.of(space, copied, paraphrased)))
 
     def make():
-        here = shared.value
+        here, lookup = shared.value
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             hashes, at = batch_words(batch.column(1))
             start, end, norm, term = here.windows(hashes, at, STRIDE)
             found: list[dict[int, float]] = [{} for _ in range(batch.num_rows)]
+
+            def decide(doc: int, j: int, a: int, b: int) -> None:
+                if len(here.items[j]) and found[doc].get(j, 0) < 1:
+                    share = decided(here.items[j], here.answers[j], hashes[a:b], copied, paraphrased)
+                    if share > found[doc].get(j, 0):
+                        found[doc][j] = share
+
             for i in range(0, len(start), 4096):
                 a, b = start[i : i + 4096], end[i : i + 4096]
                 cosines = here.rows(term, a, b, here.basis) @ here.latent.T / np.sqrt(norm[i : i + 4096])[:, None]
                 for w, j in zip(*np.nonzero(cosines >= here.cosine), strict=True):
                     doc = int(np.searchsorted(at, a[w], "right")) - 1
-                    item = here.items[j]
-                    if len(item) and found[doc].get(j, 0) < 1:
-                        around = hashes[max(at[doc], a[w] - len(item)) : min(at[doc + 1], b[w] + len(item))]
-                        share = decided(item, here.answers[j], around, copied, paraphrased)
-                        if share > found[doc].get(j, 0):
-                            found[doc][j] = share
+                    size = len(here.items[j])
+                    decide(doc, j, max(at[doc], a[w] - size), min(at[doc + 1], b[w] + size))
+            for j, a, b in lookup.places(term, at):
+                decide(int(np.searchsorted(at, a, "right")) - 1, j, a, b)
             lists = [sorted(here.ids[j] for j in x) for x in found]
             best = [max(x.values(), default=0.0) for x in found]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int64())), pa.array(best, pa.float64())], [key, "items", "share"])
