@@ -28,10 +28,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
+    """Documents without a benchmark item. The text alone decides, so rows go by its digest, whether their ids repeat or are null."""
     small_batches(spark)
-    flagged = lsa.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")).filter("contaminated").select("doc_id")
-    return docs.join(stored(flagged, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("_digest")
+    flagged = lsa.contaminated(docs.select(digest, "text"), table(spark, sf_dir, "benchmark", "item_id", "text"), key="_digest").filter("contaminated").select("_digest").distinct()
+    return docs.withColumn("_digest", digest).join(stored(flagged, "contaminated"), "_digest", "left_anti").select(docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -192,6 +192,24 @@ def test_loose_paraphrases_short_and_long_items_in_long_texts(spark):
     assert got == want
 
 
+def test_benchmark_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    rnd = random.Random(12)
+    w = [f"{rnd.choice('bcdfg')}{rnd.choice('aeiou')}{rnd.choice('lmnrst')}{i}" for i in range(3000)]
+    text = lambda n: " ".join(rnd.choice(w) for _ in range(n))
+    ids = [0, 1, *[2] * 9, 3, 4, *[5] * 6, None, None, 6]  # in groups of 5: an id over several groups, and one that begins a group
+    items = [(i, text(20)) for i in ids]
+    docs = [(None if n % 7 == 0 else n // 2, f"{text(40)} {t} {text(40)}") for n, (_, t) in enumerate(items)] + [(1, text(90)), (None, text(90)), (0, items[1][1])]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = [(k, [i]) for (k, _), i in zip(docs, ids, strict=False)] + [(1, []), (None, []), (0, [1])]
+    for group in (256, 5):
+        got = [(r.doc_id, r["items"], r.contaminated) for r in lsa.contaminated(df, bench, group=group).collect()]
+        assert sorted(got, key=repr) == sorted([(k, x, bool(x)) for k, x in want], key=repr)
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.decontamination_stage(spark, df, str(tmp_path)).collect()
+    assert sorted(map(tuple, clean), key=repr) == sorted(docs[-3:-1], key=repr)
+
+
 def test_latent_space_keeps_the_items(spark):
     """The corpus' own directions don't push the items out of the space: it holds them whole, and all copies are found."""
     sf = "/root/testdata/sf0.01"

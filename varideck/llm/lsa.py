@@ -13,10 +13,12 @@
    paraphrase if the item's answer (its last sentence) is there too. Every stretch of at most the item's words and STRIDE more that
    passes is found, for items of any length.
 
-The benchmark is worked on in groups of at most `group` items, so what is broadcast is bounded whatever the benchmark's size.
+The benchmark is worked on in groups of at most `group` rows, so what is broadcast is bounded whatever the benchmark's size. Rows of
+both tables have a number of their own: groups are cut and results are put together by it, never by the ids.
 
 Defined cases: null and empty texts, and texts without words, are clean; items without words match nothing; texts are searched whole;
-repeated documents and items give repeated results; a row with a null id is kept; an empty benchmark or corpus gives clean or no
+each row of the documents gives one row, whatever ids repeat; an item found several times is named once; a document with a null id is
+kept, an item with a null id is searched too and stands as a null, last in the list; an empty benchmark or corpus gives clean or no
 rows; other columns are dropped, whatever their names.
 """
 
@@ -37,6 +39,7 @@ STRIDE = 24
 BUCKETS = 1 << 16
 SENTENCE = (46, 33, 63)
 EMPHASIS = 1e4
+ROW = "_row_number"
 
 
 def word_hashes(column: pa.Array, rolling: RollingHash) -> list[np.ndarray]:
@@ -49,7 +52,7 @@ def word_hashes(column: pa.Array, rolling: RollingHash) -> list[np.ndarray]:
 
 
 def stored_words(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, words (binary, uint32 hashes)."""
+    """key, words (binary, uint32 hashes) and the row's number, ROW."""
 
     def make():
         rolling = RollingHash(31)
@@ -60,7 +63,7 @@ def stored_words(docs: DataFrame, key: str, text: str) -> DataFrame:
         return work
 
     kind = docs.schema[key].dataType.simpleString()
-    return stored(map_batches(docs.select(key, text), make, f"`{key}` {kind}, words binary"), "words")
+    return stored(map_batches(docs.select(key, text), make, f"`{key}` {kind}, words binary").withColumn(ROW, F.monotonically_increasing_id()), "words")
 
 
 def batch_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +323,7 @@ def latent_space(words: DataFrame, rows: list, idf: np.ndarray, cosine: float, e
 
 
 def search(words: DataFrame, space: Space, key: str, copied: float, paraphrased: float) -> DataFrame:
-    """key, items array<bigint>, share double (the largest) for each document, repeated rows one by one."""
+    """key, items array<bigint>, share double (the largest) and ROW for each document, repeated rows one by one."""
     shared = words.sparkSession.sparkContext.broadcast((space, Lookup.of(space, copied, paraphrased)))
 
     def make():
@@ -346,13 +349,13 @@ def search(words: DataFrame, space: Space, key: str, copied: float, paraphrased:
                     decide(doc, j, max(at[doc], a[w] - size), min(at[doc + 1], b[w] + size))
             for j, a, b in lookup.places(term, at):
                 decide(int(np.searchsorted(at, a, "right")) - 1, j, a, b)
-            lists = [sorted(here.ids[j] for j in x) for x in found]
+            lists = [sorted((here.ids[j] for j in x), key=lambda i: (i is None, i or 0)) for x in found]
             best = [max(x.values(), default=0.0) for x in found]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int64())), pa.array(best, pa.float64())], [key, "items", "share"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int64())), pa.array(best, pa.float64()), batch.column(2)], [key, "items", "share", ROW])
 
         return work
 
-    return map_batches(words, make, f"`{key}` {words.schema[key].dataType.simpleString()}, items array<bigint>, share double")
+    return map_batches(words.select(key, "words", ROW), make, f"`{key}` {words.schema[key].dataType.simpleString()}, items array<bigint>, share double, {ROW} bigint")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", cosine: float = 0.45, copied: float = 0.8, paraphrased: float = 0.5, group: int = 256) -> DataFrame:
@@ -360,29 +363,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     words = stored_words(docs, key, text)
     counts, total = document_frequencies(words)
     idf = np.log((1 + total) / (1 + counts)).astype(np.float64)
-    named = benchmark.filter(F.col(item).isNotNull()).select(F.col(item).cast("bigint").alias("i"), F.col(item_text).alias("t"))
-    found, last = None, None
-    while True:  # group after group, in the order of ids
-        rest = named if last is None else named.filter(F.col("i") > last)
-        rows = [(r.i, r.t) for r in rest.orderBy("i", "t").limit(group).collect()]
-        if len(rows) == group:  # rows that share an id stay in one group
-            ids = [r[0] for r in rows]
-            if ids[0] == ids[-1]:
-                raise ValueError(f"more than {group} benchmark rows share the id {ids[0]}")
-            if named.filter(F.col("i") == ids[-1]).count() > ids.count(ids[-1]):
-                rows = [r for r in rows if r[0] != ids[-1]]
+    # Stored, so that the rows' numbers stay what they are.
+    named = stored(benchmark.select(F.monotonically_increasing_id().alias("n"), F.col(item).cast("bigint").alias("i"), F.col(item_text).alias("t")), "benchmark")
+    found, groups, last = None, 0, -1
+    while True:  # group after group, in the order of rows
+        rows = named.filter(F.col("n") > last).orderBy("n").limit(group).collect()
         if not rows:
             break
-        last = rows[-1][0]
-        if space := latent_space(words, rows, idf, cosine):
+        last = rows[-1].n
+        if space := latent_space(words, [(r.i, r.t) for r in rows], idf, cosine):
             part = search(words, space, key, copied, paraphrased)
-            found = part if found is None else found.unionByName(part)
-        if len(rows) < group // 2:
-            break
+            found, groups = part if found is None else found.unionByName(part), groups + 1
     if found is None:
         return words.select(key, F.lit(False).alias("contaminated"), F.array().cast("array<bigint>").alias("items"), F.lit(0.0).alias("share"))
-    if last is not None and named.filter(F.col("i") <= last).count() > group:
-        found = found.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("share").alias("share"))
+    if groups > 1:
+        found = found.groupBy(ROW, key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("share").alias("share"))
     else:
         found = found.withColumn("items", F.array_distinct("items"))
     return found.select(key, (F.size("items") > 0).alias("contaminated"), "items", "share")
