@@ -132,6 +132,19 @@ def test_repeats_equal_brute_force(spark, seed, length, gram):
     assert suffixes.without_repeats(df.limit(0), length=length, gram=gram, digests=True).count() == 0
 
 
+def test_repeats_beside_the_borders_of_pieces(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "PIECE", 300)
+    rnd = random.Random(4)
+    letters = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    docs = []
+    for i in range(60):  # passages that begin or end beside the border, once in a long text and once in a short one
+        passage, at = letters(rnd.randint(60, 110)), 300 * rnd.randint(1, 3) + rnd.choice((-1, 1)) * rnd.randint(0, 70)
+        docs += [(2 * i, letters(at) + passage + letters(400)), (2 * i + 1, letters(5) + passage + letters(9))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in suffixes.without_repeats(df, length=60, gram=20, digests=True).collect()), key=repr)
+    assert got == brute_repeats(docs, 60)
+
+
 def test_suffix_order():
     rnd = random.Random(2)
     raw = np.frombuffer("".join(rnd.choice("ab") for _ in range(3000)).encode() * 2, np.uint8)

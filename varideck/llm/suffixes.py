@@ -309,8 +309,9 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     unsure = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("lone").alias("any_lone")).filter("n > 1 and any_lone").select("gram")
     asked = classes.join(unsure, "gram", "left_semi").select(F.col("x.doc").alias("doc"), F.struct("gram", "x.place", "x.lo", "x.hi", (F.col("x.hi") + length).alias("end"), "lone").alias("p"))
     places = asked.groupBy("doc").agg(F.collect_list("p").alias("places")).join(texts.groupBy("doc").agg(F.min("row").alias("row")), "doc")
+    # A place beside the border of two pieces of a text has two rows, with windows of its own each: lo and hi tell them apart.
     # Stored, so that the texts' shuffle can go before the contexts are dealt out.
-    cut = stored(contexts(places, texts.select("row", "doc", "text")).dropDuplicates(["gram", "doc", "place"]), "context-bytes")
+    cut = stored(contexts(places, texts.select("row", "doc", "text")).dropDuplicates(["gram", "doc", "place", "lo", "hi"]), "context-bytes")
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     edges = sorted_runs(cut.repartition(n, "gram").sortWithinPartitions("gram"), length)
     return whole.unionByName(edges).unionByName(inside)
