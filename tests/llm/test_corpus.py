@@ -145,6 +145,23 @@ def test_repeats_beside_the_borders_of_pieces(spark, monkeypatch):
     assert got == brute_repeats(docs, 60)
 
 
+def test_a_passage_of_many_documents(spark, monkeypatch):
+    """No gram with more than HOT contexts goes to one task."""
+    monkeypatch.setattr(suffixes, "HOT", 20, raising=False)
+    seen, whole = [], suffixes.sorted_runs
+    monkeypatch.setattr(suffixes, "sorted_runs", lambda rows, length: seen.append(rows) or whole(rows, length))
+    rnd = random.Random(6)
+    letters = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    license_, other = letters(130), letters(90)
+    docs = [(i, letters(rnd.randint(0, 90)) + license_[rnd.randint(0, 9) :] + letters(rnd.randint(0, 90))) for i in range(90)]
+    docs += [(100 + i, letters(50) + other + letters(50)) for i in range(5)] + [(200, docs[7][1][20:] + docs[8][1]), (201, docs[7][1])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in suffixes.without_repeats(df, length=60, gram=20, digests=True).collect()), key=repr)
+    assert got == brute_repeats(docs, 60)
+    sizes = [r["count"] for r in seen[0].groupBy("gram").count().collect()]
+    assert sizes and max(sizes) <= 20
+
+
 def test_suffix_order():
     rnd = random.Random(2)
     raw = np.frombuffer("".join(rnd.choice("ab") for _ in range(3000)).encode() * 2, np.uint8)

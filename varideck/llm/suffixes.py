@@ -10,7 +10,9 @@ grams at equal places, and only suffixes behind the same gram at the same distan
    at the same distance before the gram are sorted by mergesort; a comparison finds the common extension by binary search on prefix
    polynomial hashes, O(log length) steps. Neighbours in that order that agree on `length` bytes are repeated windows; their bytes
    are compared once more, as hashes may collide.
-4. The covered runs of each text are joined and cut out.
+4. A gram with more than HOT such contexts would outgrow a task. Its windows are dealt out one by one instead, by two hashes of their
+   bytes, and counted; equality rests on these hashes, as in step 2.
+5. The covered runs of each text are joined and cut out.
 
 Texts are named by their SHA-256, so copies are worked on once and repeated or null ids do no harm: a text that occurs twice repeats
 as a whole if it has `length` bytes.
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import RollingHash, map_batches, mixed, small_batches, stored, text_bytes
@@ -35,6 +37,7 @@ LENGTH = 400
 GRAM = 128
 PLACE = np.uint64((1 << 24) - 1)
 PIECE = 8 << 20
+HOT = 1 << 13
 
 
 def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
@@ -239,18 +242,19 @@ def repeated_windows(raw: np.ndarray, bounds: np.ndarray, group: np.ndarray, lo:
 
 
 def contexts(places: DataFrame, texts: DataFrame) -> DataFrame:
-    """gram, doc, place, lo, hi, lone, bytes from places (row, doc, list of (gram, place, lo, hi, end, lone)) and texts (row, doc, text)."""
+    """gram, doc, place, lo, hi, lone, hot, bytes from places (row, doc, list of (gram, place, lo, hi, end, lone, hot)) and texts (row,
+    doc, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                raw, cut = (text or "").encode(), [*zip(*((x["gram"], doc, x["place"], x["lo"], x["hi"], x["lone"], (x["lo"], x["end"])) for x in found), strict=True)]
-                pieces = [raw[a:b] for a, b in cut[6]]
-                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cut[:6], kinds, strict=True)), pa.array(pieces, pa.binary())], ["gram", "doc", "place", "lo", "hi", "lone", "bytes"])
+                raw, cut = (text or "").encode(), [*zip(*((x["gram"], doc, x["place"], x["lo"], x["hi"], x["lone"], x["hot"], (x["lo"], x["end"])) for x in found), strict=True)]
+                pieces = [raw[a:b] for a, b in cut[7]]
+                kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cut[:7], kinds, strict=True)), pa.array(pieces, pa.binary())], ["gram", "doc", "place", "lo", "hi", "lone", "hot", "bytes"])
 
     joined = texts.join(places, ["row", "doc"]).select("doc", "text", "places")
-    return joined.mapInArrow(run, "gram bigint, doc binary, place bigint, lo bigint, hi bigint, lone boolean, bytes binary")
+    return joined.mapInArrow(run, "gram bigint, doc binary, place bigint, lo bigint, hi bigint, lone boolean, hot boolean, bytes binary")
 
 
 def sorted_runs(rows: DataFrame, length: int, most: int = 4 << 20) -> DataFrame:
@@ -296,6 +300,36 @@ def sorted_runs(rows: DataFrame, length: int, most: int = 4 << 20) -> DataFrame:
     return rows.mapInArrow(run, "doc binary, start bigint, end bigint")
 
 
+def hashed_windows(rows: DataFrame, length: int) -> DataFrame:
+    """doc, place, start, lone, h1, h2: each window of the contexts with two hashes of its bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, second = RollingHash(24), RollingHash(25)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                doc, place, lo, hi, lone, pieces = batch.slice(i, 256).columns
+                raw, bounds = text_bytes(pieces)
+                lo = lo.to_numpy()
+                counts = hi.to_numpy() - lo + 1
+                context = np.repeat(np.arange(len(lo)), counts)
+                step = np.arange(len(context)) - np.repeat(np.cumsum(counts) - counts, counts)
+                at = bounds[context] + step
+                hashes = [mixed(x.slices(x.prefixes(raw), at, at + length)).view(np.int64) for x in (first, second)]
+                take = pa.array(context)
+                yield pa.RecordBatch.from_arrays([doc.take(take), place.take(take), pa.array(lo[context] + step), lone.take(take), *map(pa.array, hashes)], ["doc", "place", "start", "lone", "h1", "h2"])
+
+    return rows.select("doc", "place", "lo", "hi", "lone", "bytes").mapInArrow(run, "doc binary, place bigint, start bigint, lone boolean, h1 bigint, h2 bigint")
+
+
+def counted_runs(rows: DataFrame, length: int) -> DataFrame:
+    """doc, start, end: the covered runs of lone contexts, as sorted_runs gives them, for grams of any number of contexts."""
+    windows = hashed_windows(rows, length)
+    repeated = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
+    hit = windows.filter("lone").join(repeated, ["h1", "h2"], "left_semi")
+    run = F.col("start") - F.row_number().over(Window.partitionBy("doc", "place").orderBy("start"))
+    return hit.withColumn("run", run).groupBy("doc", "place", "run").agg(F.min("start").alias("start"), (F.max("start") + length).alias("end")).select("doc", "start", "end")
+
+
 def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc, start, end of covered runs (not joined yet) of a table (row, text, doc) of texts, each distinct text counting once."""
     rows = stored(anchors(texts.select("text"), length, gram), "anchors")
@@ -306,15 +340,15 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     classes = found.join(repeated, "gram", "left_semi").groupBy("gram", "c1", "c2").agg(F.min(F.struct("doc", "place", "lo", "hi")).alias("x"), F.max(spot).alias("last"))
     classes = stored(classes.withColumn("lone", (F.col("x.doc") == F.col("last.doc")) & (F.col("x.place") == F.col("last.place"))), "context-classes")
     whole = found.join(classes.filter("not lone").select("gram", "c1", "c2"), ["gram", "c1", "c2"], "left_semi").select("doc", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
-    unsure = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("lone").alias("any_lone")).filter("n > 1 and any_lone").select("gram")
-    asked = classes.join(unsure, "gram", "left_semi").select(F.col("x.doc").alias("doc"), F.struct("gram", "x.place", "x.lo", "x.hi", (F.col("x.hi") + length).alias("end"), "lone").alias("p"))
+    unsure = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("lone").alias("any_lone")).filter("n > 1 and any_lone").select("gram", (F.col("n") > HOT).alias("hot"))
+    asked = classes.join(unsure, "gram").select(F.col("x.doc").alias("doc"), F.struct("gram", "x.place", "x.lo", "x.hi", (F.col("x.hi") + length).alias("end"), "lone", "hot").alias("p"))
     places = asked.groupBy("doc").agg(F.collect_list("p").alias("places")).join(texts.groupBy("doc").agg(F.min("row").alias("row")), "doc")
     # A place beside the border of two pieces of a text has two rows, with windows of its own each: lo and hi tell them apart.
     # Stored, so that the texts' shuffle can go before the contexts are dealt out.
     cut = stored(contexts(places, texts.select("row", "doc", "text")).dropDuplicates(["gram", "doc", "place", "lo", "hi"]), "context-bytes")
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = sorted_runs(cut.repartition(n, "gram").sortWithinPartitions("gram"), length)
-    return whole.unionByName(edges).unionByName(inside)
+    edges = sorted_runs(cut.filter("not hot").repartition(n, "gram").sortWithinPartitions("gram"), length)
+    return whole.unionByName(edges).unionByName(counted_runs(cut.filter("hot"), length)).unionByName(inside)
 
 
 def cut_out(rows: DataFrame) -> DataFrame:
