@@ -184,6 +184,12 @@ def _(p):
     return k.depth_matrix(p.calls, names).select("chrom", "pos", *[F.col(x).cast("double").alias(x) for x in names])
 
 
+@query("F23b_depth_matrix_whole")
+def _(p):
+    names = [r["sample"] for r in p.samples.select("sample").distinct().orderBy("sample").collect()]
+    return k.depth_matrix(p.calls, names)
+
+
 @query("F24_target_chroms", f"{IDS} WHERE chrom IN ('Chr03', 'Chr05')", "sites")
 def _(p):
     return v.target_chroms(p.variants, ["Chr03", "Chr05"]).select(PICK)
@@ -790,9 +796,9 @@ def _(p):
     return reads.duplicate_metrics(reads.mark_duplicates(p.reads))
 
 
-def reference_of(p):
-    """A made-up reference base for each covered position of every 5th position, from the position alone."""
-    pos = reads.read_bases(p.reads).select("chrom", "pos").distinct().filter("pos % 5 = 0")
+def reference_of(p, every=1):
+    """A made-up reference base for each covered position, or of every so many positions, from the position alone."""
+    pos = reads.read_bases(p.reads).select("chrom", "pos").distinct().filter(F.col("pos") % every == 0)
     return pos.select("chrom", "pos", F.element_at(F.array(*map(F.lit, "ACGT")), (F.col("pos") % 4 + 1).cast("int")).alias("ref_base"))
 
 
@@ -805,6 +811,12 @@ BASES = "bs AS (SELECT sample, chrom, start0 + i AS pos, i AS cycle, substr(seq,
     SELECT *, round(-10 * log10(CAST(mismatches + 1 AS DOUBLE) / (observations + 2)), 6) AS empirical FROM n""",
     "reads",
 )
+def _(p):
+    ref = reference_of(p, 5)
+    return reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))
+
+
+@query("R06b_recal_table_whole")
 def _(p):
     ref = reference_of(p)
     return reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))
@@ -888,6 +900,11 @@ def _(p):
     return lines.first_errors(lines.validate_lines(p.vcf_lines.filter(F.size(lines.fields()) < 9), 11))
 
 
+@query("O04b_first_errors_whole")
+def _(p):
+    return lines.first_errors(lines.validate_lines(p.vcf_lines, 11))
+
+
 @query("Q03_validate_head", f"SELECT line_no, CAST({NF} - 1 AS BIGINT) AS tabs, {NF} - 1 >= 9 AS has_ninth_tab, {NF} - 1 = 10 AS exact FROM vcf_lines ORDER BY line_no LIMIT 100", "vcf_lines")
 def _(p):
     return lines.validate_head(p.vcf_lines, 11)
