@@ -698,9 +698,27 @@ def _(p):
     return decay.filter(F.col("profile").startswith("full")).select("bin_start_bp", "chromosome", "n_pairs", "mean_r2")
 
 
+@query("A16b_ld_decay_whole")
+def _(p):
+    return ld.ld_order(ld.ld_decay(ld.ld_r2(p.calls)))
+
+
+@query("G04b_ld_r2_whole")
+def _(p):
+    return ld.ld_r2(p.calls)
+
+
+@query("G05b_ld_decay_run_whole")
+def _(p):
+    kept = k.filter_maf(p.calls, 0.05)
+    thinned = kept.join(v.thin(p.sites, 0.2).select("site_key"), "site_key", "left_semi")
+    full = ld.ld_decay(ld.ld_r2(thinned)).filter(F.col("profile").startswith("full"))
+    return full.unionByName(ld.ld_decay(ld.ld_r2(kept, 10_000)).filter(F.col("profile").startswith("fine")))
+
+
 @query("G06_ld_prune")
 def g06(p):
-    return ld.ld_prune(few(p))
+    return ld.ld_prune(p.calls)
 
 
 @query("G10_allele_stats", "SELECT chrom, pos, CAST(coalesce(sum(dosage), 0) AS BIGINT) AS ac, 2 * count(dosage) AS an, round(CAST(coalesce(sum(dosage), 0) AS DOUBLE) / (2 * count(dosage)), 6) AS af FROM calls GROUP BY 1, 2", "calls")
