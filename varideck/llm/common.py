@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,13 +15,15 @@ from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where that is unset (a single machine,
-    tests) a temporary folder is made and set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only on a single machine (tests), where that is unset, is a
+    temporary folder made and set; elsewhere executors would write to disks of their own, so that raises ValueError."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         if made.isDefined():
             return made.get()
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -31,13 +35,24 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: it cuts the lineage and outlives lost executors. The shuffle files
-    behind it aren't needed any more; Spark removes them when the driver collects its garbage, so that is asked for."""
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again: it cuts the lineage and outlives lost executors. With release=True the
+    shuffle files behind it, which nothing needs any more, go too: Spark removes them when the driver collects its garbage."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        df.sparkSession.sparkContext._jvm.System.gc()
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more: all that was made of them is stored itself."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
@@ -98,7 +113,8 @@ def byte_codes(seed: int) -> np.ndarray:
 
 
 class RollingHash:
-    """Prefix polynomials modulo 2**64 over a byte array: the hash of any slice by one subtraction and one product."""
+    """Prefix polynomials modulo 2**64 over a byte array: the hash of any slice by one subtraction and one product. Fast, but texts
+    such as the Thue-Morse sequence make it collide, so it may choose and group, and never decide that slices are equal."""
 
     BASE, INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
 
@@ -128,6 +144,68 @@ class RollingHash:
             return (prefixes[ends] - prefixes[starts]) * self._inverses[starts]
 
 
+class PrimeHash:
+    """Prefix polynomials modulo the prime 2**31 - 1 for two bases at once, packed into one number of 62 bits: no text makes them
+    collide for reasons of arithmetic, as repeated doubling does modulo a power of two."""
+
+    PRIME = np.uint64((1 << 31) - 1)
+    BASES = (1103515245, 1566083941)
+
+    def __init__(self, seed: int = 1):
+        self.codes = byte_codes(seed) >> np.uint64(34)
+        self._powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64)) for _ in self.BASES]
+
+    def _reduced(self, x: np.ndarray) -> np.ndarray:
+        x = (x & self.PRIME) + (x >> np.uint64(31))
+        x = (x & self.PRIME) + (x >> np.uint64(31))
+        return np.where(x >= self.PRIME, x - self.PRIME, x)
+
+    def _grow(self, n: int) -> None:
+        if len(self._powers[0][0]) < n:
+            made = []
+            for base in self.BASES:
+                pair = []
+                for b in (base, pow(base, -1, int(self.PRIME))):
+                    x = np.ones(1, np.uint64)
+                    while len(x) < max(n, 1 << 16):
+                        x = np.r_[x, self._reduced(x * np.uint64(pow(b, len(x), int(self.PRIME))))]
+                    pair.append(x)
+                made.append(tuple(pair))
+            self._powers = made
+
+    def prefixes(self, raw: np.ndarray) -> list[np.ndarray]:
+        """Sums below 2**63 for up to 2**32 bytes."""
+        self._grow(len(raw) + 1)
+        codes = self.codes[raw]
+        return [np.r_[np.uint64(0), np.cumsum(self._reduced(codes * powers[: len(raw)]))] for powers, _ in self._powers]
+
+    def slices(self, prefixes: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Equal slices have equal hashes wherever they stand."""
+        one, two = (self._reduced(self._reduced(p[ends] - p[starts]) * inverses[starts]) for p, (_, inverses) in zip(prefixes, self._powers, strict=True))
+        return one << np.uint64(31) | two
+
+
+def hash_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A keyed 64-bit hash of each slice: eight bytes at a time go through the finaliser; slices over 64 bytes are hashed by BLAKE2."""
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, 0, (1,))
+    sizes = ends - starts
+    with np.errstate(over="ignore"):
+        out = mixed((sizes + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
+    rows = np.flatnonzero((sizes > 0) & (sizes <= 64))
+    for at in range(0, 64, 8):
+        rows = rows[sizes[rows] > at]
+        if not len(rows):
+            break
+        left = np.minimum(sizes[rows] - at, 8).astype(np.uint64)
+        block = eight[starts[rows] + at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - left * np.uint64(8)))
+        out[rows] = mixed(out[rows] ^ block)
+    for i in np.flatnonzero(sizes > 64).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8, key=b"%d" % seed).digest(), "little")
+    return out
+
+
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)

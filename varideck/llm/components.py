@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _star(pairs: DataFrame, small: bool) -> DataFrame:
@@ -19,17 +19,22 @@ def _star(pairs: DataFrame, small: bool) -> DataFrame:
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, component (the least node reachable) for every node of edges (a, b); loops and repeated edges are harmless, nulls are
-    left out, an empty table gives an empty one."""
+    left out, an empty table gives an empty one. The rounds grow as the logarithm of the longest path; RuntimeError where most_rounds
+    don't do, as an unfinished result would be wrong."""
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "edges")
     check = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).alias("c")
     before = now.agg(check).first().c
     for _ in range(most_rounds if before[0] else 0):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _star(both, small=False)
-        now = stored(_star(large, small=True), "edges")
+        old, now = now, stored(_star(large, small=True), "edges")
         after = now.agg(check).first().c
+        discard(old)
         if after == before:
             break
         before = after
+    else:
+        if before[0]:
+            raise RuntimeError(f"components aren't complete after {most_rounds} rounds")
     found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

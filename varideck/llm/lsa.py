@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, MARKS, RollingHash, map_batches, mixed, slices, stored, text_bytes, words_of
+from .common import LOWER, MARKS, hash_words, map_batches, slices, stored, text_bytes, words_of
 
 PASSAGE = 48
 STRIDE = 24
@@ -42,12 +42,12 @@ EMPHASIS = 1e4
 ROW = "_row_number"
 
 
-def word_hashes(column: pa.Array, rolling: RollingHash) -> list[np.ndarray]:
+def word_hashes(column: pa.Array) -> list[np.ndarray]:
     """The uint32 hash of each word of each text."""
     raw, offsets = text_bytes(column)
     raw = LOWER[raw]
     starts, ends, first = words_of(raw, offsets, MARKS)
-    hashes = (mixed(rolling.slices(rolling.prefixes(raw), starts, ends)) >> np.uint64(32)).astype(np.uint32)
+    hashes = (hash_words(raw, starts, ends, 31) >> np.uint64(32)).astype(np.uint32)
     return [hashes[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
 
 

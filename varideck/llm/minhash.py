@@ -27,19 +27,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, RollingHash, map_batches, mixed, slices, stored, text_bytes, words_of
+from .common import LOWER, discard, hash_words, map_batches, mixed, slices, stored, text_bytes, words_of
 from .components import connected_components
 
 #: Estimates below the asked similarity by this many deviations are dropped before the exact check.
 DEVIATIONS = 4.8
+#: At most so many lists can each hold more than this part of all entries.
+HOT_LISTS = 1024
 
 
-def shingle_sets(column: pa.Array, words: int, rolling: RollingHash) -> list[np.ndarray]:
+def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
     """The sorted distinct 63-bit shingle hashes of each text. A-Z counts as a-z; words are runs without ASCII white space."""
     raw, offsets = text_bytes(column)
     raw = LOWER[raw]
     starts, ends, first = words_of(raw, offsets)
-    one = mixed(rolling.slices(rolling.prefixes(raw), starts, ends) + (ends - starts).astype(np.uint64))
+    one = hash_words(raw, starts, ends, 7)
     with np.errstate(over="ignore"):
         grams = np.full(max(0, len(one) - words + 1), words, np.uint64)
         for j in range(words):
@@ -75,10 +77,8 @@ def sketches(df: DataFrame, key: str, text: str, words: int, k: int, most: int)
     """key, n (size of the set), d1, d2 (digest of the set), sketch (its k least hashes, sorted; a set up to `most` is kept whole)."""
 
     def make():
-        rolling = RollingHash(7)
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [x for part in slices(batch.column(1)) for x in shingle_sets(part, words, rolling)]
+            sets = [x for part in slices(batch.column(1)) for x in shingle_sets(part, words)]
             n = np.fromiter(map(len, sets), np.int64, len(sets))
             with np.errstate(over="ignore"):
                 digests = [np.array([mixed(x + np.uint64(salt)).sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64) for salt in (11, 1 << 40)]
@@ -96,10 +96,8 @@ def full_sets(df: DataFrame, words: int) -> DataFrame:
     """key, shingles array<bigint> of (key, text)."""
 
     def make():
-        rolling = RollingHash(7)
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [x for part in slices(batch.column(1)) for x in shingle_sets(part, words, rolling)]
+            sets = [x for part in slices(batch.column(1)) for x in shingle_sets(part, words)]
             at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64)))], ["key", "shingles"])
 
@@ -113,9 +111,19 @@ def whole_below(k: int, similarity: float) -> int:
     return int(3.2 * k)
 
 
+LIST = ["value", "whole"]
+
+
+def by_list(rows: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
+    """rows (value, whole, hot, ...) joined with a table of one row a list (value, whole, hot, ...). There are at most HOT_LISTS hot lists,
+    so their rows are broadcast; the others are short of what one task can hold, and shuffled."""
+    keys = [*LIST, "hot"]
+    return rows.filter("hot").join(F.broadcast(lists.filter("hot")), keys, how).unionByName(rows.filter("not hot").join(lists.filter("not hot"), keys, how))
+
+
 def rare_entries(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """value, key, n, own, whole: each class (key, n, sketch) in the inverted lists of its rarest retained values that others retain
-    too; own: how many of its values no other class retains.
+    """value, key, n, own, whole, hot: each class (key, n, sketch) in the inverted lists of its rarest retained values that others retain
+    too; own: how many of its values no other class retains; hot: whether the list holds more than a HOT_LISTS-th of all entries.
 
     Sets of at most whole_below values meet by all their values (whole), larger ones and those that can match larger ones by their
     k least values; each kind has lists of its own, so every pair that can reach the similarity meets in one kind."""
@@ -128,15 +136,19 @@ def rare_entries(classes: DataFrame, k: int, percent: int) -> DataFrame:
     for where, whole, values in kinds:
         some = classes.filter(where).select("key", "n", whole.alias("whole"), F.explode(values).alias("value"))
         entries = some if entries is None else entries.union(some)
-    lists = entries.groupBy("value", "whole").agg(F.count(F.lit(1)).alias("_lists")).filter("_lists > 1")
+    held = F.sum(F.when(F.col("n") <= most, F.col("n")).otherwise(0) + F.when(F.col("n") >= int(p * most), F.least("n", F.lit(k))).otherwise(0))
+    bound = max(1 << 12, -(-(classes.agg(held.alias("c")).first().c or 0) // HOT_LISTS))
+    lists = entries.groupBy(*LIST).agg(F.count(F.lit(1)).alias("_lists")).filter("_lists > 1").withColumn("hot", F.col("_lists") > bound)
+    hot = F.broadcast(lists.filter("hot"))
+    listed = entries.join(hot, LIST).unionByName(entries.join(hot.select(*LIST), LIST, "left_anti").join(lists.filter("not hot"), LIST))
     held = F.when(F.col("whole"), F.col("n")).otherwise(F.lit(k))
     t = F.when(F.col("whole"), F.ceil(F.col("n") * percent / 100)).otherwise(least_shared(k, p))
     own = held - F.size("_all")
     # Values that no other class retains are the rarest; they use up places of the prefix without needing a list.
     places = held - t + 1 - own
-    chosen = entries.join(lists, ["value", "whole"]).groupBy("key", "n", "whole").agg(F.array_sort(F.collect_list(F.struct("_lists", "value"))).alias("_all"))
+    chosen = listed.groupBy("key", "n", "whole").agg(F.array_sort(F.collect_list(F.struct("_lists", "value", "hot"))).alias("_all"))
     chosen = chosen.withColumn("own", own.cast("bigint")).withColumn("_places", places.cast("int")).filter("_places > 0")
-    return chosen.select("key", "n", "own", "whole", F.explode(F.slice("_all", F.lit(1), F.col("_places"))).alias("_e")).select(F.col("_e.value").alias("value"), "key", "n", "own", "whole")
+    return chosen.select("key", "n", "own", "whole", F.explode(F.slice("_all", F.lit(1), F.col("_places"))).alias("_e")).select(F.col("_e.value").alias("value"), "key", "n", "own", "whole", F.col("_e.hot").alias("hot"))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, k: int, percent: int) -> DataFrame:
@@ -150,24 +162,26 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int,
     slack = DEVIATIONS * (p * (1 - p)) ** 0.5 / F.sqrt(F.size(union))
     inter = F.size(F.array_intersect("sa", "sb"))
     exact = 100 * inter >= percent * (F.col("na") + F.col("nb") - inter)
-    likely = stored(seen.filter(F.when(both_whole, exact).otherwise(shared / F.size(union) >= p - slack)).select("a", "b", both_whole.alias("sure")), "likely-pairs")
+    likely = stored(seen.filter(F.when(both_whole, exact).otherwise(shared / F.size(union) >= p - slack)).select("a", "b", both_whole.alias("sure")), "likely-pairs", release=True)
     open_ = likely.filter("not sure").select("a", "b")
     needed = open_.select(F.col("a").alias("key")).union(open_.select(F.col("b").alias("key"))).distinct()
     sets = full_sets(texts.join(needed, "key", "left_semi"), words)
-    sets = stored(sets.dropDuplicates(["key"]), "full-sets")
+    sets = stored(sets.dropDuplicates(["key"]), "full-sets", release=True)
     joined = open_.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("xa")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("xb")), "b")
     inter = F.size(F.array_intersect("xa", "xb"))
     found = joined.filter(100 * inter >= percent * (F.size("xa") + F.size("xb") - inter)).select("a", "b")
-    return stored(likely.filter("sure").select("a", "b").union(found), "verified-pairs")
+    links = stored(likely.filter("sure").select("a", "b").union(found), "verified-pairs", release=True)
+    discard(likely, sets)
+    return links
 
 
 def with_homes(placed: DataFrame) -> DataFrame:
     """placed and home: the component that most often prevails in the lists of a class (its own, where it is of a large group)."""
-    by_list = placed.groupBy("value", "whole", "c").agg(F.count(F.lit(1)).alias("_n"))
-    prevails = by_list.groupBy("value", "whole").agg(F.max(F.struct("_n", "c")).alias("_m")).select("value", "whole", F.col("_m.c").alias("_c"))
-    votes = placed.join(prevails, ["value", "whole"]).groupBy("key", "whole", "_c").agg(F.count(F.lit(1)).alias("_n"))
+    in_list = placed.groupBy(*LIST, "hot", "c").agg(F.count(F.lit(1)).alias("_n"))
+    prevails = in_list.groupBy(*LIST, "hot").agg(F.max(F.struct("_n", "c")).alias("_m")).select(*LIST, "hot", F.col("_m.c").alias("_c"))
+    votes = by_list(placed, prevails).groupBy("key", "whole", "_c").agg(F.count(F.lit(1)).alias("_n"))
     homes = votes.groupBy("key", "whole").agg(F.max(F.struct("_n", "_c")).alias("_m")).select("key", "whole", F.col("_m._c").alias("home"))
-    return stored(placed.join(homes, ["key", "whole"]), "homes")
+    return stored(placed.join(homes, ["key", "whole"]), "homes", release=True)
 
 
 BLOCK = 128
@@ -228,8 +242,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     sets = ["n", "d1", "d2"]
     members = rows.filter("n > 0").groupBy(*sets).agg(F.min("key").alias("rep"))
     first = rows.filter("key is not null and n > 0").join(members.select(*sets, F.col("rep").alias("key")), [*sets, "key"], "left_semi")
-    classes = stored(first.dropDuplicates(["key", *sets]).select("key", "n", "d1", "d2", "sketch"), "classes")
-    lists = stored(rare_entries(classes, k, percent), "inverted-lists")
+    classes = stored(first.dropDuplicates(["key", *sets]).select("key", "n", "d1", "d2", "sketch"), "classes", release=True)
+    lists = stored(rare_entries(classes, k, percent), "inverted-lists", release=True)
     keys = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
     texts = keys.join(classes.select("key"), "key", "left_semi")
 
@@ -239,22 +253,26 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
         most = F.least(n - F.col(f"{x}own"), m - F.col(f"{y}own"))
         return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (~F.col(f"{x}whole") | ((100 + percent) * most >= percent * (n + m)))
 
-    heads = lists.groupBy("value", "whole").agg(F.min(F.struct("own", "key", "n")).alias("h"))  # the class with the fewest values of its own
-    heads = heads.select("value", "whole", F.col("h.own").alias("hown"), F.col("h.key").alias("hkey"), F.col("h.n").alias("hn"), F.col("whole").alias("hwhole"))
-    star = lists.join(heads, ["value", "whole"]).filter((F.col("key") != F.col("hkey")) & fits("", "h"))
-    tried = stored(star.select(F.least("key", "hkey").alias("a"), F.greatest("key", "hkey").alias("b")).distinct(), "star-pairs")
+    heads = lists.groupBy(*LIST, "hot").agg(F.min(F.struct("own", "key", "n")).alias("h"))  # the class with the fewest values of its own
+    heads = heads.select(*LIST, "hot", F.col("h.own").alias("hown"), F.col("h.key").alias("hkey"), F.col("h.n").alias("hn"), F.col("whole").alias("hwhole"))
+    star = by_list(lists, heads).filter((F.col("key") != F.col("hkey")) & fits("", "h"))
+    tried = stored(star.select(F.least("key", "hkey").alias("a"), F.greatest("key", "hkey").alias("b")).distinct(), "star-pairs", release=True)
     links = verified(tried, classes, texts, words, k, percent)
     parts = stored(connected_components(links), "components")
 
-    placed = lists.join(parts, lists.key == parts.node, "left").select("value", "key", "n", "own", "whole", F.coalesce("component", "key").alias("c"))
-    open_lists = placed.groupBy("value", "whole").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("value", "whole")
-    placed = with_homes(stored(placed.join(open_lists, ["value", "whole"], "left_semi"), "open-lists"))
+    placed = lists.join(parts, lists.key == parts.node, "left").select(*LIST, "hot", "key", "n", "own", F.coalesce("component", "key").alias("c"))
+    open_lists = placed.groupBy(*LIST, "hot").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select(*LIST, "hot")
+    opened = stored(by_list(placed, open_lists, "left_semi"), "open-lists", release=True)
+    placed = with_homes(opened)
     l, r = (placed.select(*(F.col(x).alias(s + x) for x in ("value", "key", "n", "own", "whole", "c", "home"))) for s in "lr")
     met = l.join(r, (F.col("lvalue") == F.col("rvalue")) & (F.col("lwhole") == F.col("rwhole")) & (F.col("lkey") < F.col("rkey")) & (F.col("lc") != F.col("rc")) & (F.col("lhome") != F.col("rhome")) & fits("l", "r"))
     met = met.select(F.col("lkey").alias("a"), F.col("rkey").alias("b")).union(pairs_at_home(placed, classes, k, percent))
     rest = met.distinct().join(tried, ["a", "b"], "left_anti")
-    more = verified(stored(rest, "cross-pairs"), classes, texts, words, k, percent)
+    rest = stored(rest, "cross-pairs", release=True)
+    discard(opened, placed, lists, tried)
+    more = verified(rest, classes, texts, words, k, percent)
     parts = connected_components(links.union(more))
+    discard(classes, links, rest, more)
 
     of_class = members.join(parts, members.rep == parts.node, "left").select(*sets, F.coalesce("component", "rep").alias("component_id"))
     placed_rows = rows.join(of_class, sets, "left").select("key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))

@@ -1,6 +1,7 @@
 """Quality classifier with supervised subword embeddings.
 
-Every byte n-gram, word and word pair of a text is hashed to a learned vector; a document is the mean of its vectors, a softmax
+Every n-gram of 3 to 5 bytes of UTF-8 (of characters, where they are ASCII; n-grams run over the spaces between words), every word and
+every word pair of a text is hashed to a learned vector; a document is the mean of its vectors, a softmax
 over two classes turns that into probabilities. Vectors and softmax weights are trained together by stochastic gradient descent in
 numpy, one document after the other. As the output is linear in the mean, scoring needs one number a bucket: the difference of the
 two classes' weights applied to its vector.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import RollingHash, map_batches, mixed, text_bytes, words_of
+from .common import hash_words, map_batches, mixed, text_bytes, words_of
 
 ORDERS = (3, 4, 5)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -37,7 +38,7 @@ class Features:
     """Bucket numbers of a batch of texts: one array for each kind of feature, with the bounds of each document in it."""
 
     def __init__(self, bits: int):
-        self.shift, self.rolling = np.uint64(64 - bits), RollingHash(3)
+        self.shift = np.uint64(64 - bits)
 
     def of(self, raw: np.ndarray, offsets: np.ndarray):
         with np.errstate(over="ignore"):
@@ -55,7 +56,7 @@ class Features:
                     counts = np.r_[0, np.cumsum(inside)]
                     yield ((packed[inside] + np.uint64(order)) * FACTOR) >> self.shift, counts[np.minimum(offsets, size)]
             starts, stops, first = words_of(raw, offsets)
-            one = mixed(self.rolling.slices(self.rolling.prefixes(raw), starts, stops))
+            one = hash_words(raw, starts, stops, 3)
             yield one >> self.shift, first
             pair = mixed(one[:-1] * FACTOR + one[1:]) >> self.shift if len(one) else one
             pair[one[1:] == one[:-1]] = 0  # a word and itself again: one vector for all such pairs

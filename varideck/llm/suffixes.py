@@ -3,15 +3,16 @@
 Every window of `length` bytes picks the gram of least hash in it (the leftmost of equals) as its anchor, so equal windows pick equal
 grams at equal places, and only suffixes behind the same gram at the same distance have to be compared.
 
-1. Anchors of all texts (gram hash, text, place, the run of windows that picked it, two hashes of the bytes those windows cover) are
-   counted by gram; grams with one occurrence leave.
-2. Occurrences whose covered bytes are equal as a whole repeat entirely; that needs hashes alone.
+1. Anchors of all texts (gram hash, text, place, the run of windows that picked it, the 128-bit BLAKE2 digest of the bytes those
+   windows cover) are counted by gram; grams with one occurrence leave.
+2. Occurrences whose covered bytes are equal as a whole repeat entirely. A cryptographic digest names those bytes, so equal names mean
+   equal bytes, and none have to be moved to compare them.
 3. What differs near its ends goes, as bytes and one representative a class, to the task of its gram. There the suffixes that begin
    at the same distance before the gram are sorted by mergesort; a comparison finds the common extension by binary search on prefix
    polynomial hashes, O(log length) steps. Neighbours in that order that agree on `length` bytes are repeated windows; their bytes
    are compared once more, as hashes may collide.
-4. A gram with more than HOT such contexts would outgrow a task. Its windows are dealt out one by one instead, by two hashes of their
-   bytes, and counted; equality rests on these hashes, as in step 2.
+4. A gram with more than HOT such contexts would outgrow a task. Its windows are dealt out one by one instead, by the digest of their
+   bytes, and counted, as in step 2.
 5. The covered runs of each text are joined and cut out.
 
 Texts are named by their SHA-256, so copies are worked on once and repeated or null ids do no harm: a text that occurs twice repeats
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RollingHash, map_batches, mixed, small_batches, stored, text_bytes
+from .common import PrimeHash, RollingHash, discard, map_batches, mixed, small_batches, stored, text_bytes
 
 LENGTH = 400
 GRAM = 128
@@ -52,14 +53,21 @@ def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def window_anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int, first: RollingHash, second: RollingHash) -> tuple[np.ndarray, ...]:
-    """gram hash, place, first and last window start, and two hashes of the bytes covered, for each run of windows of one document
-    with the same anchor. len(raw) is below 2**24."""
+def digests(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The halves of the 128-bit digest of each slice."""
+    view = memoryview(raw)
+    both = b"".join(hashlib.blake2b(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True))
+    return tuple(np.frombuffer(both, np.int64).reshape(-1, 2).T.copy())
+
+
+def window_anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int, rolling: RollingHash) -> tuple[np.ndarray, ...]:
+    """gram hash, place, first and last window start, and the halves of the digest of the bytes covered, for each run of windows of one
+    document with the same anchor. len(raw) is below 2**24. The gram hash only chooses anchors and groups them."""
     if len(raw) < length:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
-    p = first.prefixes(raw)
+    p = rolling.prefixes(raw)
     at = np.arange(len(raw) - gram + 1)
-    grams = mixed(first.slices(p, at, at + gram))
+    grams = mixed(rolling.slices(p, at, at + gram))
     least = sliding_least((grams & ~PLACE) | at.astype(np.uint64), length - gram + 1)
     inside = np.zeros(len(raw) + 1, np.int32)  # windows that lie in one document
     sizes = np.diff(offsets)
@@ -72,8 +80,7 @@ def window_anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int,
     place = (least[starts] & PLACE).astype(np.int64)
     head = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (np.diff(starts) > 1)])
     lo, hi, place = starts[head], starts[np.r_[head[1:], len(starts)] - 1], place[head]
-    ends = hi + length
-    return grams[place].view(np.int64), place, lo, hi, mixed(first.slices(p, lo, ends)).view(np.int64), mixed(second.slices(second.prefixes(raw), lo, ends)).view(np.int64)
+    return grams[place].view(np.int64), place, lo, hi, *digests(raw, lo, hi + length)
 
 
 COLUMNS = ["gram", "doc", "place", "lo", "hi", "c1", "c2"]
@@ -103,7 +110,7 @@ def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
     repeat in their document is one row with a null gram, its start as lo and its end as hi."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = RollingHash(21), RollingHash(22)
+        rolling = RollingHash(21)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 raw, offsets = text_bytes(batch.column(0).slice(i, 256))
@@ -117,7 +124,7 @@ def anchors(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         if cut > a and stop - cut < length:
                             break
                         bounds = offsets[group : last + 1] - a if last > group + 1 else np.array([0, stop - cut])
-                        found = window_anchors(raw[cut:stop], bounds, length, gram, first, second)
+                        found = window_anchors(raw[cut:stop], bounds, length, gram, rolling)
                         if len(found[0]):
                             which = np.searchsorted(bounds, found[2], "right") - 1
                             shift = bounds[which] - (cut - a if last == group + 1 else 0)
@@ -139,7 +146,7 @@ class SuffixOrder:
     """Mergesort of suffixes in groups; comparisons by common extension."""
 
     def __init__(self, raw: np.ndarray, length: int):
-        self.raw, self.length, self.rolling = raw, length, RollingHash(23)
+        self.raw, self.length, self.rolling = raw, length, PrimeHash(23)
         self.prefixes = self.rolling.prefixes(raw)
 
     def extension(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -301,10 +308,9 @@ def sorted_runs(rows: DataFrame, length: int, most: int = 4 << 20) -> DataFrame:
 
 
 def hashed_windows(rows: DataFrame, length: int) -> DataFrame:
-    """doc, place, start, lone, h1, h2: each window of the contexts with two hashes of its bytes."""
+    """doc, place, start, lone, h1, h2: each window of the contexts with the digest of its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = RollingHash(24), RollingHash(25)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 doc, place, lo, hi, lone, pieces = batch.slice(i, 256).columns
@@ -314,9 +320,8 @@ def hashed_windows(rows: DataFrame, length: int) -> DataFrame:
                 context = np.repeat(np.arange(len(lo)), counts)
                 step = np.arange(len(context)) - np.repeat(np.cumsum(counts) - counts, counts)
                 at = bounds[context] + step
-                hashes = [mixed(x.slices(x.prefixes(raw), at, at + length)).view(np.int64) for x in (first, second)]
                 take = pa.array(context)
-                yield pa.RecordBatch.from_arrays([doc.take(take), place.take(take), pa.array(lo[context] + step), lone.take(take), *map(pa.array, hashes)], ["doc", "place", "start", "lone", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([doc.take(take), place.take(take), pa.array(lo[context] + step), lone.take(take), *map(pa.array, digests(raw, at, at + length))], ["doc", "place", "start", "lone", "h1", "h2"])
 
     return rows.select("doc", "place", "lo", "hi", "lone", "bytes").mapInArrow(run, "doc binary, place bigint, start bigint, lone boolean, h1 bigint, h2 bigint")
 
@@ -330,25 +335,26 @@ def counted_runs(rows: DataFrame, length: int) -> DataFrame:
     return hit.withColumn("run", run).groupBy("doc", "place", "run").agg(F.min("start").alias("start"), (F.max("start") + length).alias("end")).select("doc", "start", "end")
 
 
-def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc, start, end of covered runs (not joined yet) of a table (row, text, doc) of texts, each distinct text counting once."""
+def repeated_runs(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, list[DataFrame]]:
+    """doc, start, end of covered runs (not joined yet) of a table (row, text, doc) of texts, each distinct text counting once; and the
+    stored tables that they are read from."""
     rows = stored(anchors(texts.select("text"), length, gram), "anchors")
     inside = rows.filter("gram is null").select("doc", F.col("lo").alias("start"), F.col("hi").alias("end"))
     found = rows.filter("gram is not null")
     spot = F.struct("doc", "place")
     repeated = found.groupBy("gram").agg(F.min(spot).alias("lo_"), F.max(spot).alias("hi_")).filter("lo_ < hi_").select("gram")
     classes = found.join(repeated, "gram", "left_semi").groupBy("gram", "c1", "c2").agg(F.min(F.struct("doc", "place", "lo", "hi")).alias("x"), F.max(spot).alias("last"))
-    classes = stored(classes.withColumn("lone", (F.col("x.doc") == F.col("last.doc")) & (F.col("x.place") == F.col("last.place"))), "context-classes")
+    classes = stored(classes.withColumn("lone", (F.col("x.doc") == F.col("last.doc")) & (F.col("x.place") == F.col("last.place"))), "context-classes", release=True)
     whole = found.join(classes.filter("not lone").select("gram", "c1", "c2"), ["gram", "c1", "c2"], "left_semi").select("doc", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     unsure = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("lone").alias("any_lone")).filter("n > 1 and any_lone").select("gram", (F.col("n") > HOT).alias("hot"))
     asked = classes.join(unsure, "gram").select(F.col("x.doc").alias("doc"), F.struct("gram", "x.place", "x.lo", "x.hi", (F.col("x.hi") + length).alias("end"), "lone", "hot").alias("p"))
     places = asked.groupBy("doc").agg(F.collect_list("p").alias("places")).join(texts.groupBy("doc").agg(F.min("row").alias("row")), "doc")
     # A place beside the border of two pieces of a text has two rows, with windows of its own each: lo and hi tell them apart.
     # Stored, so that the texts' shuffle can go before the contexts are dealt out.
-    cut = stored(contexts(places, texts.select("row", "doc", "text")).dropDuplicates(["gram", "doc", "place", "lo", "hi"]), "context-bytes")
+    cut = stored(contexts(places, texts.select("row", "doc", "text")).dropDuplicates(["gram", "doc", "place", "lo", "hi"]), "context-bytes", release=True)
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     edges = sorted_runs(cut.filter("not hot").repartition(n, "gram").sortWithinPartitions("gram"), length)
-    return whole.unionByName(edges).unionByName(counted_runs(cut.filter("hot"), length)).unionByName(inside)
+    return whole.unionByName(edges).unionByName(counted_runs(cut.filter("hot"), length)).unionByName(inside), [rows, classes, cut]
 
 
 def cut_out(rows: DataFrame) -> DataFrame:
@@ -389,12 +395,16 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     texts = df.select(row.alias("row"), body.alias("text"), F.unhex(F.substring(sha, 1, 32)).alias("doc"))
     small = stored(df.select(F.col(key).alias("_key"), row.alias("row"), sha.alias("sha"), F.unhex(F.substring(sha, 1, 32)).alias("doc"), F.octet_length(body).cast("bigint").alias("n_bytes")), "digests")
     counts = small.groupBy("doc").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"))
-    runs = stored(repeated_runs(texts.filter(F.octet_length("text") >= length), length, gram), "covered-runs").groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
+    found, used = repeated_runs(texts.filter(F.octet_length("text") >= length), length, gram)
+    covered = stored(found, "covered-runs", release=True)
+    discard(*used)
+    runs = covered.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     single = runs.join(counts.filter("copies = 1").select("doc", "row"), "doc")
     cut = cut_out(texts.join(single, ["row", "doc"]))
     cut = cut.select("doc", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")) if digests else cut
     last = "kept_sha256" if digests else "kept"
-    found = stored(cut, "cut-texts")
+    found = stored(cut, "cut-texts", release=True)
+    discard(covered)
     copied = counts.filter("copies > 1").select("doc", F.lit(True).alias("copied"))
     whole = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= length)
     joined = small.join(copied, "doc", "left").join(found, "doc", "left")
