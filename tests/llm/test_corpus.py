@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -77,6 +78,41 @@ def test_near_duplicates_of_nothing(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def thue_morse(n):
+    """Two words of 2**n letters whose polynomial hashes modulo a power of two are equal."""
+    word = "a"
+    for _ in range(n):
+        word += "".join("ab"[c == "a"] for c in word)
+    return word, "".join("ab"[c == "a"] for c in word)
+
+
+def test_words_that_make_polynomials_collide(spark):
+    one, two = thue_morse(10)
+    rows = [(1, one), (2, two), (3, one + " x"), (4, two + " x"), (5, one)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+    rows = [(1, "c" * 30 + one), (2, "c" * 30 + two), (3, two[:700] + "d" * 9), (4, one[100:900])]
+    got = sorted(tuple(r) for r in suffixes.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), digests=True).collect())
+    assert got == brute_repeats(rows, 400)
+
+
+def test_hot_lists_are_broadcast_and_no_link_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "HOT_LISTS", 1 << 20)
+    monkeypatch.setattr(minhash, "HOT_LEAST", 3)
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rnd.choice(base) if rnd.random() < 0.03 else x for x in base)) for i in range(80)]
+    plain = brute_components(rows, 2, 80)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()}
+    assert got == plain
+
+
+def test_components_that_need_more_rounds_raise(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "a bigint, b bigint")
+    with pytest.raises(RuntimeError):
+        connected_components(chain, most_rounds=1)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 9), (5, 5)] + [(i, i + 1) for i in range(20, 60)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
@@ -97,6 +133,9 @@ def test_top_k_equals_brute_force(spark):
             best = sorted((-int(u @ w), b) for b, w in fine if b != a and len(w) == len(u))[:7]
             want += [(a, i + 1, b, -s) for i, (s, b) in enumerate(best)]
     assert got == sorted(want)
+    large = spark.createDataFrame([(0, [2.0**60, 1.0]), (1, [2.0**60, 3.0]), (2, [1.0, 2.0]), (20, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    best = sorted(map(tuple, topk.top_k(large, F.col("id") % 20 == 0, k=1).collect()))
+    assert best == [(0, 1, 1, (1 << 63) - 1), (20, 1, 0, (1 << 63) - 1)]
     assert topk.top_k(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
@@ -239,18 +278,64 @@ def test_benchmark_rows_that_share_an_id_or_have_none(spark, tmp_path):
     assert sorted(map(tuple, clean), key=repr) == sorted(docs[-3:-1], key=repr)
 
 
-def test_latent_space_keeps_the_items(spark):
-    """The corpus' own directions don't push the items out of the space: it holds them whole, and all copies are found."""
-    sf = "/root/testdata/sf0.01"
-    docs, bench = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "benchmark"))
-    words = lsa.stored_words(docs, "doc_id", "text")
+def test_latent_space_is_the_leading_one(spark):
+    """The basis spans the leading right singular vectors of passages and items, and words of the same passages come together in it."""
+    rnd = random.Random(21)
+    topics = [[f"t{i}w{j}" for j in range(30)] for i in range(6)]
+    docs = [(i, " ".join(rnd.choice(topics[i % 6]) for _ in range(48))) for i in range(600)]
+    items = [(i, " ".join(topics[i][:12]) + ". " + " ".join(topics[i][12:15])) for i in range(6)]
+    words = lsa.stored_words(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text")
     counts, total = lsa.document_frequencies(words)
-    rows = [(r.item_id, r.text) for r in bench.orderBy("item_id").collect()]
-    space = lsa.latent_space(words, rows, np.log((1 + total) / (1 + counts)), 0.45)
-    assert np.linalg.norm(space.latent, axis=1).min() > 0.999
-    plain = {d.doc_id: sorted(i for i, t in rows if t in d.text) for d in docs.collect()}
-    got = {r.doc_id: r["items"] for r in lsa.search(words, space, "doc_id", 0.8, 0.5).collect()}
-    assert got == plain
+    idf = np.log((1 + total) / (1 + counts))
+    space = lsa.with_bases(words, [lsa.empty_space(items, idf, 0.1)], 6)[0]
+    rows = [np.frombuffer(r.words, np.uint32) for r in words.collect()] + space.items
+    matrix = np.zeros((len(rows), len(space.terms)))
+    for i, row in enumerate(rows):
+        known = row[np.isin(row, space.terms)]
+        np.add.at(matrix[i], np.searchsorted(space.terms, known), 1)
+    exact = np.linalg.svd(matrix * space.weights)[2][:6]
+    assert np.linalg.svd(exact @ space.basis)[1].min() > 0.99
+    other = lsa.word_hashes(pa.array([" ".join(topics[2][5:15])]))[0]  # shares few words with the first words of its item
+    vector = np.zeros(len(space.terms))
+    np.add.at(vector, np.searchsorted(space.terms, other), 1)
+    y = (vector * space.weights) @ space.basis
+    cosines = space.latent @ (y / np.linalg.norm(y))
+    assert cosines.argmax() == 2 and cosines[2] > 0.95 and np.delete(cosines, 2).max() < 0.3
+
+
+def test_paraphrases_with_words_put_in_between(spark):
+    """Their words stand too far apart for the lookup by rare words, so the latent space alone brings them up."""
+    rnd = random.Random(22)
+    topics = [[f"t{i}w{j}" for j in range(60)] for i in range(8)]
+    filler = [f"f{j}" for j in range(2000)]
+    docs = [(i, " ".join(rnd.choice(topics[i % 8]) if rnd.random() < 0.7 else rnd.choice(filler) for _ in range(200))) for i in range(160)]
+    items = [(i, " ".join(rnd.sample(topics[i], 44)) + ". " + " ".join(rnd.sample(topics[i], 6))) for i in range(8)]
+
+    def wide(text):
+        body = text.split()
+        out = []
+        for j, x in enumerate(body):
+            out.append(x if j >= len(body) - 6 or rnd.random() < 0.7 else rnd.choice(filler))
+            out += [rnd.choice(filler)] * (j % 3 != 0 and j < len(body) - 6)
+        return " ".join(out)
+
+    planted = [(1000 + i, " ".join(rnd.choice(filler) for _ in range(90)) + " " + wide(t) + " " + " ".join(rnd.choice(filler) for _ in range(90))) for i, t in items]
+    df, bench = spark.createDataFrame(docs + planted, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found = {r.doc_id: r["items"] for r in lsa.contaminated(df, bench, rank=16, cosine=0.2).collect()}
+    alone = {r.doc_id: r["items"] for r in lsa.contaminated(df, bench, rank=16, cosine=0.2, similar=2.0).collect()}
+    assert sum(found[1000 + i] == [i] for i in range(8)) >= 7
+    assert sum(alone[1000 + i] == [i] for i in range(8)) < sum(found[1000 + i] == [i] for i in range(8))
+    assert not any(x for k, x in found.items() if k < 1000)
+
+
+def test_copies_of_items_of_any_length(spark):
+    rnd = random.Random(23)
+    w = [f"{rnd.choice('bcdfg')}{rnd.choice('aeiou')}{rnd.choice('lmnrst')}{i}" for i in range(3000)]
+    text = lambda n: " ".join(rnd.choice(w) for _ in range(n))
+    items = [(n * 100 + i, text(n)) for n in (4, 6, 8, 10, 14, 48, 200, 300, 400, 1000) for i in range(4)]
+    docs = [(i, f"{text(400)} {t} {text(10)}") for i, t in items] + [(-1, text(900))]
+    got = {r.doc_id: r["items"] for r in lsa.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {i: [i] for i, _ in items} | {-1: []}
 
 
 def test_document_frequencies(spark):
@@ -293,6 +378,30 @@ def test_tool_calls(spark):
     assert toolcalls.link_tool_calls(calls, results.limit(0), tools.limit(0)).filter("status = 'ok'").count() == 0
 
 
+def test_numbers_keys_and_large_conversations(spark, monkeypatch):
+    forms = {
+        "1": "1", "1e2": "100", "1.50": "1.5", "-0.0": "0", "1e-1": "0.1", "1e24": "1" + "0" * 24, "1" + "0" * 24: "1" + "0" * 24, "1e-7": "0.0000001", "0.0000001": "0.0000001", "1e40": "1e40", "1.5E-30": "1.5e-30",
+        "0." + "0" * 29 + "15": "1.5e-30", "1.2345678925e8": "123456789.25", '{"b":1.0,"a":["1.0\\"2.50\\\\",1e2,-3.10]}': '{"a":["1.0\\"2.50\\\\",100,-3.1],"b":1}', '"' + "\\n" * 20000 + '1.0"': '"' + "\\n" * 20000 + '1.0"',
+    }
+    df = spark.createDataFrame([(x,) for x in forms], "j string").select("j", toolcalls.canonical_json(F.to_json(F.try_parse_json("j"))).alias("c"))
+    assert {r.j: r.c for r in df.collect()} == forms
+    kind = "conv_id bigint, turn bigint, call_id string, name string, arguments string, depends_on array<string>"
+    calls = spark.createDataFrame([(1, 0, "a", "t", '{"n":1.0}', None), (1, 1, "b", "t", '{"n":1e2,"n":2}', None), (1, 2, "c", "t", '{"n":1.5}', None), (1, 3, "d", "t", '{"n": x', None)], kind)
+    results = spark.createDataFrame([(1, x, 9, "r") for x in "abcd"], "conv_id bigint, call_id string, turn bigint, content string")
+    tools = spark.createDataFrame([("t", "n", "integer", True)], "name string, field string, type string, required boolean")
+    got = {r.call_id: (r.errors, r.json) for r in toolcalls.link_tool_calls(calls, results, tools).collect()}
+    assert got["a"] == ("", '{"arguments":{"n":1},"call_id":"a","name":"t","result":"r"}') and got["b"][0] == "duplicate keys" and got["c"][0] == "wrong type n"
+    assert got["b"][1] == '{"arguments":"{\\"n\\":1e2,\\"n\\":2}","call_id":"b","name":"t","result":"r"}' and got["d"][0] == "not an object"
+    rnd = random.Random(4)
+    many = [(c, i, f"c{i}", "t", "{}", [f"c{rnd.randrange(max(1, i))}" for _ in range(rnd.randrange(3))] if i else None) for c in range(3) for i in range((4, 9, 30)[c])]
+    many += [(7, 0, "x", "t", "{}", ["y"]), (7, 1, "y", "t", "{}", ["x", None]), (7, 2, "z", "t", "{}", ["y"]), (7, 3, "s", "t", "{}", ["s"]), (7, 4, "o", "t", "{}", ["gone"])]
+    frame = spark.createDataFrame(many, kind)
+    rounds = sorted(map(tuple, toolcalls.levels_by_rounds(frame).collect()), key=repr)
+    assert sorted(map(tuple, toolcalls.levels_in_rows(frame).collect()), key=repr) == rounds
+    monkeypatch.setattr(toolcalls, "MOST", 8)
+    assert sorted(map(tuple, toolcalls.levels(frame).collect()), key=repr) == rounds
+
+
 def test_pipeline_stages_equal_plain_versions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
@@ -318,6 +427,27 @@ def test_pipeline_stages_equal_plain_versions(spark):
         assert r.ids == theirs.encode(dict(rows)[r.doc_id], add_special_tokens=False).ids and r.n_tokens == len(r.ids)
 
 
+def test_stages_on_odd_rows(spark):
+    """Null and repeated ids, null, empty and long texts, columns with the stages' own names, empty tables."""
+    long = " ".join(f"word{i % 977}x{i % 13}" for i in range(40_000))
+    prose = " ".join(f"w{i}" for i in range(60))
+    texts = [(1, prose), (1, prose), (None, prose), (None, prose + " z"), (2, long), (3, long + " end"), (None, ""), (4, None), (None, None), (5, "mail a.b@c.org"), (0, prose + " y z")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or ""), 7, 8) for k, t in texts], "doc_id bigint, text string, lang string, source string, n_chars bigint, _score int, _row int")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["near-dedup"](spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(0, prose + " y z"), (2, long), (None, ""), (4, None), (None, None), (5, "mail a.b@c.org")], key=repr)
+    scored = stages["quality"](spark, docs, SF)
+    assert scored.columns == docs.columns and {tuple(r) for r in scored.collect()} <= {tuple(r) for r in docs.collect()}
+    assert sorted(map(tuple, stages["decontamination"](spark, docs, SF).collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+    clean = stages["pii"](spark, docs, SF)
+    assert clean.columns == docs.columns and sorted((r.text for r in clean.collect() if r.doc_id == 5)) == ["mail <EMAIL>"] and clean.filter("text is null").count() == 2
+    coded = stages["bpe"](spark, docs, SF)
+    assert coded.count() == len(texts) and coded.filter("n_tokens = 0").count() == 3
+    for name, stage in stages.items():
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     n = spark.read.parquet(f"{SF}/documents.parquet").count()

@@ -56,7 +56,8 @@ def discard(*tables: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
-    """Bounds the Arrow batches that whole texts go through, in rows and, where Spark can, in bytes."""
+    """Bounds the Arrow batches that whole texts go through, in rows and, where Spark can, in bytes. It holds for the session: results
+    are read after a query has returned, and the batches are cut then."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(int(size.rstrip("m")) << 20))
 
@@ -67,6 +68,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as make it no column of df."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
     """df.mapInArrow with a worker that is made once for each task."""
 

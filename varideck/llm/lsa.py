@@ -2,19 +2,22 @@
 
 1. Texts become lists of 32-bit word hashes (lower case, without punctuation), stored once.
 2. Document frequencies over all passages of PASSAGE words, in 2**16 hash buckets, give the weights.
-3. A randomised SVD of the TF-IDF matrix: its columns are the benchmark's terms, its rows the benchmark's items and the corpus
-   passages with enough weight on those terms to reach the asked cosine. With a random matrix R each task adds up its part of
-   A'(A R); the sum of these small matrices, orthonormalised, spans the leading right singular vectors (one power step).
-4. Overlapping windows of all documents are projected; pairs of window and item with enough cosine are candidates.
-5. So are all places that the decision below could accept, whatever their cosine. Of L words of which n have to be found, any L - n + 1
-   hold one that is found: each item is looked up by so many of its rarest words (for a copy) and of its answer's (for a paraphrase), and
-   a place stays if the words around it hold enough of the item's.
-6. The longest common subsequence of the item and the words around a window decides: enough of the item in order is a copy, less is a
-   paraphrase if the item's answer (its last sentence) is there too. Every stretch of at most the item's words and STRIDE more that
-   passes is found, for items of any length.
-
-The benchmark is worked on in groups of at most `group` rows, so what is broadcast is bounded whatever the benchmark's size. Rows of
-both tables have a number of their own: groups are cut and results are put together by it, never by the ids.
+3. A randomised SVD of the TF-IDF matrix: its columns are the benchmark's terms, its rows the corpus passages with enough weight on
+   those terms and the items, all at their natural weight. Each task adds up its part of A'(A Q) for the basis Q so far, a random one at
+   first; the sum of these small matrices, orthonormalised, is the next basis, so each of STEPS passes is a power step. The basis of
+   `rank` columns is the latent space: words that occur in the same passages come to lie in the same directions.
+4. Overlapping windows of all documents and pieces of PASSAGE words of the items are projected into it; pairs with a cosine of at least
+   `similar` there are candidates.
+5. So are all places that the decision below could accept, whatever their cosine, as a reduced space loses some. Of L words of which n
+   have to be found, any L - n + 1 hold one that is found: each item is looked up by so many of its rarest words (for a copy) and of its
+   answer's (for a paraphrase), and a place stays if the words around it hold enough of the item's.
+6. The longest common subsequence of the item and the words around a candidate decides: enough of the item in order is a copy, less is a
+   paraphrase if the item's answer (its last sentence) is there too. Step 5 finds every stretch of at most the item's words and STRIDE
+   more that passes, for items of any length; step 4 adds those whose words stand further apart.
+
+The benchmark is worked on in groups of at most `group` rows with a space each, and `groups` of them in one pass over the documents, so
+what is broadcast is bounded whatever the benchmark's size. Rows of both tables have a number of their own: groups are cut and results
+are put together by it, never by the ids.
 
 Defined cases: null and empty texts, and texts without words, are clean; items without words match nothing; texts are searched whole;
 each row of the documents gives one row, whatever ids repeat; an item found several times is named once; a document with a null id is
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,7 @@ PASSAGE = 48
 STRIDE = 24
 BUCKETS = 1 << 16
 SENTENCE = (46, 33, 63)
-EMPHASIS = 1e4
+STEPS = 2
 ROW = "_row_number"
 
 
@@ -55,10 +59,8 @@ def stored_words(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, words (binary, uint32 hashes) and the row's number, ROW."""
 
     def make():
-        rolling = RollingHash(31)
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for part in slices(batch.column(1)) for x in word_hashes(part, rolling)], pa.binary())], [key, "words"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for part in slices(batch.column(1)) for x in word_hashes(part)], pa.binary())], [key, "words"])
 
         return work
 
@@ -112,7 +114,8 @@ class Space:
     answers: list[np.ndarray]
     ids: list[int]
     basis: np.ndarray  # terms x rank
-    latent: np.ndarray  # items x rank, unit length
+    latent: np.ndarray  # pieces x rank, unit length
+    piece_of: np.ndarray  # the item of each piece
     cosine: float
 
     def term_numbers(self, hashes: np.ndarray) -> np.ndarray:
@@ -229,128 +232,153 @@ class Lookup:
             spot, j = spot[order], j[order]
             doc = np.searchsorted(at, spot, "right") - 1
             a, b = np.maximum(spot - self.reach[j], at[doc]), np.minimum(spot + self.reach[j] + 1, at[doc + 1])
-            i = 0
-            while i < len(spot):
-                width = 2 * int(self.reach[j[min(len(spot), i + 4096) - 1]]) + 1
-                part = slice(i, i + max(1, min(4096, cells // width)))
-                grid = a[part, None] + np.arange(width)
-                t = np.where(grid < b[part, None], term[np.minimum(grid, len(term) - 1)], -1)
-                mine = np.where(t >= 0, self.counts[j[part, None], t], 0)
-                ok = np.flatnonzero((mine > 0).sum(1) >= self.need[j[part]])
-                # The words of the item that are there at all, each as often as the item has it.
-                t = np.sort(t[ok], axis=1)
-                fresh = np.c_[np.ones(len(ok), bool), t[:, 1:] != t[:, :-1]] & (t >= 0)
-                ok = ok[np.where(fresh, self.counts[j[part][ok, None], t], 0).sum(1, dtype=np.int64) >= self.need[j[part][ok]]]
-                yield from zip(j[part][ok].tolist(), a[part][ok].tolist(), b[part][ok].tolist(), strict=True)
-                i += len(grid)
-
-
-def read_items(rows: list, rolling: RollingHash) -> tuple[list[np.ndarray], list[np.ndarray]]:
+            ok = self.enough(term, j, a, b, cells)
+            yield from zip(j[ok].tolist(), a[ok].tolist(), b[ok].tolist(), strict=True)
+
+    def enough(self, term: np.ndarray, j: np.ndarray, a: np.ndarray, b: np.ndarray, cells: int = 1 << 20) -> np.ndarray:
+        """Which of the stretches a..b hold as many of the words of their item j, each at most as often as the item has it, as have to
+        be found. Stretches of like length should stand together."""
+        out, i = [np.zeros(0, np.int64)], 0
+        while i < len(j):
+            width = int((b - a)[i : i + 4096].max())
+            part = slice(i, i + max(1, min(4096, cells // max(1, width))))
+            grid = a[part, None] + np.arange(width)
+            t = np.where(grid < b[part, None], term[np.minimum(grid, len(term) - 1)], -1)
+            mine = np.where(t >= 0, self.counts[j[part, None], t], 0)
+            ok = np.flatnonzero((mine > 0).sum(1) >= self.need[j[part]])
+            t = np.sort(t[ok], axis=1)
+            fresh = np.c_[np.ones(len(ok), bool), t[:, 1:] != t[:, :-1]] & (t >= 0)
+            out.append(i + ok[np.where(fresh, self.counts[j[part][ok, None], t], 0).sum(1, dtype=np.int64) >= self.need[j[part][ok]]])
+            i += len(grid)
+        return np.concatenate(out)
+
+
+def read_items(rows: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Word hashes of each item and of its answer: its last sentence, or the last quarter where it has one sentence."""
-    items = word_hashes(pa.array([r[1] for r in rows], pa.string()), rolling)
+    items = word_hashes(pa.array([r[1] for r in rows], pa.string()))
     tails = []
     for (_, text), item in zip(rows, items, strict=True):
         body = (text or "").rstrip().rstrip(".!?")
         cut = max(body.rfind(chr(c)) for c in SENTENCE)
-        tail = word_hashes(pa.array([body[cut + 1 :]]), rolling)[0] if cut >= 0 else item[:0]
+        tail = word_hashes(pa.array([body[cut + 1 :]]))[0] if cut >= 0 else item[:0]
         tails.append(tail if 3 <= len(tail) < len(item) else item[-max(3, len(item) // 4) :])
     return items, tails
 
 
-def latent_space(words: DataFrame, rows: list, idf: np.ndarray, cosine: float, extra: int = 32, seed: int = 9) -> Space | None:
-    """The space of a group of items, by a randomised SVD over the stored words."""
-    items, answers = read_items(rows, RollingHash(31))
+def empty_space(rows: list, idf: np.ndarray, cosine: float) -> Space | None:
+    """The space of a group of items without its basis; None where they have no words."""
+    items, answers = read_items(rows)
     terms = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint32)
-    if not len(terms):
-        return None
-    weights = idf[terms & np.uint32(BUCKETS - 1)]
-    rank = min(len(terms), len(items) + extra)
-    space = Space(terms, weights, idf, items, answers, [r[0] for r in rows], np.zeros((0, 0)), np.zeros((0, 0)), cosine)
-    random = np.random.default_rng(seed).standard_normal((len(terms), rank)).astype(np.float32)
-    shared = words.sparkSession.sparkContext.broadcast((space, random))
+    none = np.zeros((0, 0))
+    return Space(terms, idf[terms & np.uint32(BUCKETS - 1)], idf, items, answers, [r[0] for r in rows], none, none, np.zeros(0, np.int64), cosine) if len(terms) else None
+
+
+def passage_products(words: DataFrame, spaces: list[Space], bases: list[np.ndarray]) -> list[np.ndarray]:
+    """A'(A Q) for each space's matrix A of corpus passages and its basis Q."""
+    shared = words.sparkSession.sparkContext.broadcast((spaces, bases))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, r = shared.value
-        total, mass = np.zeros(r.shape, np.float64), 0.0
+        totals = [np.zeros(q.shape, np.float64) for q in shared.value[1]]
         for batch in batches:
             hashes, at = batch_words(batch.column(0))
-            start, end, norm, term = here.windows(hashes, at, PASSAGE)
-            for i in range(0, len(start), 4096):
-                a, b = start[i : i + 4096], end[i : i + 4096]
-                y = here.rows(term, a, b, r)
-                for offset in range(PASSAGE):  # A'Y: each word adds its window's row to its term's
-                    spot = a + offset
-                    fits = np.flatnonzero(spot < b)
-                    fits = fits[term[spot[fits]] >= 0]
-                    t = term[spot[fits]]
-                    order = np.argsort(t, kind="stable")
-                    heads = np.flatnonzero(np.r_[True, np.diff(t[order]) > 0]) if len(t) else t
-                    if len(t):
-                        total[t[order][heads]] += np.add.reduceat(y[fits[order]], heads, axis=0) * here.weights[t[order][heads], None]
-            mass += float(norm.sum())
-        part = np.arange(len(total), dtype=np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[part, -1].astype(np.int32)), pa.array([*(x.tobytes() for x in total.astype(np.float32)), np.array([mass], np.float32).tobytes()], pa.binary())], ["term", "row"])
+            for here, q, total in zip(*shared.value, totals, strict=True):
+                start, end, _, term = here.windows(hashes, at, PASSAGE)
+                for i in range(0, len(start), 4096):
+                    a, b = start[i : i + 4096], end[i : i + 4096]
+                    y = here.rows(term, a, b, q)
+                    for offset in range(PASSAGE):  # A'Y: each word adds its window's row to its term's
+                        spot = a + offset
+                        fits = np.flatnonzero(spot < b)
+                        fits = fits[term[spot[fits]] >= 0]
+                        t = term[spot[fits]]
+                        order = np.argsort(t, kind="stable")
+                        heads = np.flatnonzero(np.r_[True, np.diff(t[order]) > 0]) if len(t) else t
+                        if len(t):
+                            total[t[order][heads]] += np.add.reduceat(y[fits[order]], heads, axis=0) * here.weights[t[order][heads], None]
+        for n, total in enumerate(totals):
+            part = np.flatnonzero(np.any(total, 1)).astype(np.int32)
+            if len(part):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), n, np.int32)), pa.array(part), pa.array([x.tobytes() for x in total[part].astype(np.float32)], pa.binary())], ["space", "term", "row"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for t, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for *t, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = np.frombuffer(row, np.float32).astype(np.float64)
-                sums[t] = sums[t] + x if t in sums else x
+                sums[*t] = sums[*t] + x if (*t,) in sums else x
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in sums.values()], pa.binary())], ["term", "row"])
-
-    n = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = words.select("words").mapInArrow(run, "term int, row binary").repartition(n, "term").mapInArrow(add, "term int, row binary")
-    product, mass = np.zeros((len(terms), rank)), 0.0
-    for r in parts.collect():  # one row a term of the group
-        if r.term < 0:
-            mass = float(np.frombuffer(r.row, np.float32)[0])
-        else:
-            product[r.term] = np.frombuffer(r.row, np.float32)
-    own = np.zeros((len(items), len(terms)))
-    for i, item in enumerate(items):
-        np.add.at(own[i], np.searchsorted(terms, item), 1)
-    own *= weights
-    # The items outweigh the corpus by far, so that one power step keeps their directions whatever the corpus holds.
-    scale = EMPHASIS * max(1.0, mass / max(1e-9, float((own**2).sum())))
-    product += scale * (own.T @ (own @ random))
-    basis, _ = np.linalg.qr(product)
-    latent = own @ basis
-    latent /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
-    space.basis, space.latent = basis.astype(np.float32), latent.astype(np.float32)
-    return space
-
-
-def search(words: DataFrame, space: Space, key: str, copied: float, paraphrased: float) -> DataFrame:
+            n, t = zip(*sums, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(t, pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in sums.values()], pa.binary())], ["space", "term", "row"])
+
+    n, kind = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "space int, term int, row binary"
+    out = [np.zeros(q.shape) for q in bases]
+    for r in words.select("words").mapInArrow(run, kind).repartition(n, "space", "term").mapInArrow(add, kind).collect():  # one row a term of the groups
+        out[r.space][r.term] = np.frombuffer(r.row, np.float32)
+    shared.unpersist()
+    return out
+
+
+def with_bases(words: DataFrame, spaces: list[Space], rank: int, seed: int = 9) -> list[Space]:
+    """The spaces with the leading right singular vectors of corpus passages and items, and the items' pieces in them."""
+    rng = np.random.default_rng(seed)
+    own, bases = [], []
+    for space in spaces:
+        pieces = [(j, x[i : i + PASSAGE]) for j, x in enumerate(space.items) for i in range(0, len(x), PASSAGE)]
+        matrix = np.zeros((len(pieces), len(space.terms)), np.float32)
+        for i, (_, piece) in enumerate(pieces):
+            np.add.at(matrix[i], np.searchsorted(space.terms, piece), 1)
+        own.append(matrix * space.weights.astype(np.float32))
+        space.piece_of = np.array([j for j, _ in pieces])
+        bases.append(np.linalg.qr(rng.standard_normal((len(space.terms), min(rank, len(space.terms)))))[0].astype(np.float32))
+    for _ in range(STEPS):
+        products = passage_products(words, spaces, bases)
+        bases = [np.linalg.qr(x + a.T @ (a @ q))[0].astype(np.float32) for x, a, q in zip(products, own, bases, strict=True)]
+    for space, a, q in zip(spaces, own, bases, strict=True):
+        latent = a @ q
+        space.basis, space.latent = q, (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    return spaces
+
+
+def latent_candidates(space: Space, lookup: Lookup, term: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray, similar: float) -> Iterator[tuple[int, int, int]]:
+    """item, start and end of the words around the window for each pair with enough cosine in the latent space, if they hold enough of
+    the item's words to be accepted."""
+    sizes = np.array([len(x) for x in space.items])
+    for i in range(0, len(start), 4096):
+        a, b = start[i : i + 4096], end[i : i + 4096]
+        y = space.rows(term, a, b, space.basis)
+        y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
+        w, piece = np.nonzero(y @ space.latent.T >= similar)
+        j = space.piece_of[piece]
+        order = np.argsort(sizes[j], kind="stable")
+        w, j = w[order], j[order]
+        doc = np.searchsorted(at, a[w], "right") - 1
+        low, high = np.maximum(at[doc], a[w] - sizes[j]), np.minimum(at[doc + 1], b[w] + sizes[j])
+        ok = lookup.enough(term, j, low, high)
+        yield from zip(j[ok].tolist(), low[ok].tolist(), high[ok].tolist(), strict=True)
+
+
+def search(words: DataFrame, spaces: list[Space], key: str, similar: float, copied: float, paraphrased: float) -> DataFrame:
     """key, items array<bigint>, share double (the largest) and ROW for each document, repeated rows one by one."""
-    shared = words.sparkSession.sparkContext.broadcast((space, Lookup.of(space, copied, paraphrased)))
+    shared = words.sparkSession.sparkContext.broadcast([(x, Lookup.of(x, copied, paraphrased)) for x in spaces])
 
     def make():
-        here, lookup = shared.value
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             hashes, at = batch_words(batch.column(1))
-            start, end, norm, term = here.windows(hashes, at, STRIDE)
-            found: list[dict[int, float]] = [{} for _ in range(batch.num_rows)]
-
-            def decide(doc: int, j: int, a: int, b: int) -> None:
-                if len(here.items[j]) and found[doc].get(j, 0) < 1:
-                    share = decided(here.items[j], here.answers[j], hashes[a:b], copied, paraphrased)
-                    if share > found[doc].get(j, 0):
-                        found[doc][j] = share
-
-            for i in range(0, len(start), 4096):
-                a, b = start[i : i + 4096], end[i : i + 4096]
-                cosines = here.rows(term, a, b, here.basis) @ here.latent.T / np.sqrt(norm[i : i + 4096])[:, None]
-                for w, j in zip(*np.nonzero(cosines >= here.cosine), strict=True):
-                    doc = int(np.searchsorted(at, a[w], "right")) - 1
-                    size = len(here.items[j])
-                    decide(doc, j, max(at[doc], a[w] - size), min(at[doc + 1], b[w] + size))
-            for j, a, b in lookup.places(term, at):
-                decide(int(np.searchsorted(at, a, "right")) - 1, j, a, b)
-            lists = [sorted((here.ids[j] for j in x), key=lambda i: (i is None, i or 0)) for x in found]
-            best = [max(x.values(), default=0.0) for x in found]
+            lists, best = [[] for _ in range(batch.num_rows)], [0.0] * batch.num_rows
+            for here, lookup in shared.value:
+                start, end, _, term = here.windows(hashes, at, STRIDE)
+                found: dict[tuple[int, int], float] = {}
+
+                for j, a, b in chain(lookup.places(term, at), latent_candidates(here, lookup, term, at, start, end, similar)):
+                    doc = int(np.searchsorted(at, a, "right")) - 1
+                    if found.get((doc, j), 0) < 1:
+                        share = decided(here.items[j], here.answers[j], hashes[a:b], copied, paraphrased)
+                        if share > found.get((doc, j), 0):
+                            found[doc, j] = share
+                for (doc, j), share in found.items():
+                    lists[doc].append(here.ids[j])
+                    best[doc] = max(best[doc], share)
+            lists = [sorted(set(x), key=lambda i: (i is None, i or 0)) for x in lists]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int64())), pa.array(best, pa.float64()), batch.column(2)], [key, "items", "share", ROW])
 
         return work
@@ -358,26 +386,26 @@ def search(words: DataFrame, space: Space, key: str, copied: float, paraphrased:
     return map_batches(words.select(key, "words", ROW), make, f"`{key}` {words.schema[key].dataType.simpleString()}, items array<bigint>, share double, {ROW} bigint")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", cosine: float = 0.45, copied: float = 0.8, paraphrased: float = 0.5, group: int = 256) -> DataFrame:
-    """key, contaminated boolean, items array<bigint> (ids of the items found, ascending), share double for each row of docs."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", cosine: float = 0.45, similar: float = 0.5, copied: float = 0.8, paraphrased: float = 0.5, rank: int = 128, group: int = 256, groups: int = 16) -> DataFrame:
+    """key, contaminated boolean, items array<bigint> (ids of the items found, ascending), share double for each row of docs. A window is
+    projected if its weight on the items' terms is at least cosine**2 of its whole weight."""
     words = stored_words(docs, key, text)
     counts, total = document_frequencies(words)
     idf = np.log((1 + total) / (1 + counts)).astype(np.float64)
     # Stored, so that the rows' numbers stay what they are.
     named = stored(benchmark.select(F.monotonically_increasing_id().alias("n"), F.col(item).cast("bigint").alias("i"), F.col(item_text).alias("t")), "benchmark")
-    found, groups, last = None, 0, -1
-    while True:  # group after group, in the order of rows
-        rows = named.filter(F.col("n") > last).orderBy("n").limit(group).collect()
+    found, passes, last = None, 0, -1
+    while True:  # pass after pass, in the order of rows
+        rows = named.filter(F.col("n") > last).orderBy("n").limit(group * groups).collect()
         if not rows:
             break
         last = rows[-1].n
-        if space := latent_space(words, [(r.i, r.t) for r in rows], idf, cosine):
-            part = search(words, space, key, copied, paraphrased)
-            found, groups = part if found is None else found.unionByName(part), groups + 1
+        spaces = [empty_space([(r.i, r.t) for r in rows[i : i + group]], idf, cosine) for i in range(0, len(rows), group)]
+        if spaces := [x for x in spaces if x is not None]:
+            part = search(words, with_bases(words, spaces, rank), key, similar, copied, paraphrased)
+            found, passes = part if found is None else found.unionByName(part), passes + 1
     if found is None:
         return words.select(key, F.lit(False).alias("contaminated"), F.array().cast("array<bigint>").alias("items"), F.lit(0.0).alias("share"))
-    if groups > 1:
+    if passes > 1:
         found = found.groupBy(ROW, key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("share").alias("share"))
-    else:
-        found = found.withColumn("items", F.array_distinct("items"))
     return found.select(key, (F.size("items") > 0).alias("contaminated"), "items", "share")

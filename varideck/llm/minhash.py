@@ -34,6 +34,7 @@ from .components import connected_components
 DEVIATIONS = 4.8
 #: At most so many lists can each hold more than this part of all entries.
 HOT_LISTS = 1024
+HOT_LEAST = 1 << 12
 
 
 def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
@@ -137,7 +138,7 @@ def rare_entries(classes: DataFrame, k: int, percent: int) -> DataFrame:
         some = classes.filter(where).select("key", "n", whole.alias("whole"), F.explode(values).alias("value"))
         entries = some if entries is None else entries.union(some)
     held = F.sum(F.when(F.col("n") <= most, F.col("n")).otherwise(0) + F.when(F.col("n") >= int(p * most), F.least("n", F.lit(k))).otherwise(0))
-    bound = max(1 << 12, -(-(classes.agg(held.alias("c")).first().c or 0) // HOT_LISTS))
+    bound = max(HOT_LEAST, -(-(classes.agg(held.alias("c")).first().c or 0) // HOT_LISTS))
     lists = entries.groupBy(*LIST).agg(F.count(F.lit(1)).alias("_lists")).filter("_lists > 1").withColumn("hot", F.col("_lists") > bound)
     hot = F.broadcast(lists.filter("hot"))
     listed = entries.join(hot, LIST).unionByName(entries.join(hot.select(*LIST), LIST, "left_anti").join(lists.filter("not hot"), LIST))

@@ -1,20 +1,25 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field that adds spans the patterns miss.
 
-The field scores whole spans of white-space tokens around digits, @ and +: features of the span as one text (shape, counts, checks,
-the word before it). A dynamic programme over spans of at most MOST_TOKENS tokens chooses boundaries and kinds together; tokens
-outside entities are spans of one. Its weights are trained in numpy by stochastic gradient ascent of the likelihood, on a bounded
-sample of documents whose base spans are the labels. A decoded span is added where it overlaps no base span and beats "no entity"
-by MARGIN.
+The field scores whole spans of white-space tokens around digits, @ and spelled-out forms of it: features of the span as one text
+(shape, groups of digits, checks, the word before it). A dynamic programme over spans of at most MOST_TOKENS tokens chooses boundaries
+and kinds together; tokens outside entities are spans of one. A decoded span is added where it overlaps no base span and beats "no
+entity" by MARGIN.
+
+Its weights are trained in numpy by stochastic gradient ascent of the likelihood, on a bounded sample of documents: their base spans
+are labels, and each also comes in copies as people disguise or mistype such data (perturbed: brackets, other separators, a missing
+plus, a wrong check digit), which the base patterns don't match, and in copies where something harmless stands in its place (decoy: a
+date, a version, a price, a number), labelled as no entity.
 
 Defined cases: a null or empty text has no spans; texts are searched whole and in time linear in their length; base spans of
 different kinds may overlap, as each kind is found by itself; rows with a null id are kept; repeated rows give repeated results;
-other columns are dropped, whatever their names.
+without a base span in the sample the field adds nothing; other columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,14 +30,13 @@ from pyspark.sql import functions as F
 from .common import map_batches
 
 KINDS = ("email", "ip", "card", "phone")
-MOST_TOKENS = 6
-MARGIN = 3.0
+MOST_TOKENS = 8
+MARGIN = 2.0
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 #: A match can only begin where a run of digits begins, and never gives digits back: the same matches in linear time.
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
-IP_FIRST = re.compile(r"(?<![0-9])[0-9]++(?=\.[0-9])")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
@@ -71,64 +75,52 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 TOKEN = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-SPOT = re.compile(r"[0-9@]")
+#: What an entity can't do without: a digit, @, or a spelled-out at or dot.
+SPOT = re.compile(r"[0-9@]|(?i:[(\[]at[)\]]|\bdot\b)")
+SPELLED = re.compile(r"(?i)\bat\b.*\bdot\b", re.DOTALL)
+BRACKETED = re.compile(r"(?i)[(\[](?:at|dot)[)\]]")
 TRIM = ".,;:!?\"')]}"
 
 
 def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Token bounds of stretches around tokens with a digit or @, with a token on either side; only those can hold an entity."""
+    """Token bounds of stretches around tokens with a spot, with a token on either side (four and two of a spelled one); only those can
+    hold an entity."""
+    spots = [*SPOT.finditer(text)]
+    tokens = [m.span() for m in TOKEN.finditer(text)] if spots else []
+    starts = [a for a, _ in tokens]
     out: list[list[tuple[int, int]]] = []
-    done = 0
-    for spot in SPOT.finditer(text):
-        if spot.start() < done:
+    end = 0  # tokens before it are in the stretches
+    for spot in spots:
+        i = bisect_right(starts, spot.start()) - 1
+        before, after = (4, 2) if spot.group()[0] in "([dD" else (1, 1)
+        first, last = max(i - before, 0), min(i + after + 1, len(tokens))
+        if last <= end:
             continue
-        first = max(text.rfind(c, 0, spot.start()) for c in " \t\n\r\x0b\x0c") + 1 if spot.start() - 200 < 0 else _token_start(text, spot.start())
-        own = TOKEN.match(text, first)
-        tokens = [own.span()]
-        done = own.end()
-        before = _token_before(text, first)
-        if out and before and out[-1][-1][0] >= before[0]:  # goes on from the last stretch
-            if out[-1][-1] != before:
-                tokens = [before, *tokens]
-            out[-1] += [t for t in tokens if t[0] > out[-1][-1][0]]
-        else:
-            out.append(([before] if before else []) + tokens)
-        if after := TOKEN.search(text, done):
-            out[-1].append(after.span())
-    return [_unique(w) for w in out]
-
-
-def _unique(tokens: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    return sorted(set(tokens))
-
-
-def _token_start(text: str, at: int) -> int:
-    while at and text[at - 1] not in " \t\n\r\x0b\x0c":
-        at -= 1
-    return at
-
-
-def _token_before(text: str, at: int) -> tuple[int, int] | None:
-    while at and text[at - 1] in " \t\n\r\x0b\x0c":
-        at -= 1
-    return (_token_start(text, at), at) if at else None
+        if not out or first > end:
+            out.append([])
+        out[-1] += tokens[max(first, end) : last]
+        end = last
+    return out
 
 
-WIDTH = 192
+SHAPES, WORDS = 1024, 64
+FLAGS = 128
+WIDTH = FLAGS + SHAPES + WORDS
 LETTERS = re.compile(r"[^\W\d_]+")
 DIGITS = re.compile(r"[0-9]+")
 
 
 def span_features(x: str, tokens: int, before: str) -> list[int]:
-    """Numbers of the features that hold for the span x of so many tokens, after the word before."""
-    digits = [c for c in x if c in "0123456789"]
-    n = len(digits)
-    shape = DIGITS.sub(lambda m: "9" if m.end() - m.start() < 4 else "99", LETTERS.sub("a", x))
+    """Numbers of the features that hold for the span x of so many tokens, after the word before; as many for every span."""
+    groups = DIGITS.findall(x)
+    n = sum(map(len, groups))
+    shape = DIGITS.sub(lambda m: str(min(m.end() - m.start(), 9)), LETTERS.sub("a", x))
     on = [
         0, tokens, 7 + min(n, 20), 28 + min(3, x.count("@")), 32 + min(4, x.count(".")), 37 + x.startswith("+"), 39 + bool(LETTERS.search(x)),
         41 + ("=" in x or '"' in x), 43 + ("(" in x and ")" in x), 45 + ("-" in x), 47 + x[:1].isdigit(), 49 + x[-1:].isdigit(),
-        51 + (13 <= n <= 19 and luhn("".join(digits))), 53 + (x.count(".") == 3 and all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in x.split("."))),
-        55 + min(8, len(x) // 5), 64 + zlib.crc32(shape.encode()) % 96, 160 + zlib.crc32(before.lower().encode()) % 32,
+        51 + (13 <= n <= 19 and luhn("".join(groups))), 53 + (len(groups) == 4 and all(len(p) < 4 and int(p) < 256 for p in groups)),
+        55 + min(8, len(x) // 5), 64 + bool(SPELLED.search(x)), 66 + bool(BRACKETED.search(x)), 68 + min(len(groups), 8), 77 + x.startswith("("), 79 + (13 <= n <= 19 and not LETTERS.search(x)),
+        81 + (bool(groups) and max(map(len, groups)) >= 5), 83 + bool(re.search(r"[A-Za-z]\.[A-Za-z]", x)), FLAGS + zlib.crc32(shape.encode()) % SHAPES, FLAGS + SHAPES + zlib.crc32(before.lower().encode()) % WORDS,
     ]
     return on
 
@@ -139,6 +131,7 @@ class Stretch:
 
     n: int
     spans: list[tuple[int, int, int, int, list[int]]] = field(default_factory=list)
+    spots: list[bool] = field(default_factory=list)  # whether the span can be an entity at all
 
 
 def stretch(text: str, tokens: list[tuple[int, int]]) -> Stretch:
@@ -147,9 +140,12 @@ def stretch(text: str, tokens: list[tuple[int, int]]) -> Stretch:
         before = text[slice(*tokens[i - 1])] if i else ""
         for j in range(i, min(len(tokens), i + MOST_TOKENS)):
             raw = text[a : tokens[j][1]]
-            x = raw.strip(TRIM + "([{") if j == i else raw.rstrip(TRIM)
+            x = raw.rstrip(TRIM)
+            if j == i and not (set(x) & set(")]}")):  # an opening bracket stays with its closing one
+                x = x.lstrip("([{\"'")
             start = a + (raw.find(x) if x else 0)
             out.spans.append((i, j + 1, start, start + len(x), span_features(x, j - i + 1, before)))
+            out.spots.append(bool(SPOT.search(x)))
     return out
 
 
@@ -161,9 +157,9 @@ class SemiMarkov:
 
     def scores(self, s: Stretch) -> np.ndarray:
         """A row for each span, a column for each label; no entity only for single tokens."""
-        out = np.array([self.weights[f].sum(0) for *_, f in s.spans])
+        out = self.weights[[f for *_, f in s.spans]].sum(1)
         out[[b - a > 1 for a, b, *_ in s.spans], 0] = -np.inf
-        out[[not (x := f)[2] > 7 and f[3] == 28 for *_, f in s.spans], 1:] = -np.inf  # without a digit or @ there's no entity
+        out[[not spot for spot in s.spots], 1:] = -np.inf
         return out
 
     def decode(self, s: Stretch) -> list[tuple[int, int, float]]:
@@ -216,28 +212,78 @@ def gold_segments(text: str, s: Stretch, spans: list[tuple[str, int, int]]) -> s
     return gold | {(k, 0) for k, (i, j, *_) in enumerate(s.spans) if j - i == 1 and i not in used}
 
 
-def train(texts: list[str], epochs: int = 6, rate: float = 0.5, decay: float = 1e-4, most: int = 1200, seed: int = 3) -> SemiMarkov:
-    """From the windows of these texts (`most` at most), labelled by their base spans."""
+def perturbed(kind: str, x: str, rng: np.random.Generator) -> str:
+    """A base span as people disguise or mistype it, so that the base patterns miss it."""
+    digits = re.sub("[^0-9]", "", x)
+    pick = lambda *forms: forms[int(rng.integers(len(forms)))]
+    if kind == "email":
+        at, dot = pick(("(at)", "."), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)"), (" (at) ", "."), (" @ ", "."), ("[at]", "."))
+        local, _, domain = x.partition("@")
+        return local + at + domain.replace(".", dot)
+    if kind == "ip":
+        return x.replace(".", pick("-", ",", "[.]", ":", "_"))
+    if kind == "card":
+        wrong = digits[:-1] + str((int(digits[-1]) + 1 + int(rng.integers(9))) % 10)
+        mark = pick("", " ", "-", ".", "/")
+        whole = pick(wrong, digits) if mark in "./" and mark else wrong
+        return mark.join(whole[i : i + 4] for i in range(0, len(whole), 4))
+    code, area, first, last = digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:]
+    mark = pick("-", ".", " ", "/")
+    return pick(f"({area}) {first}-{last}", f"{area}{mark}{first}{mark}{last}", f"00{code} {area}{mark}{first}{mark}{last}", f"{code or 1}-{area}-{first}-{last}", f"({area}){first}-{last}", f"{area}/{first}{last}")
+
+
+def decoy(rng: np.random.Generator) -> str:
+    """Something harmless with digits."""
+    n = lambda low, high: int(rng.integers(low, high))
+    forms = (
+        f"{n(1900, 2100)}-{n(1, 13):02d}-{n(1, 29):02d}", f"{n(1, 29)}/{n(1, 13)}/{n(1900, 2100)}", f"{n(1, 29):02d}.{n(1, 13):02d}.{n(1900, 2100)}", f"{n(0, 24):02d}:{n(0, 60):02d}", f"{n(0, 24):02d}:{n(0, 60):02d}:{n(0, 60):02d}",
+        f"{n(0, 20)}.{n(0, 20)}.{n(0, 20)}", f"v{n(0, 20)}.{n(0, 20)}", f"{n(1, 999)},{n(0, 1000):03d}.{n(0, 100):02d}", f"{n(1, 999)},{n(0, 1000):03d},{n(0, 1000):03d}", f"${n(1, 999)}.{n(0, 100):02d}", f"{n(0, 10 ** n(1, 10))}", f"{n(1900, 2100)}-{n(1900, 2100)}",
+        f"978-{n(0, 10)}-{n(10, 100)}-{n(100000, 1000000)}-{n(0, 10)}", f"{n(1, 100)}%", f"#{n(1, 10**6)}", f"{n(0, 1 << 40):x}", f"A{n(1000, 9999)}-{n(10, 99)}", f"{n(1, 500)} of {n(1, 500)}", f"{n(1, 100)} x {n(1, 100)}", f"@{'abcdefghij'[n(0, 10)]}{n(1, 99)}", f"{n(-90, 90)}.{n(1000, 9999)}, {n(-180, 180)}.{n(1000, 9999)}", "the dot on", "(at) first",
+    )
+    return forms[n(0, len(forms))]
+
+
+def lessons(text: str, rng: np.random.Generator) -> list[tuple[Stretch, set[tuple[int, int]]]]:
+    """The windows of a text with their labels, and each base span in a perturbed copy and a decoy's place."""
+    out, spans = [], base_spans(text)
+
+    def learn(x: str, labels: list[tuple[str, int, int]], wanted: int) -> None:
+        for w in windows(x):
+            s = stretch(x, w)
+            gold = gold_segments(x, s, [y for y in labels if w[0][0] <= y[1] and y[2] <= w[-1][1]])
+            if not wanted or any(label for _, label in gold):  # a copy that is no candidate span teaches the wrong thing
+                out.append((s, gold))
+
+    learn(text, spans, 0)
+    for kind, a, b in spans:
+        before, after = (" ".join(x) for x in (text[max(0, a - 80) : a].split()[-5:], text[b : b + 80].split()[:3]))
+        lead, tail = text[max(0, a - 80) : a][-1:].isspace() or not before, after and text[b : b + 1].isspace()
+        head = before + " " * bool(before and lead)
+        for copy, labelled in ((perturbed(kind, text[a:b], rng), True), (perturbed(kind, text[a:b], rng), True), (decoy(rng), False), (decoy(rng), False)):
+            if not base_spans(copy):
+                learn(head + copy + " " * bool(tail) + after, [(kind, len(head), len(head) + len(copy))] if labelled else [], labelled)
+    return out
+
+
+def train(texts: list[str], epochs: int = 4, rate: float = 0.4, decay: float = 1e-4, most: int = 3000, seed: int = 3) -> SemiMarkov:
+    """From the lessons of these texts, in a random order, `most` at most."""
     model, rng = SemiMarkov(np.zeros((WIDTH, len(KINDS) + 1))), np.random.default_rng(seed)
-    data = []
-    for text in texts:
-        spans = base_spans(text)
-        for w in windows(text):
-            if len(data) < most and len(w) <= 40:
-                s = stretch(text, w)
-                data.append((s, gold_segments(text, s, spans)))
+    data = [x for text in texts for x in lessons(text, rng)]
+    if not any(label for _, gold in data for _, label in gold):
+        model.weights[0, 1:] = -2 * MARGIN
+        return model
+    data = [data[i] for i in rng.permutation(len(data))[:most]]
+    flat = [np.array([f for *_, f in s.spans]) for s, _ in data]
     for epoch in range(epochs):
         for i in rng.permutation(len(data)):
-            s, gold = data[i]
-            g = model.gradient(s, gold)
             now = rate / (1 + epoch)
+            g = model.gradient(*data[i])
             model.weights *= 1 - now * decay
-            for k, (*_, f) in enumerate(s.spans):
-                model.weights[f] += now * g[k] / 4
+            np.add.at(model.weights, flat[i], now * g[:, None, :] / 4)
     return model
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 1500) -> SemiMarkov:
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 900) -> SemiMarkov:
     """The model of at most `rows` documents with a digit or @, those with the least hash of their id; only they reach the driver."""
     some = docs.filter(F.col(text).rlike("[0-9@]")).select(F.col(key).alias("k"), F.xxhash64(key).alias("h"))
     chosen = some.orderBy("h", "k").limit(rows).select("k")
@@ -250,7 +296,7 @@ def all_spans(text: str, model: SemiMarkov) -> list[tuple[str, int, int, bool]]:
     base = base_spans(text)
     out = [(*x, True) for x in base]
     for w in windows(text):
-        if len(w) <= 3 * MOST_TOKENS and all(any(a <= i and j <= b for _, a, b in base) for m in [SPOT.search(text, *t) for t in w] if m for i, j in [m.span()]):
+        if all(any(a <= i and j <= b for _, a, b in base) for m in [SPOT.search(text, *t) for t in w] if m for i, j in [m.span()]):
             continue  # base spans cover every token that could hold an entity
         s = stretch(text, w)
         for k, label, margin in model.decode(s):

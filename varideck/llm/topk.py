@@ -4,12 +4,15 @@ For segments of length L with means m and deviations s, |q - x|^2 >= sum L((mq -
 inner product from above by sum L(mq mx + sq sx). Bounds go from one segment to many; a level drops the pairs that can't reach the
 query's k-th best exact score so far, and survivors of the finest level are computed exactly.
 
-Queries and candidates are packed into blocks; each pair of blocks is one unit of work and returns at most k rows a query, which a
-window cuts to the k best. Components are whole numbers, so all sums are exact below 2**53.
+Queries and candidates are packed into blocks. The blocks are dealt out to a grid of cells, some blocks of queries by some of candidates
+in each, so that all pairs meet and no cell outgrows a task, however many vectors have the same length. A pair of blocks returns at most
+k rows a query, which a window cuts to the k best. Components are whole numbers, so all sums are exact below 2**53; where norms allow
+more, a pair of blocks is worked out in whole numbers of any size, without bounds.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part; vectors of different length are never
 compared; an empty vector scores 0 with other empty ones; equal scores go to the smaller id; rows with the query's own id aren't its
-candidates, repeated rows of other ids count one by one; rows with a null id take no part; fewer than k candidates give all of them.
+candidates, repeated rows of other ids count one by one; rows with a null id take no part; fewer than k candidates give all of them;
+a score beyond a long counts as the greatest or the least long.
 """
 
 from __future__ import annotations
@@ -67,6 +70,8 @@ def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
 def best_of_blocks(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, vector id, score) of the k best candidates of each query in a block, ties to smaller ids."""
     own = q_ids[:, None] == x_ids[None, :]
+    if q.shape[1] and np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] >= 2.0**53:
+        return best_of_large(q, q_ids, x, x_ids, k)
     levels = [s for s in LEVELS if s <= max(1, q.shape[1])]
     bound = segment_features(q, levels[0]) @ segment_features(x, levels[0]).T
     slack = 1e-9 * (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :] + 1)
@@ -97,7 +102,17 @@ def best_of_blocks(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.nd
     return q_ids[a[keep]], x_ids[b[keep]], s[keep].astype(np.int64)
 
 
-def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", scale: float = 64.0, query_rows: int = 512, candidate_rows: int = 4096) -> DataFrame:
+def best_of_large(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """best_of_blocks in whole numbers of any size."""
+    whole, rows = np.vectorize(int, otypes=[object]), []
+    columns, low, high = whole(x).T, -(1 << 63), (1 << 63) - 1
+    for i, row in zip(q_ids.tolist(), whole(q), strict=True):
+        scored = sorted((-min(max(s, low), high), j) for s, j in zip((row @ columns).tolist(), x_ids.tolist(), strict=True) if i != j)
+        rows += [(i, j, -s) for s, j in scored[:k]]
+    return tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else tuple(np.zeros(0, np.int64) for _ in range(3))
+
+
+def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", scale: float = 64.0, query_rows: int = 512, candidate_rows: int = 4096, cell: int = 4) -> DataFrame:
     """query_id, rank, vec_id, score for every row that is_query (over a column `id`) marks, against all rows."""
     spark = df.sparkSession
     vectors = stored(whole_vectors(df, key, vector, scale), "vectors")
@@ -106,10 +121,14 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec
     blocks = packed(vectors.repartition(max(1, -(-n // candidate_rows))), candidate_rows)
     blocks = stored(blocks.withColumn("_at", F.monotonically_increasing_id()), "candidate-blocks")
     asked = packed(vectors.filter(is_query).repartition(max(1, -(-n_queries // query_rows))), query_rows)
-    asked = asked.select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
-    # The stated queries go to every block of candidates: an equi-join on the block, of packed rows.
-    places = blocks.select("dim", "_at")
-    pairs = asked.join(places, "dim").join(blocks, ["dim", "_at"]).select("dim", "q_ids", "q_data", "ids", "data")
+    asked = stored(asked.withColumn("_at", F.monotonically_increasing_id()), "query-blocks")
+    # Some `cell` blocks of a side meet as many of the other in a cell of the grid; a block goes to all cells of its row or column.
+    rows, columns = (max(1, -(-blocks_ // (side * cell))) for blocks_, side in ((n_queries, query_rows), (n, candidate_rows)))
+    place = lambda side: F.pmod(F.xxhash64("_at"), F.lit(side)).cast("int")
+    every = lambda side: F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    asked = asked.select("dim", place(rows).alias("_row"), every(columns).alias("_column"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+    blocks = blocks.select("dim", place(columns).alias("_column"), every(rows).alias("_row"), "ids", "data")
+    pairs = asked.join(blocks, ["dim", "_row", "_column"]).select("dim", "q_ids", "q_data", "ids", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,11 +139,11 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
 
     # A row holds two blocks, so few go into a batch; the setting holds for this job alone.
-    rows, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set(rows, "16")
+    setting, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(setting, "16")
     try:
         best = stored(pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint"), "best-of-blocks")
     finally:
-        spark.conf.set(rows, before)
+        spark.conf.set(setting, before)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
