@@ -17,6 +17,7 @@ from tokenizers import Tokenizer
 
 from varideck.llm import bpe, pii, quality, token_orc, warc
 from varideck.llm import queries as q
+from varideck.llm.common import hash_words, mixed
 
 BYTE, WORD = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 SF = "/root/testdata/sf0.001"
@@ -205,6 +206,94 @@ def test_segmentation_is_the_best_of_all():
     assert len(found - again) < 0.1 * len(found)
 
 
+def test_the_field_finds_disguised_data():
+    """Recall of perturbed spans and precision, on documents that training hasn't seen."""
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist() if t and pii.base_spans(t)]
+    model, rng = pii.train(texts[:300]), np.random.default_rng(77)
+    asked, found, extra, decoys = {k: 0 for k in pii.KINDS}, {k: 0 for k in pii.KINDS}, 0, 0
+    for text in texts[300:600]:
+        for kind, a, b in pii.base_spans(text):
+            copy = pii.perturbed(kind, text[a:b], rng)
+            for x, wanted in ((copy, True), (pii.decoy(rng), False)):
+                if pii.base_spans(x):
+                    continue
+                line = f"so here it is {x} and more"
+                got = [s[:3] for s in pii.all_spans(line, model)]
+                if wanted:
+                    asked[kind] += 1
+                    found[kind] += (kind, 14, 14 + len(x)) in got
+                else:
+                    decoys += 1
+                    extra += bool(got)
+    assert sum(found.values()) >= 0.9 * sum(asked.values()) and all(found[k] >= 0.75 * asked[k] > 0 for k in asked) and extra <= 0.03 * decoys
+    added = {line: [line[a:b] for _, a, b, base in pii.all_spans(line, model) if not base] for line in ("call 784-555-9263 now", "write joe(at)example.com please", "card 4111 1111 1111 1112 ok", "Licensed under CC BY-NC 4.0.", "version 3.")}
+    assert list(added.values()) == [["784-555-9263"], ["joe(at)example.com"], ["4111 1111 1111 1112"], [], []]
+    assert [s for s in pii.all_spans("+1 (988) 555-2485", pii.train(["no data", "1 2 3"]))] == [("phone", 0, 17, True)]
+
+
+def test_queries_equal_plain_versions(spark):
+    """op1, op3, op5 and op10 as registered, over a whole table."""
+    import pyarrow.parquet as pq
+
+    docs = {r["doc_id"]: r["text"] or "" for r in pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+    personal = {r.doc_id: r for r in q.op5_pii(spark, SF).collect()}
+    for k, text in docs.items():
+        spans, r = plain_spans(text), personal[k]
+        assert [r[f"n_{kind}"] for kind in pii.KINDS] == [sum(s[0] == kind for s in spans) for kind in pii.KINDS]
+        joined = ["%s:%d:%d" % s for s in spans]
+        assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest() and set(joined) <= set(r.spans.split(",")) | {""}
+    word, byte = (Tokenizer.from_file(x) for x in (WORD, BYTE))
+    coded, start = {r.doc_id: r for r in q.op3_token_orc(spark, SF).collect()}, 0
+    for k in sorted(docs):
+        ids = [*word.encode(docs[k], add_special_tokens=False).ids, 1]
+        assert (coded[k].start, coded[k].n_tokens, coded[k].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    for r in q.op10_bpe(spark, SF).collect():
+        ids = byte.encode(docs[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(byte.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels)
+    for r in q.op1_quality(spark, SF).collect():
+        score = plain_score(model, docs[r.doc_id])
+        assert abs(r.score - score) < 1e-5 and r.predicted == int(r.score >= 0.7) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def plain_score(model, text):
+    """The score of one text, feature by feature."""
+    mask, raw, total, n = (1 << 64) - 1, text.encode(), 0.0, 0
+    shift, factor = 64 - model.bits, 0x9E3779B97F4A7C15
+    for order in (3, 4, 5):
+        for i in range(len(raw) - order + 1):
+            total += model.weights[((int.from_bytes(raw[i : i + order], "little") + order) * factor & mask) >> shift]
+            n += 1
+    words = re.findall(rb"[^ \t\n\r\x0b\x0c]+", raw)
+    hashes = [int(hash_words(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]), 3)[0]) for w in words]
+    pairs = [0 if a == b else int(mixed(np.array([(a * factor + b) & mask], np.uint64))[0]) >> shift for a, b in zip(hashes, hashes[1:], strict=False)]
+    for bucket in [h >> shift for h in hashes] + pairs:
+        total += model.weights[bucket]
+        n += 1
+    return 1 / (1 + np.exp(-(total / max(n, 1) + model.bias)))
+
+
+def test_sql_of_the_queries(spark):
+    """The queries with SQL against DuckDB, over whole tables."""
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "pages", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    for name, sql in q.oracle_sql().items():
+        want = con.execute(sql)
+        columns = sorted(c[0] for c in want.description)
+        at = [[c[0] for c in want.description].index(c) for c in columns]
+        rows = [tuple(r[i] for i in at) for r in want.fetchall()]
+        got = [tuple(r) for r in q.queries()[name](spark, SF).select(*columns).collect()]
+        assert sorted(got, key=repr) == sorted(rows, key=repr), name
+
+
 def test_personal_data_tables(spark):
     model = pii.train(["mail joe@x.com"] * 5)
     df = spark.createDataFrame([(1, "é joe@x.com +1 784 555 9263"), (2, None), (None, "10.0.0.1"), (3, ""), (3, "z" * 200_000)], "doc_id bigint, text string").withColumn("spans", F.lit(0))

@@ -13,7 +13,8 @@
    answer's (for a paraphrase), and a place stays if the words around it hold enough of the item's.
 6. The longest common subsequence of the item and the words around a candidate decides: enough of the item in order is a copy, less is a
    paraphrase if the item's answer (its last sentence) is there too. Step 5 finds every stretch of at most the item's words and STRIDE
-   more that passes, for items of any length; step 4 adds those whose words stand further apart.
+   more that passes, for items of any length; step 4 adds longer ones, whose words stand further apart. Short items of common words are
+   found in long stretches by chance, so for a paraphrase these have to hold APART more of the item.
 
 The benchmark is worked on in groups of at most `group` rows with a space each, and `groups` of them in one pass over the documents, so
 what is broadcast is bounded whatever the benchmark's size. Rows of both tables have a number of their own: groups are cut and results
@@ -43,6 +44,8 @@ STRIDE = 24
 BUCKETS = 1 << 16
 SENTENCE = (46, 33, 63)
 STEPS = 2
+#: So much more of an item has to be found where its words stand further apart.
+APART = 0.1
 ROW = "_row_number"
 
 
@@ -176,14 +179,22 @@ def subsequence(item: np.ndarray, words: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
-def decided(item: np.ndarray, answer: np.ndarray, words: np.ndarray, copied: float, paraphrased: float) -> float:
-    """The item's share found in order, or 0 where it is neither a copy nor a paraphrase with its answer."""
+def decided(item: np.ndarray, answer: np.ndarray, words: np.ndarray, copied: float, paraphrased: float, stretch: int | None = None) -> float:
+    """The item's share found in order, or 0 where it is neither a copy nor a paraphrase with its answer. A paraphrase has to fit into
+    `stretch` words that begin with one of the item's; then the largest share of such a stretch counts."""
     share = subsequence(item, words) / len(item)
     if share >= copied:
         return share
-    if share >= paraphrased and len(answer) and subsequence(answer, words) >= 0.8 * len(answer):
+    if share < paraphrased or not len(answer) or subsequence(answer, words) < 0.8 * len(answer):
+        return 0.0
+    if stretch is None or len(words) <= stretch:
         return share
-    return 0.0
+    best = 0.0
+    for start in np.flatnonzero(np.isin(words, item)).tolist():
+        part = words[start : start + stretch]
+        if (share := subsequence(item, part) / len(item)) > best and share >= paraphrased and subsequence(answer, part) >= 0.8 * len(answer):
+            best = share
+    return best
 
 
 def least_share(n: int, share: float) -> int:
@@ -340,19 +351,19 @@ def with_bases(words: DataFrame, spaces: list[Space], rank: int, seed: int = 9)
 
 
 def latent_candidates(space: Space, lookup: Lookup, term: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray, similar: float) -> Iterator[tuple[int, int, int]]:
-    """item, start and end of the words around the window for each pair with enough cosine in the latent space, if they hold enough of
-    the item's words to be accepted."""
-    sizes = np.array([len(x) for x in space.items])
+    """item, start and end of the words around the window's middle, two and a half times as many as the item has, for each pair with enough
+    cosine in the latent space, if they hold enough of the item's words to be accepted."""
+    reach = np.array([5 * len(x) // 4 for x in space.items])
     for i in range(0, len(start), 4096):
         a, b = start[i : i + 4096], end[i : i + 4096]
         y = space.rows(term, a, b, space.basis)
         y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
         w, piece = np.nonzero(y @ space.latent.T >= similar)
         j = space.piece_of[piece]
-        order = np.argsort(sizes[j], kind="stable")
+        order = np.argsort(reach[j], kind="stable")
         w, j = w[order], j[order]
-        doc = np.searchsorted(at, a[w], "right") - 1
-        low, high = np.maximum(at[doc], a[w] - sizes[j]), np.minimum(at[doc + 1], b[w] + sizes[j])
+        doc, middle = np.searchsorted(at, a[w], "right") - 1, (a[w] + b[w]) // 2
+        low, high = np.maximum(at[doc], middle - reach[j]), np.minimum(at[doc + 1], middle + reach[j])
         ok = lookup.enough(term, j, low, high)
         yield from zip(j[ok].tolist(), low[ok].tolist(), high[ok].tolist(), strict=True)
 
@@ -369,10 +380,12 @@ def search(words: DataFrame, spaces: list[Space], key: str, similar: float, copi
                 start, end, _, term = here.windows(hashes, at, STRIDE)
                 found: dict[tuple[int, int], float] = {}
 
-                for j, a, b in chain(lookup.places(term, at), latent_candidates(here, lookup, term, at, start, end, similar)):
+                near = ((*x, paraphrased, STRIDE) for x in lookup.places(term, at))
+                far = ((*x, min(copied, paraphrased + APART), None) for x in latent_candidates(here, lookup, term, at, start, end, similar))
+                for j, a, b, least, more in chain(near, far):
                     doc = int(np.searchsorted(at, a, "right")) - 1
                     if found.get((doc, j), 0) < 1:
-                        share = decided(here.items[j], here.answers[j], hashes[a:b], copied, paraphrased)
+                        share = decided(here.items[j], here.answers[j], hashes[a:b], copied, least, more and len(here.items[j]) + more)
                         if share > found.get((doc, j), 0):
                             found[doc, j] = share
                 for (doc, j), share in found.items():

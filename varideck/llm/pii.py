@@ -261,7 +261,9 @@ def lessons(text: str, rng: np.random.Generator) -> list[tuple[Stretch, set[tupl
         head = before + " " * bool(before and lead)
         for copy, labelled in ((perturbed(kind, text[a:b], rng), True), (perturbed(kind, text[a:b], rng), True), (decoy(rng), False), (decoy(rng), False)):
             if not base_spans(copy):
-                learn(head + copy + " " * bool(tail) + after, [(kind, len(head), len(head) + len(copy))] if labelled else [], labelled)
+                line, c, d = head + copy + " " * bool(tail) + after, len(head), len(head) + len(copy)
+                others = [x for x in base_spans(line) if x[2] <= c or x[1] >= d]  # other data around it stays what it is
+                learn(line, [*others, (kind, c, d)] if labelled else others, labelled)
     return out
 
 
