@@ -40,6 +40,17 @@ def gt_het(gt: Column) -> Column:
     return gt_called(gt) & (F.get(a, F.lit(0)) != F.get(a, F.lit(1)))
 
 
+def gt_class(gt: Column) -> Column:
+    """What a genotype is, in plain text operations that cost little: 0 missing, 1 both alleles known and none alternative, 2 known and
+    different, 3 known, equal and alternative, 4 two different alleles one of which is unknown, 5 anything else."""
+    t = F.translate(gt, "|", "/")
+    one, two = F.substring_index(t, "/", 1), F.substring_index(t, "/", -1)
+    pair = F.length(t) - F.length(F.replace(t, F.lit("/"), F.lit(""))) == 1
+    known = pair & (one != ".") & (two != ".")
+    kind = F.when(gt_missing(gt), 0).when(known & (one != two), 2).when(known & (one == "0"), 1).when(known, 3).when(pair & (one != two), 4)
+    return kind.otherwise(5)
+
+
 def gt_phased(gt: Column) -> Column:
     return F.coalesce(gt.contains("|"), F.lit(False))
 

@@ -27,12 +27,23 @@ def genotypes(calls: DataFrame) -> DataFrame:
     return calls.withColumns({"allele1": part(0), "allele2": part(1), "phased": c.gt_phased(F.col("gt")), "dosage": c.gt_dosage(F.col("gt"))})
 
 
+def by_genotype(calls: DataFrame, *keys: str) -> DataFrame:
+    """The keys and, for each class of genotypes among their calls, _k: its rows _n, and the sum _dp and number _nd of its depths. Equal
+    genotypes are counted first, so the rules are applied to the few distinct ones and not to every call."""
+    few = calls.groupBy(*keys, "gt").agg(F.count(F.lit(1)).alias("_n"), F.sum("dp").alias("_dp"), F.count("dp").alias("_nd"))
+    return few.withColumn("_k", c.gt_class(F.col("gt")))
+
+
+def of_class(condition: Column, name: str) -> Column:
+    return F.sum(F.when(condition, F.col("_n")).otherwise(0)).alias(name)
+
+
 def site_metrics(calls: DataFrame) -> DataFrame:
     """Metrics of each site: half-missing and haploid genotypes are neither missing nor called."""
-    gt = F.col("gt")
-    out = calls.groupBy(*SITE).agg(
-        F.count(F.lit(1)).alias("total_genotypes"), n(c.gt_missing(gt), "missing_genotypes"), n(c.gt_called(gt), "called_genotypes"), n(c.gt_het(gt), "heterozygous_count"),
-        F.count("dp").alias("dp_non_missing"), F.sum("dp").alias("_dp"),
+    k = F.col("_k")
+    out = by_genotype(calls, *SITE).groupBy(*SITE).agg(
+        F.sum("_n").alias("total_genotypes"), of_class(k == 0, "missing_genotypes"), of_class(k.between(1, 3), "called_genotypes"), of_class(k == 2, "heterozygous_count"),
+        F.sum("_nd").alias("dp_non_missing"), F.sum("_dp").alias("_dp"),
     )
     total, missing = F.col("total_genotypes"), F.col("missing_genotypes")
     return out.select(
@@ -42,26 +53,23 @@ def site_metrics(calls: DataFrame) -> DataFrame:
 
 
 def site_metrics_imputed(variants: DataFrame, calls: DataFrame) -> DataFrame:
-    """Metrics of imputed sites: everything that isn't wholly missing counts as called."""
-    gt = F.col("gt")
-    a = c.alleles(gt)
-    het = ~c.gt_missing(gt) & F.coalesce((F.size(a) == 2) & (F.get(a, F.lit(0)) != F.get(a, F.lit(1))), F.lit(False))
-    out = calls.groupBy(*SITE).agg(F.count(F.lit(1)).alias("total_genotypes"), n(c.gt_missing(gt), "missing_genotypes"), n(~c.gt_missing(gt), "called_genotypes"), n(het, "heterozygous_count"))
+    """Metrics of imputed sites, with their qual, af, dr2 and imp: everything that isn't wholly missing counts as called."""
+    k = F.col("_k")
+    out = by_genotype(calls, *SITE).groupBy(*SITE).agg(F.sum("_n").alias("total_genotypes"), of_class(k == 0, "missing_genotypes"), of_class(k > 0, "called_genotypes"), of_class(k.isin(2, 4), "heterozygous_count"))
     total, missing, called = F.col("total_genotypes"), F.col("missing_genotypes"), F.col("called_genotypes")
     rates = out.select(
         *SITE, rate(called, total).alias("call_rate"), rate(missing, total).alias("missing_rate"), rate(F.col("heterozygous_count"), called).alias("heterozygous_rate"),
         "called_genotypes", "missing_genotypes", "total_genotypes", "heterozygous_count",
     )
-    return variants.select(*SITE, "qual", "dr2", "imp").join(rates, SITE)
+    return variants.select(*SITE, "qual", "af", "dr2", "imp").join(rates, SITE)
 
 
 def snp_counts(variants: DataFrame, calls: DataFrame, allowed: tuple[str, ...] = ("PASS", ".")) -> DataFrame:
     """Counts of each sample on each chromosome, on biallelic SNPs with an allowed filter."""
     sites = v.filter_status(v.biallelic_snps(variants), allowed).select("site_key")
-    gt = F.col("gt")
-    called, het = c.gt_called(gt), c.gt_het(gt)
-    counts = calls.join(sites, "site_key", "left_semi").groupBy(F.col("chrom").alias("chr_label"), "sample").agg(
-        n(called & (c.gt_dosage(gt) == 0), "n_refhom"), n(called & ~het & (c.gt_dosage(gt) > 0), "n_homalt"), n(het, "n_het"), n(~called, "n_missing")
+    k = F.col("_k")
+    counts = by_genotype(calls.join(sites, "site_key", "left_semi"), "chrom", "sample").groupBy(F.col("chrom").alias("chr_label"), "sample").agg(
+        of_class(k == 1, "n_refhom"), of_class(k == 3, "n_homalt"), of_class(k == 2, "n_het"), of_class(~k.between(1, 3), "n_missing")
     )
     return with_totals(counts)
 
@@ -113,14 +121,17 @@ def snp_count(variants: DataFrame) -> DataFrame:
 
 
 def callset_summary(variants: DataFrame, n_samples: DataFrame) -> DataFrame:
-    """key, value rows: records, samples, SNPs, indels, multiallelic sites, transitions and transversions. n_samples: a one-row table."""
-    one_base = (F.length("ref") == 1) & F.forall("alt", lambda a: F.length(a) == 1)
+    """key, value rows: records, samples, SNPs, MNPs (all alleles of one length above 1), indels (an allele of another length), other sites
+    (symbolic alleles, *, breakends, no allele), multiallelic sites, transitions and transversions. n_samples: a one-row table."""
+    plain = F.coalesce((F.size("alt") > 0) & F.forall("alt", lambda a: a.rlike("^[A-Za-z]+$")), F.lit(False))
+    alike = plain & F.forall("alt", lambda a: F.length(a) == F.length("ref"))
+    one_base = alike & (F.length("ref") == 1)
     first = F.concat(F.col("ref"), F.get("alt", F.lit(0)))
     ts = first.isin("AG", "GA", "CT", "TC")
     bi = v.is_biallelic_snp()
-    out = variants.agg(F.count(F.lit(1)).alias("records"), n(one_base, "snps"), n(~one_base, "indels"), n(F.size("alt") > 1, "multiallelic"), n(bi & ts, "transitions"), n(bi & ~ts, "transversions"))
+    out = variants.agg(F.count(F.lit(1)).alias("records"), n(one_base, "snps"), n(alike & ~one_base, "mnps"), n(plain & ~alike, "indels"), n(~plain, "others"), n(F.size("alt") > 1, "multiallelic"), n(bi & ts, "transitions"), n(bi & ~ts, "transversions"))
     out = out.join(n_samples.select(F.col(n_samples.columns[0]).cast("bigint").alias("samples")), how="cross")  # one row and one row
-    return out.unpivot([], ["records", "samples", "snps", "indels", "multiallelic", "transitions", "transversions"], "key", "value")
+    return out.unpivot([], ["records", "samples", "snps", "mnps", "indels", "others", "multiallelic", "transitions", "transversions"], "key", "value")
 
 
 def variant_count_gate(variants: DataFrame, least: int = 10) -> DataFrame:
@@ -158,14 +169,25 @@ def sample_variant_qc(calls: DataFrame, geno: float = 1.0, mind: float = 1.0, ma
     return filter_maf(filter_geno(filter_mind(calls, mind), geno), maf)
 
 
+def qc_report(calls: DataFrame, geno: float = 1.0, mind: float = 1.0, maf: float = 0.01) -> DataFrame:
+    """kind (sample or variant), name, kept, reason (mind, geno or maf; NULL where kept) of sample_variant_qc: samples are judged on all
+    sites, variants on the samples that are left. A variant without a known genotype goes by geno, or by maf where geno lets it pass."""
+    missing = c.ratio(F.count_if(F.col("dosage").isNull()), F.count(F.lit(1)))
+    samples = calls.groupBy(F.col("sample").alias("name")).agg((missing > mind).alias("_gone")).select(F.lit("sample").alias("kind"), "name", F.when(F.col("_gone"), "mind").alias("reason"))
+    af = c.ratio(F.col("_ac"), 2 * F.col("_n"))
+    sites = filter_mind(calls, mind).groupBy(F.col("site_key").cast("string").alias("name")).agg((missing > geno).alias("_gone"), F.sum("dosage").alias("_ac"), F.count("dosage").alias("_n"))
+    sites = sites.select(F.lit("variant").alias("kind"), "name", F.when(F.col("_gone"), "geno").when(~F.coalesce(F.least(af, 1 - af) >= maf, F.lit(False)), "maf").alias("reason"))
+    return samples.unionByName(sites).select("kind", "name", F.col("reason").isNull().alias("kept"), "reason")
+
+
 def subset_samples(calls: DataFrame, wanted: DataFrame) -> DataFrame:
     """Calls of the listed samples."""
     return calls.join(wanted.select("sample"), "sample", "left_semi")
 
 
-def depth_matrix(calls: DataFrame, samples: list[str]) -> DataFrame:
-    """One row a site, one column a sample: its depth."""
-    return calls.groupBy(*SITE).pivot("sample", samples).agg(F.first("dp"))
+def depth_matrix(variants: DataFrame, calls: DataFrame, samples: list[str]) -> DataFrame:
+    """One row a site: info_dp, the depth that the site's INFO states, and one column a sample, its own depth."""
+    return variants.select(*SITE, "info_dp").join(calls.groupBy(*SITE).pivot("sample", samples).agg(F.first("dp")), SITE)
 
 
 def check_sample_lists(by_file: DataFrame) -> DataFrame:

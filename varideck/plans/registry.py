@@ -178,16 +178,28 @@ def _(p):
     return k.site_metrics(p.calls).select("chrom", "pos", "mean_depth")
 
 
-@query("F23_depth_matrix", "SELECT chrom, pos, CAST(max(CASE WHEN sample = 'S0001' THEN dp END) AS DOUBLE) AS S0001, CAST(max(CASE WHEN sample = 'S0002' THEN dp END) AS DOUBLE) AS S0002, CAST(max(CASE WHEN sample = 'S0003' THEN dp END) AS DOUBLE) AS S0003 FROM calls GROUP BY 1, 2", "calls")
+@query("F23_depth_matrix", "SELECT chrom, pos, max(site_key * 3 % 1000) AS info_dp, CAST(max(CASE WHEN sample = 'S0001' THEN dp END) AS DOUBLE) AS S0001, CAST(max(CASE WHEN sample = 'S0002' THEN dp END) AS DOUBLE) AS S0002, CAST(max(CASE WHEN sample = 'S0003' THEN dp END) AS DOUBLE) AS S0003 FROM calls GROUP BY 1, 2", "calls")
 def _(p):
     names = ["S0001", "S0002", "S0003"]
-    return k.depth_matrix(p.calls, names).select("chrom", "pos", *[F.col(x).cast("double").alias(x) for x in names])
+    return k.depth_matrix(stated(p), p.calls, names).select("chrom", "pos", "info_dp", *[F.col(x).cast("double").alias(x) for x in names])
+
+
+def stated(p):
+    return p.sites.withColumn("info_dp", F.col("site_key") * 3 % 1000)
+
+
+@query("F23c_depths_by_sample", "SELECT chrom, pos, site_key * 3 % 1000 AS info_dp, sample, dp FROM calls WHERE dp IS NOT NULL", "calls")
+def _(p):
+    """The whole matrix, told as rows again."""
+    names = [r["sample"] for r in p.samples.select("sample").distinct().orderBy("sample").collect()]
+    wide = k.depth_matrix(stated(p), p.calls, names)
+    return wide.unpivot(["chrom", "pos", "info_dp"], names, "sample", "dp").filter("dp is not null")
 
 
 @query("F23b_depth_matrix_whole")
 def _(p):
     names = [r["sample"] for r in p.samples.select("sample").distinct().orderBy("sample").collect()]
-    return k.depth_matrix(p.calls, names)
+    return k.depth_matrix(stated(p), p.calls, names)
 
 
 @query("F24_target_chroms", f"{IDS} WHERE chrom IN ('Chr03', 'Chr05')", "sites")
@@ -235,6 +247,18 @@ def _(p):
     return k.sample_variant_qc(p.calls, 0.06, 0.0625, 0.05).select("site_key", "sample")
 
 
+@query(
+    "F30b_qc_report",
+    f"""WITH g AS (SELECT sample, CAST(count(*) - count(dosage) AS DOUBLE) / count(*) > 0.0625 AS gone FROM calls GROUP BY 1),
+    s AS (SELECT site_key, CAST(count(*) - count(dosage) AS DOUBLE) / count(*) > 0.06 AS gone, {MAF} >= 0.05 AS common FROM calls WHERE sample NOT IN (SELECT sample FROM g WHERE gone) GROUP BY 1),
+    r AS (SELECT 'sample' AS kind, sample AS name, CASE WHEN gone THEN 'mind' END AS reason FROM g UNION ALL SELECT 'variant', CAST(site_key AS VARCHAR), CASE WHEN gone THEN 'geno' WHEN NOT coalesce(common, false) THEN 'maf' END FROM s)
+    SELECT kind, name, reason IS NULL AS kept, reason FROM r""",
+    "calls",
+)
+def _(p):
+    return k.qc_report(p.calls, 0.06, 0.0625, 0.05)
+
+
 @query("F31_dedup_sites", "SELECT chrom, pos, min(site_key) AS site_key FROM (SELECT chrom, floor(pos / 1000) * 1000 AS pos, site_key FROM sites) GROUP BY 1, 2", "sites")
 def _(p):
     coarse = p.sites.select("chrom", (F.floor(F.col("pos") / 1000) * 1000).cast("double").alias("pos"), "site_key")
@@ -258,11 +282,11 @@ def a01(p):
     f"""WITH r AS (SELECT chrom, pos, {rate(f"count_if(NOT {MISS})", "count(*)")} AS call_rate, {rate(f"count_if({MISS})", "count(*)")} AS missing_rate,
     {rate(f"count_if(NOT {MISS} AND (gt LIKE '%/%' OR gt LIKE '%|%') AND {A1} <> {A2})", f"count_if(NOT {MISS})")} AS heterozygous_rate, CAST(count_if(NOT {MISS}) AS BIGINT) AS called_genotypes,
     CAST(count_if({MISS}) AS BIGINT) AS missing_genotypes, count(*) AS total_genotypes, CAST(count_if(NOT {MISS} AND (gt LIKE '%/%' OR gt LIKE '%|%') AND {A1} <> {A2}) AS BIGINT) AS heterozygous_count FROM calls GROUP BY 1, 2)
-    SELECT s.chrom, s.pos, qual, dr2, imp, call_rate, missing_rate, heterozygous_rate, called_genotypes, missing_genotypes, total_genotypes, heterozygous_count FROM sites s JOIN r ON s.chrom = r.chrom AND s.pos = r.pos""",
+    SELECT s.chrom, s.pos, qual, CAST(site_key * 53 % 101 AS DOUBLE) / 100 AS af, dr2, imp, call_rate, missing_rate, heterozygous_rate, called_genotypes, missing_genotypes, total_genotypes, heterozygous_count FROM sites s JOIN r ON s.chrom = r.chrom AND s.pos = r.pos""",
     "sites", "calls",
 )
 def _(p):
-    return k.site_metrics_imputed(p.sites, p.calls)
+    return k.site_metrics_imputed(p.sites.withColumn("af", (F.col("site_key") * 53 % 101).cast("double") / 100), p.calls)
 
 
 COUNTS = f"""SELECT chrom AS chr_label, sample, CAST(count_if({CALLED} AND {DOSE} = 0) AS BIGINT) AS n_refhom, CAST(count_if({CALLED} AND NOT {HET} AND {DOSE} > 0) AS BIGINT) AS n_homalt,
@@ -320,15 +344,20 @@ def _(p):
     return k.snp_count(p.variants)
 
 
+PLAIN = "alt <> '<DEL>'"
+ODD_ALLELES = "SELECT site_key, ref, CASE WHEN site_key % 58 = 0 THEN 'TG' WHEN site_key % 47 = 0 THEN '<DEL>' ELSE alt END AS alt FROM sites"
+
+
 @query(
     "A11_callset_summary",
-    f"""WITH s AS (SELECT count(*) AS records, (SELECT count(*) FROM samples) AS samples, CAST(count_if({ANY_SNP}) AS BIGINT) AS snps, CAST(count_if(NOT ({ANY_SNP})) AS BIGINT) AS indels,
+    f"""WITH s AS (SELECT count(*) AS records, (SELECT count(*) FROM samples) AS samples, CAST(count_if({ANY_SNP}) AS BIGINT) AS snps, CAST(count_if({PLAIN} AND length(ref) = 2 AND alt = 'TG') AS BIGINT) AS mnps, CAST(count_if({PLAIN} AND NOT ({ANY_SNP}) AND NOT (length(ref) = 2 AND alt = 'TG')) AS BIGINT) AS indels, CAST(count_if(NOT {PLAIN}) AS BIGINT) AS others,
     CAST(count_if(alt LIKE '%,%') AS BIGINT) AS multiallelic, CAST(count_if({SNP} AND ref || alt IN ('AG', 'GA', 'CT', 'TC')) AS BIGINT) AS transitions,
-    CAST(count_if({SNP} AND ref || alt NOT IN ('AG', 'GA', 'CT', 'TC')) AS BIGINT) AS transversions FROM sites) SELECT key, value FROM (UNPIVOT s ON COLUMNS(*) INTO NAME key VALUE value)""",
+    CAST(count_if({SNP} AND {PLAIN} AND ref || alt NOT IN ('AG', 'GA', 'CT', 'TC')) AS BIGINT) AS transversions FROM ({ODD_ALLELES})) SELECT key, value FROM (UNPIVOT s ON COLUMNS(*) INTO NAME key VALUE value)""",
     "sites", "samples",
 )
 def _(p):
-    return k.callset_summary(p.variants, p.samples.agg(F.count(F.lit(1)).alias("n")))
+    alt = F.when(F.col("site_key") % 58 == 0, "TG").when(F.col("site_key") % 47 == 0, "<DEL>").otherwise(F.col("alt"))
+    return k.callset_summary(p.sites.withColumn("alt", F.split(alt, ",")), p.samples.agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("A12_variant_count_gate", "SELECT chrom, count(*) AS n_variants, count(*) >= 110 AS enough FROM sites GROUP BY 1", "sites")
@@ -357,16 +386,12 @@ def _(p):
     return coverage.weighted_depth(p.coverage_bins)
 
 
-FEW = "few AS (SELECT * FROM calls WHERE sample IN (SELECT sample FROM samples WHERE k % 4 = 0))"
+FEW = "few AS (SELECT * FROM calls)"
 R2 = """pr AS (SELECT a.chrom, a.pos AS pos_a, b.pos AS pos_b, count(*) AS n, sum(a.dosage) AS x, sum(b.dosage) AS y, sum(a.dosage * a.dosage) AS xx, sum(b.dosage * b.dosage) AS yy, sum(a.dosage * b.dosage) AS xy
-  FROM few a JOIN few b ON a.chrom = b.chrom AND a.sample = b.sample AND b.pos > a.pos AND b.pos - a.pos <= 20000 WHERE a.dosage IS NOT NULL AND b.dosage IS NOT NULL GROUP BY 1, 2, 3),
+  FROM few a JOIN few b ON a.chrom = b.chrom AND a.sample = b.sample AND b.pos > a.pos AND b.pos - a.pos <= 1000000 WHERE a.dosage IS NOT NULL AND b.dosage IS NOT NULL GROUP BY 1, 2, 3),
 r2 AS (SELECT chrom, pos_a, pos_b, n, CAST(n * xy - x * y AS DOUBLE) * CAST(n * xy - x * y AS DOUBLE) / (CAST(n * xx - x * x AS DOUBLE) * CAST(n * yy - y * y AS DOUBLE)) AS r2 FROM pr WHERE n * xx - x * x > 0 AND n * yy - y * y > 0)"""
 
 
-def few(p):
-    return k.subset_samples(p.calls, p.samples.filter("k % 4 = 0"))
-
-
 @query(
     "A16_ld_decay",
     f"""WITH {FEW}, {R2}, w AS (SELECT * FROM (VALUES ('full_1000bp_1000kb', 1000, 1000000, 1000000000), ('fine_50bp_10kb', 50, 10000, 10000), ('fine_10bp_10kb', 10, 10000, 10000), ('fine_5bp_10kb', 5, 10000, 10000)) t(profile, bin_bp, max_bp, below)),
@@ -376,7 +401,7 @@ def few(p):
     "samples", "calls",
 )
 def a16(p):
-    return ld.ld_order(ld.ld_decay(ld.ld_r2(few(p), 20_000)))
+    return ld.ld_order(ld.ld_decay(ld.ld_r2(p.calls)))
 
 
 @query(
@@ -411,9 +436,9 @@ def _(p):
 
 @query(
     "A20_het_windows",
-    f"""WITH m AS ({METRICS}), w AS (SELECT chrom, CAST(floor(pos / 500000) AS BIGINT) AS "window", count(*) AS n_sites, sum(CAST(round(heterozygous_rate * 1e6) AS BIGINT)) AS x, sum(CAST(round(heterozygous_rate * 1e6) AS BIGINT) * CAST(round(heterozygous_rate * 1e6) AS BIGINT)) AS xx FROM m GROUP BY 1, 2),
-    v AS (SELECT chrom, "window", n_sites, CAST(x AS DOUBLE) / n_sites / 1e6 AS m, coalesce(sqrt(CAST(n_sites * xx - x * x AS DOUBLE) / CAST(nullif(n_sites * (n_sites - 1), 0) AS DOUBLE)) / 1e6, 0) AS s FROM w)
-    SELECT chrom, "window", n_sites, round(m, 6) AS mean_het, round(s, 6) AS sd_het, round(greatest(m - s, 0), 6) AS low, round(least(m + s, 1), 6) AS high FROM v""",
+    f"""WITH m AS ({METRICS}), w AS (SELECT chrom, CAST(floor(pos / 500000) AS BIGINT) AS "window", count(*) AS n_sites, sum(CAST(round(heterozygous_rate * 1e6) AS BIGINT)) AS x, sum(CAST(round(heterozygous_rate * 1e6) AS BIGINT) * CAST(round(heterozygous_rate * 1e6) AS BIGINT)) AS xx, round(CAST(sum(pos) AS DOUBLE) / count(*), 3) AS mean_pos FROM m GROUP BY 1, 2),
+    v AS (SELECT chrom, "window", n_sites, mean_pos, CAST(x AS DOUBLE) / n_sites / 1e6 AS m, coalesce(sqrt(CAST(n_sites * xx - x * x AS DOUBLE) / CAST(nullif(n_sites * (n_sites - 1), 0) AS DOUBLE)) / 1e6, 0) AS s FROM w)
+    SELECT chrom, "window", n_sites, mean_pos, round(m, 6) AS mean_het, round(s, 6) AS sd_het, round(greatest(m - s, 0), 6) AS low, round(least(m + s, 1), 6) AS high FROM v""",
     "calls",
 )
 def _(p):
@@ -465,9 +490,11 @@ def plots_series(p):
     return coverage.coverage_series(p.coverage_bins)
 
 
-@query("A26_package_counts", "SELECT (SELECT count(*) FROM sites) AS n_sites, (SELECT count(DISTINCT chrom) FROM sites) AS n_chromosomes, (SELECT count(*) FROM samples) AS n_samples_imported, (SELECT count(*) FROM samples WHERE k % 5 <> 0) AS n_samples_qc", "sites", "samples")
+@query("A26_package_counts", "SELECT (SELECT count(*) FROM sites) AS n_sites, (SELECT count(DISTINCT chrom) FROM sites) AS n_chromosomes, (SELECT count(*) FROM samples) AS n_samples_imported, (SELECT count(*) FROM samples WHERE k % 5 <> 0) AS n_samples_qc, (SELECT count(*) FROM samples WHERE k % 2 = 0) AS n_samples_pca, (SELECT count(DISTINCT chrom) FROM sites) AS n_components, (SELECT count(*) FROM sites) AS n_variants_imported, (SELECT count(*) FROM sites WHERE filter = 'PASS') AS n_variants_qc, (SELECT count(*) FROM sites WHERE site_key % 3 = 0) AS n_variants_pruned", "sites", "samples")
 def _(p):
-    return sinks.package_counts(p.sites, p.samples, p.samples.filter("k % 5 <> 0"))
+    components = p.sites.select("chrom").distinct()
+    more = {"samples_pca": p.samples.filter("k % 2 = 0"), "components": components, "variants_imported": p.sites, "variants_qc": p.sites.filter("filter = 'PASS'"), "variants_pruned": p.sites.filter("site_key % 3 = 0")}
+    return sinks.package_counts(p.sites, p.samples, p.samples.filter("k % 5 <> 0"), **more)
 
 
 DONE = "max(CASE WHEN suffix = '_genotyped.vcf.gz' AND has_index = 1 THEN 1 ELSE 0 END)"
@@ -494,9 +521,10 @@ def _(p):
     return inv.step_status(p.artifacts)
 
 
-@query("A29_completed_stage", "SELECT sample, CAST(max(CASE suffix WHEN '_1.fastq.gz' THEN 1 WHEN '_2.fastq.gz' THEN 2 WHEN '_recal.bam' THEN 3 WHEN '_raw.g.vcf.gz' THEN 4 ELSE 5 END) AS BIGINT) AS stage FROM artifacts GROUP BY 1", "artifacts")
+@query("A29_completed_stage", "SELECT sample, CAST(max(CASE suffix WHEN '_1.fastq.gz' THEN 0 WHEN '_2.fastq.gz' THEN CAST(substr(sample, 2) AS BIGINT) % 5 WHEN '_recal.bam' THEN 5 WHEN '_raw.g.vcf.gz' THEN 6 ELSE 7 END) AS BIGINT) AS stage FROM artifacts GROUP BY 1", "artifacts")
 def _(p):
-    return inv.completed_stage(p.artifacts)
+    early = F.get(F.array(*map(F.lit, ("_2.fastq.gz", *inv.COMPLETED[:4]))), (F.substring("sample", 2, 9).cast("bigint") % 5).cast("int"))
+    return inv.completed_stage(p.artifacts.withColumn("suffix", F.when(F.col("suffix") == "_2.fastq.gz", early).otherwise(F.col("suffix"))))
 
 
 STEP_SQL = "SELECT sample AS dataset, step, (length(sample || step) * 7 + CAST(substr(sample, 2) AS BIGINT) * (1 + ascii(substr(step, 2)) % 3)) % 5 > 0 AS complete FROM (SELECT DISTINCT sample FROM artifacts) a, (SELECT unnest(['1a', '1b', '1c', '1d']) AS step) s"
@@ -550,6 +578,11 @@ def _(p):
     return inv.incomplete_samples(p.artifacts)
 
 
+@query("J05b_incomplete_samples_by_vcf", f"SELECT sample FROM artifacts WHERE suffix NOT LIKE '%.fastq.gz' GROUP BY 1 HAVING {DONE} = 0 AND bool_or(suffix LIKE '%.vcf.gz')", "artifacts")
+def _(p):
+    return inv.incomplete_samples(p.artifacts.filter("suffix not like '%.fastq.gz'"))
+
+
 @query("J06_paired_samples", "SELECT sample FROM artifacts WHERE suffix IN ('_1.fastq.gz', '_2.fastq.gz') GROUP BY 1 HAVING count(DISTINCT suffix) = 2", "artifacts")
 def _(p):
     return inv.paired_samples(p.artifacts)
@@ -567,8 +600,10 @@ def _(p):
 
 
 def files_by_chrom(p):
-    s = p.sites.join(p.samples, how="cross").select(F.concat("chrom", F.lit(".vcf.gz")).alias("file"), F.col("k").alias("ord"), "sample", "chrom_num", "k").filter("not (chrom_num = 3 and k = 2)").distinct()
-    return s.select("file", "ord", "sample")
+    """A list of all samples for each chromosome's file; the third file lacks one."""
+    chroms = p.sites.groupBy("chrom", "chrom_num").agg(F.count(F.lit(1)).alias("_n"))
+    named = p.samples.join(F.broadcast(chroms), how="cross")  # chroms: a row a chromosome
+    return named.filter("not (chrom_num = 3 and k = 2)").select(F.concat("chrom", F.lit(".vcf.gz")).alias("file"), F.col("k").alias("ord"), "sample")
 
 
 @query("J10_check_sample_lists", "SELECT chrom || '.vcf.gz' AS file, (SELECT count(*) FROM samples) - CASE WHEN chrom_num = 3 THEN (SELECT count(*) FROM samples WHERE k = 2) ELSE 0 END AS n_samples, chrom_num <> 3 AS same FROM sites GROUP BY chrom, chrom_num", "sites", "samples")
@@ -682,20 +717,34 @@ def _(p):
 
 @query("G04_ld_r2", f"WITH {FEW}, {R2} SELECT chrom, pos_a, pos_b, n, round(r2, 6) AS r2 FROM r2", "samples", "calls")
 def g04(p):
-    return ld.ld_r2(few(p), 20_000).withColumn("r2", F.round("r2", 6))
+    return ld.ld_r2(p.calls).withColumn("r2", F.round("r2", 6))
+
+
+@query("F32_least_r2", f"WITH {FEW}, {R2} SELECT chrom, pos_a, pos_b, n, round(r2, 6) AS r2 FROM r2 WHERE r2 >= 0.3", "samples", "calls")
+def _(p):
+    return ld.ld_r2(p.calls, min_r2=0.3).withColumn("r2", F.round("r2", 6))
 
 
 @query(
     "G05_ld_decay_run",
-    f"""WITH q AS (SELECT * FROM calls WHERE site_key IN (SELECT site_key FROM calls GROUP BY 1 HAVING {MAF} >= 0.05) AND sample IN (SELECT sample FROM samples WHERE k % 4 = 0)), few AS (SELECT q.* FROM q JOIN sites USING (site_key) WHERE CAST('0x' || substr(md5(variant_id), 1, 7) AS BIGINT) < {int(0.5 * (1 << 28))}), {R2}
-    SELECT CAST(floor((pos_b - pos_a) / 1000) AS BIGINT) * 1000 AS bin_start_bp, chrom AS chromosome, count(*) AS n_pairs, round(avg(r2), 6) AS mean_r2 FROM r2 GROUP BY 1, 2""",
+    f"""WITH q AS (SELECT * FROM calls WHERE site_key IN (SELECT site_key FROM calls GROUP BY 1 HAVING {MAF} >= 0.05)), few AS (SELECT q.* FROM q JOIN sites USING (site_key) WHERE CAST('0x' || substr(md5(variant_id), 1, 7) AS BIGINT) < {int(0.2 * (1 << 28))}), {R2},
+    fine_pr AS (SELECT a.chrom, a.pos AS pos_a, b.pos AS pos_b, count(*) AS n, sum(a.dosage) AS x, sum(b.dosage) AS y, sum(a.dosage * a.dosage) AS xx, sum(b.dosage * b.dosage) AS yy, sum(a.dosage * b.dosage) AS xy
+    FROM q a JOIN q b ON a.chrom = b.chrom AND a.sample = b.sample AND b.pos > a.pos AND b.pos - a.pos < 10000 WHERE a.dosage IS NOT NULL AND b.dosage IS NOT NULL GROUP BY 1, 2, 3),
+    fine AS (SELECT chrom, pos_a, pos_b, CAST(n * xy - x * y AS DOUBLE) * CAST(n * xy - x * y AS DOUBLE) / (CAST(n * xx - x * x AS DOUBLE) * CAST(n * yy - y * y AS DOUBLE)) AS r2 FROM fine_pr WHERE n * xx - x * x > 0 AND n * yy - y * y > 0),
+    p AS (SELECT 1000 AS w, chrom, pos_b - pos_a AS gap, r2 FROM r2 UNION ALL SELECT w, chrom, pos_b - pos_a, r2 FROM fine, (SELECT unnest([50, 10, 5]) AS w))
+    SELECT CAST(w AS BIGINT) AS bin_bp, CAST(floor(gap / w) AS BIGINT) * w AS bin_start_bp, chrom AS chromosome, count(*) AS n_pairs, round(avg(r2), 6) AS mean_r2 FROM p GROUP BY 1, 2, 3, w""",
     "sites", "samples", "calls",
 )
 def _(p):
-    kept = k.subset_samples(k.filter_maf(p.calls, 0.05), p.samples.filter("k % 4 = 0"))
-    thinned = kept.join(v.thin(p.sites, 0.5).select("site_key"), "site_key", "left_semi")
-    decay = ld.ld_decay(ld.ld_r2(thinned, 20_000), fine_bins=(50,))
-    return decay.filter(F.col("profile").startswith("full")).select("bin_start_bp", "chromosome", "n_pairs", "mean_r2")
+    return decay_run(p).select("bin_bp", "bin_start_bp", "chromosome", "n_pairs", "mean_r2")
+
+
+def decay_run(p):
+    """The full profile on a fifth of the common variants, the fine ones on all of them."""
+    kept = k.filter_maf(p.calls, 0.05)
+    thinned = kept.join(v.thin(p.sites, 0.2).select("site_key"), "site_key", "left_semi")
+    full = ld.ld_decay(ld.ld_r2(thinned)).filter(F.col("profile").startswith("full"))
+    return full.unionByName(ld.ld_decay(ld.ld_r2(kept, 10_000)).filter(F.col("profile").startswith("fine")))
 
 
 @query("A16b_ld_decay_whole")
@@ -710,10 +759,7 @@ def _(p):
 
 @query("G05b_ld_decay_run_whole")
 def _(p):
-    kept = k.filter_maf(p.calls, 0.05)
-    thinned = kept.join(v.thin(p.sites, 0.2).select("site_key"), "site_key", "left_semi")
-    full = ld.ld_decay(ld.ld_r2(thinned)).filter(F.col("profile").startswith("full"))
-    return full.unionByName(ld.ld_decay(ld.ld_r2(kept, 10_000)).filter(F.col("profile").startswith("fine")))
+    return decay_run(p)
 
 
 @query("G06_ld_prune")
@@ -814,9 +860,9 @@ def _(p):
     return reads.duplicate_metrics(reads.mark_duplicates(p.reads))
 
 
-def reference_of(p, every=1):
-    """A made-up reference base for each covered position, or of every so many positions, from the position alone."""
-    pos = reads.read_bases(p.reads).select("chrom", "pos").distinct().filter(F.col("pos") % every == 0)
+def reference_of(p):
+    """A made-up reference base for each covered position, from the position alone."""
+    pos = reads.read_bases(p.reads).select("chrom", "pos").distinct()
     return pos.select("chrom", "pos", F.element_at(F.array(*map(F.lit, "ACGT")), (F.col("pos") % 4 + 1).cast("int")).alias("ref_base"))
 
 
@@ -825,12 +871,12 @@ BASES = "bs AS (SELECT sample, chrom, start0 + i AS pos, i AS cycle, substr(seq,
 
 @query(
     "R06_recal_table",
-    f"""WITH {BASES}, n AS (SELECT sample, reported, cycle, before || base AS context, count(*) AS observations, CAST(count_if(base <> ['A', 'C', 'G', 'T'][CAST(pos % 4 + 1 AS INTEGER)]) AS BIGINT) AS mismatches FROM bs WHERE base <> 'N' AND pos % 5 = 0 AND pos % 10 <> 0 GROUP BY 1, 2, 3, 4)
+    f"""WITH {BASES}, n AS (SELECT sample, reported, cycle, before || base AS context, count(*) AS observations, CAST(count_if(base <> ['A', 'C', 'G', 'T'][CAST(pos % 4 + 1 AS INTEGER)]) AS BIGINT) AS mismatches FROM bs WHERE base <> 'N' AND pos % 10 <> 0 GROUP BY 1, 2, 3, 4)
     SELECT *, round(-10 * log10(CAST(mismatches + 1 AS DOUBLE) / (observations + 2)), 6) AS empirical FROM n""",
     "reads",
 )
 def _(p):
-    ref = reference_of(p, 5)
+    ref = reference_of(p)
     return reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))
 
 
@@ -840,10 +886,18 @@ def _(p):
     return reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))
 
 
-@query("R07_apply_recal")
+@query(
+    "R07_apply_recal",
+    f"""WITH {BASES}, n AS (SELECT sample, reported, cycle, before || base AS context, count(*) AS observations, CAST(count_if(base <> ['A', 'C', 'G', 'T'][CAST(pos % 4 + 1 AS INTEGER)]) AS BIGINT) AS mismatches FROM bs WHERE base <> 'N' AND pos % 10 <> 0 GROUP BY 1, 2, 3, 4),
+    t AS (SELECT *, round(-10 * log10(CAST(mismatches + 1 AS DOUBLE) / (observations + 2)), 6) AS empirical FROM n), u AS (SELECT DISTINCT sample, seq, qual FROM reads),
+    ub AS (SELECT sample, seq, qual, i AS cycle, CASE WHEN i > 1 THEN substr(seq, CAST(i AS INTEGER) - 1, 1) ELSE '^' END || substr(seq, CAST(i AS INTEGER), 1) AS context, ascii(substr(qual, CAST(i AS INTEGER), 1)) - 33 AS reported FROM u, generate_series(1, 64) g(i)),
+    m AS (SELECT ub.sample, ub.seq, ub.qual, string_agg(chr(CAST(greatest(2, least(CAST(round(coalesce(empirical, ub.reported)) AS INTEGER), 41)) + 33 AS INTEGER)), '' ORDER BY ub.cycle) AS q
+    FROM ub LEFT JOIN t ON t.sample = ub.sample AND t.reported = ub.reported AND t.cycle = ub.cycle AND t.context = ub.context GROUP BY 1, 2, 3) SELECT read_id, q AS qual FROM reads JOIN m USING (sample, seq, qual)""",
+    "reads",
+)
 def _(p):
     ref = reference_of(p)
-    return reads.apply_recal(p.reads, reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0")))
+    return reads.apply_recal(p.reads, reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))).select("read_id", "qual")
 
 
 @query("R08_downsample", f"SELECT read_id, qname FROM reads WHERE CAST('0x' || substr(md5(qname || '|67'), 1, 7) AS BIGINT) < {int(0.4 * (1 << 28))}", "reads")
@@ -855,7 +909,8 @@ def _(p):
     "R09_downsampling_metrics",
     """WITH d AS (SELECT sample, CAST(sum(read_len) AS BIGINT) AS bases, least(CAST(0.5 AS DOUBLE) * 100000 / CAST(sum(read_len) AS DOUBLE), 1) AS f FROM reads GROUP BY 1),
     t AS (SELECT sample, bases, f, sum(CASE WHEN CAST('0x' || substr(md5(qname || '|67'), 1, 7) AS BIGINT) < floor(f * 268435456) THEN read_len ELSE 0 END) AS kept FROM reads JOIN d USING (sample) GROUP BY 1, 2, 3)
-    SELECT sample, round(CAST(bases AS DOUBLE) / 100000, 6) AS original_depth, CAST(0.5 AS DOUBLE) AS target_depth, round(f, 6) AS keep_fraction, round(CAST(kept AS DOUBLE) / 100000, 6) AS downsampled_depth, round(CAST(bases - kept AS DOUBLE) / 100000, 6) AS remainder_depth FROM t""",
+    SELECT sample, round(CAST(bases AS DOUBLE) / 100000, 6) AS original_depth, CAST(0.5 AS DOUBLE) AS target_depth, round(f, 6) AS keep_fraction, round(CAST(kept AS DOUBLE) / 100000, 6) AS downsampled_depth, round(CAST(bases - kept AS DOUBLE) / 100000, 6) AS remainder_depth,
+    sample || '_downsampled_0.5x.bam' AS downsampled_bam, sample || '_remainder_' || printf('%.2f', CAST(bases - kept AS DOUBLE) / 100000) || 'x.bam' AS remainder_bam FROM t""",
     "reads",
 )
 def _(p):
@@ -896,26 +951,24 @@ def _(p):
 NF = "(length(line) - length(replace(line, chr(9), '')) + 1)"
 
 
-@query(
-    "Q02_validate_lines",
-    f"""WITH f AS (SELECT line_no, line, {NF} AS nf, string_split(line, chr(9)) AS f FROM vcf_lines), e AS (
+FAULTS = f"""WITH f AS (SELECT line_no, line, {NF} AS nf, string_split(line, chr(9)) AS f FROM vcf_lines), e AS (
     SELECT line_no, 'error' AS severity, 'column_count' AS code FROM f WHERE nf <> 11 UNION ALL
     SELECT line_no, 'error', 'empty_format' FROM f WHERE nf >= 9 AND trim(f[9]) = '' UNION ALL
     SELECT line_no, 'error', 'bad_format' FROM f WHERE nf >= 9 AND trim(f[9]) <> '' AND NOT regexp_matches(f[9], '^[A-Za-z_][0-9A-Za-z_.]*(:[A-Za-z_][0-9A-Za-z_.]*)*$') UNION ALL
     SELECT line_no, 'error', 'empty_sample' FROM f WHERE len(list_filter(f[10:], lambda x: trim(x) = '')) > 0 UNION ALL
     SELECT line_no, 'warning', 'mixed_delimiter' FROM f WHERE line LIKE '% %' UNION ALL
     SELECT line_no, 'warning', 'odd_genotype' FROM f WHERE len(list_filter(f[10:], lambda x: trim(x) <> '' AND NOT regexp_matches(split_part(x, ':', 1), '^(\\.|[0-9]+)([/|](\\.|[0-9]+))?$'))) > 0 UNION ALL
-    SELECT line_no, 'error', 'empty_' || n FROM f, (SELECT unnest([1, 2, 4, 5]) AS i, unnest(['chrom', 'pos', 'ref', 'alt']) AS n) WHERE nf >= i AND trim(f[i]) = '')
-    SELECT * FROM e""",
-    "vcf_lines",
-)
+    SELECT line_no, 'error', 'empty_' || n FROM f, (SELECT unnest([1, 2, 4, 5]) AS i, unnest(['chrom', 'pos', 'ref', 'alt']) AS n) WHERE nf >= i AND trim(f[i]) = '')"""
+
+
+@query("Q02_validate_lines", f"{FAULTS} SELECT * FROM e", "vcf_lines")
 def _(p):
     return lines.validate_lines(p.vcf_lines, 11)
 
 
-@query("O04_first_errors", f"SELECT line_no, 'error' AS severity, 'column_count' AS code FROM vcf_lines WHERE {NF} <> 11 AND {NF} < 9 ORDER BY line_no LIMIT 20", "vcf_lines")
+@query("O04_first_errors", f"{FAULTS} SELECT * FROM e WHERE severity = 'error' ORDER BY line_no, code LIMIT 20", "vcf_lines")
 def _(p):
-    return lines.first_errors(lines.validate_lines(p.vcf_lines.filter(F.size(lines.fields()) < 9), 11))
+    return lines.first_errors(lines.validate_lines(p.vcf_lines, 11))
 
 
 @query("O04b_first_errors_whole")
@@ -998,17 +1051,17 @@ def _(p):
 def files(p):
     """A file for each sample and stage, and one for each chromosome of the sites."""
     a = p.artifacts.select(F.concat(F.lit("/data/"), "sample", F.lit("/"), "sample", "suffix").alias("path"))
-    return a.union(p.sites.select(F.concat(F.lit("/vcf/apple_"), "chrom", F.lit(".vcf.gz")).alias("path")).distinct())
+    return a.union(p.sites.select(F.concat(F.lit("/vcf/cohort_"), "chrom", F.lit(".vcf.gz")).alias("path")).distinct())
 
 
-@query("S03_select_vcfs", "SELECT DISTINCT '/vcf/apple_' || chrom || '.vcf.gz' AS path FROM sites", "sites")
+@query("S03_select_vcfs", "SELECT DISTINCT '/vcf/cohort_' || chrom || '.vcf.gz' AS path FROM sites", "sites")
 def _(p):
     return inv.select_vcfs(files(p)).select("path")
 
 
-@query("S04_resolve_requested", "SELECT 'APPLE_' || upper(chrom) || '.VCF.GZ' AS name, CASE WHEN chrom_num < 30 THEN '/vcf/apple_' || chrom || '.vcf.gz' END AS path FROM sites GROUP BY chrom, chrom_num UNION ALL SELECT 'gone.vcf', NULL FROM (SELECT 1)", "sites")
+@query("S04_resolve_requested", "SELECT 'COHORT_' || upper(chrom) || '.VCF.GZ' AS name, CASE WHEN chrom_num < 30 THEN '/vcf/cohort_' || chrom || '.vcf.gz' END AS path FROM sites GROUP BY chrom, chrom_num UNION ALL SELECT 'gone.vcf', NULL FROM (SELECT 1)", "sites")
 def _(p):
-    names = p.sites.select(F.concat(F.lit("APPLE_"), F.upper("chrom"), F.lit(".VCF.GZ")).alias("name")).union(p.sites.limit(1).select(F.lit("gone.vcf")))
+    names = p.sites.select(F.concat(F.lit("COHORT_"), F.upper("chrom"), F.lit(".VCF.GZ")).alias("name")).union(p.sites.limit(1).select(F.lit("gone.vcf")))
     return inv.resolve_requested(files(p), names)
 
 
@@ -1018,12 +1071,12 @@ def _(p):
     return p.artifacts.select(name.alias("name")).filter(c.glob_match(F.col("name"), "*00?1*VCF*"))
 
 
-@query("S06_one_per_chromosome", "SELECT CAST(i AS INTEGER) AS chrom_num, count(DISTINCT s.chrom) AS n_files, max('/vcf/apple_' || s.chrom || '.vcf.gz') AS path, CASE WHEN count(DISTINCT s.chrom) = 1 THEN 'ok' ELSE 'missing' END AS status FROM generate_series(1, 17) g(i) LEFT JOIN sites s ON s.chrom_num = i GROUP BY i", "sites")
+@query("S06_one_per_chromosome", "SELECT CAST(i AS INTEGER) AS chrom_num, count(DISTINCT s.chrom) AS n_files, max('/vcf/cohort_' || s.chrom || '.vcf.gz') AS path, CASE WHEN count(DISTINCT s.chrom) = 1 THEN 'ok' ELSE 'missing' END AS status FROM generate_series(1, 17) g(i) LEFT JOIN sites s ON s.chrom_num = i GROUP BY i", "sites")
 def _(p):
     return inv.one_per_chromosome(files(p))
 
 
-@query("S07_vcf_manifest", "SELECT DISTINCT '/vcf/apple_' || chrom || '.vcf.gz' AS path, CAST(chrom_num AS INTEGER) AS chrom_num FROM sites WHERE chrom_num BETWEEN 1 AND 17", "sites")
+@query("S07_vcf_manifest", "SELECT DISTINCT '/vcf/cohort_' || chrom || '.vcf.gz' AS path, CAST(chrom_num AS INTEGER) AS chrom_num FROM sites WHERE chrom_num BETWEEN 1 AND 17", "sites")
 def _(p):
     return inv.vcf_manifest(files(p)).select("path", "chrom_num")
 
@@ -1033,7 +1086,7 @@ def _(p):
     return inv.pick_merged_or_list(files(p))
 
 
-@query("S09_infer_pattern", "SELECT 'apple_Chr%02d.vcf.gz' AS pattern FROM sites LIMIT 1", "sites")
+@query("S09_infer_pattern", "SELECT 'cohort_Chr%02d.vcf.gz' AS pattern FROM sites LIMIT 1", "sites")
 def _(p):
     return inv.infer_pattern(files(p))
 
@@ -1049,7 +1102,12 @@ def _(p):
     return vcf.params_of(text)
 
 
-@query("K05_package_manifest")
+@query(
+    "K05_package_manifest",
+    """SELECT '{"version":"1","dataset":"cohort","mode":"standard","chromosomes":[' || (SELECT string_agg('"' || chrom || '"', ',' ORDER BY chrom) FROM (SELECT DISTINCT chrom FROM sites)) || '],"sections":["site_metrics"],"params":{"geno":1.0},"counts":{"n_sites":' ||
+    (SELECT count(*) FROM sites) || ',"n_chromosomes":' || (SELECT count(DISTINCT chrom) FROM sites) || ',"n_samples_imported":' || count(*) || ',"n_samples_qc":' || count(*) || '}}' AS manifest FROM samples""",
+    "sites", "samples",
+)
 def _(p):
     counts = sinks.package_counts(p.sites, p.samples, p.samples)
     return sinks.package_manifest("cohort", "standard", ["site_metrics"], {"geno": 1.0}, counts, p.sites)
@@ -1065,3 +1123,6 @@ def _(p):
     made = F.when(F.col("partition") == "_1.fastq.gz", F.col("mtime") - F.expr("interval 1 day")).otherwise(F.col("mtime"))
     ledger = sources.filter("partition <> '_recal.bam'").select("partition", made.alias("made_at"), F.when(F.col("partition").isin("_1.fastq.gz", "_2.fastq.gz"), "geno=1").otherwise("geno=0.05").alias("params"))
     return inv.stale_partitions(sources, ledger, "geno=1")
+
+
+from . import file_queries  # noqa: E402, F401  registers the queries of readers and writers

@@ -13,6 +13,8 @@ from ..functions import columns as c
 #: The stages of a sample, by the suffix of what they leave.
 STAGES = ["_1.fastq.gz", "_2.fastq.gz", "_recal.bam", "_raw.g.vcf.gz", "_genotyped.vcf.gz"]
 FINAL = "_genotyped.vcf.gz"
+#: What the stages 1 to 7 leave: quality reports before and after trimming, sorted, marked and recalibrated reads, calls.
+COMPLETED = ["_pre_fastqc.html", "_post_fastqc.html", "_sorted.bam", "_dedup.bam", "_recal.bam", "_raw.g.vcf.gz", "_genotyped.vcf.gz"]
 
 
 def vcf_files(files: DataFrame) -> DataFrame:
@@ -76,9 +78,12 @@ def sample_map(files: DataFrame, suffix: str = "_raw.g.vcf.gz") -> DataFrame:
 
 
 def incomplete_samples(artifacts: DataFrame) -> DataFrame:
-    """Samples with reads but no genotyped file with its index."""
+    """Samples without a genotyped file with its index, of those that have reads; where no sample has any, of those with a VCF."""
     done = artifacts.filter((F.col("suffix") == FINAL) & (F.col("has_index") == 1)).select("sample")
-    return artifacts.filter(F.col("suffix").endswith(".fastq.gz")).select("sample").distinct().join(done, "sample", "left_anti")
+    tier = F.when(F.col("suffix").endswith(".fastq.gz"), 0).when(F.col("suffix").endswith(".vcf.gz"), 1)
+    ranked = artifacts.select("sample", tier.alias("_t")).filter("_t is not null").distinct()
+    best = ranked.agg(F.min("_t").alias("_t"))  # one row
+    return ranked.join(F.broadcast(best), "_t", "left_semi").select("sample").join(done, "sample", "left_anti")
 
 
 def paired_samples(artifacts: DataFrame) -> DataFrame:
@@ -114,8 +119,8 @@ def step_status(artifacts: DataFrame) -> DataFrame:
 
 
 def completed_stage(artifacts: DataFrame) -> DataFrame:
-    """The highest stage (1 on) that left a file, for each sample."""
-    rank = F.coalesce(*[F.when(F.col("suffix") == s, i + 1) for i, s in enumerate(STAGES)], F.lit(0))
+    """The highest stage, 1 to 7, that left a file, for each sample; 0 where none did."""
+    rank = F.coalesce(*[F.when(F.col("suffix").endswith(s), i + 1) for i, s in enumerate(COMPLETED)], F.lit(0))
     return artifacts.groupBy("sample").agg(F.max(rank).cast("bigint").alias("stage"))
 
 

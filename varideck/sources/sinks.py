@@ -2,12 +2,40 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import variants as v
 
 
+def scratch(spark, name: str) -> str:
+    """A path that no other run uses, in the folder that driver and executors share, spark.checkpoint.dir. Only on a single machine may that
+    be unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-shared-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def write_named_text(df: DataFrame, path: str, name: str = "name", order: str = "ord", line: str = "line") -> None:
+    """A text file for each name, its lines in order; one task a file, as its lines have an order."""
+    df.repartition(name).sortWithinPartitions(name, order).select(name, F.col(line).alias("value")).write.partitionBy(name).text(f"{path}/_parts")
+    sc = df.sparkSession.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/_parts")
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(root):  # a rename a file
+        if folder.isDirectory():
+            for part in fs.listStatus(folder.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    fs.rename(part.getPath(), sc._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder.getPath().getName().split('=', 1)[1]}"))
+    fs.delete(root, True)
+
+
 def write_metrics(m: DataFrame, path: str) -> None:
     """Tab-separated tables with a header, one folder a chromosome."""
     m.repartition("chrom").write.mode("overwrite").partitionBy("chrom").csv(path, sep="\t", header=True, nullValue="NA")
@@ -45,11 +73,14 @@ def write_depth(sites: DataFrame, samples: DataFrame, path: str) -> None:
     write_parquet(samples, f"{path}/samples")
 
 
-def package_counts(metrics: DataFrame, samples: DataFrame, passed: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """One row: sites, chromosomes, samples imported and passed, pairs."""
+def package_counts(metrics: DataFrame, samples: DataFrame, passed: DataFrame, pairs: DataFrame | None = None, **more: DataFrame | None) -> DataFrame:
+    """One row: sites, chromosomes, samples imported and passed, pairs, and a count n_<name> of each other table that is given, such as
+    samples_pca, components, variants_imported, variants_qc and variants_pruned."""
     out = metrics.agg(F.count(F.lit(1)).alias("n_sites"), F.count_distinct("chrom").alias("n_chromosomes"))
     out = out.join(samples.agg(F.count(F.lit(1)).alias("n_samples_imported")), how="cross").join(passed.agg(F.count(F.lit(1)).alias("n_samples_qc")), how="cross")  # one row each
-    return out if pairs is None else out.join(pairs.agg(F.count(F.lit(1)).alias("n_pairs")), how="cross")
+    for name, df in ({"pairs": pairs} | more).items():
+        out = out if df is None else out.join(df.agg(F.count(F.lit(1)).alias(f"n_{name}")), how="cross")
+    return out
 
 
 def package_manifest(dataset: str, mode: str, sections: list[str], params: dict[str, float], counts: DataFrame, metrics: DataFrame, version: str = "1") -> DataFrame:
