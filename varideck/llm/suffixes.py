@@ -38,7 +38,7 @@ LENGTH = 400
 GRAM = 128
 PLACE = np.uint64((1 << 24) - 1)
 PIECE = 8 << 20
-HOT = 1 << 13
+HOT = 1 << 12
 
 
 def sliding_least(v: np.ndarray, width: int) -> np.ndarray:
@@ -264,7 +264,7 @@ def contexts(places: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "gram bigint, doc binary, place bigint, lo bigint, hi bigint, lone boolean, hot boolean, bytes binary")
 
 
-def sorted_runs(rows: DataFrame, length: int, most: int = 4 << 20) -> DataFrame:
+def sorted_runs(rows: DataFrame, length: int, most: int = 2 << 20) -> DataFrame:
     """doc, start, end: the covered runs of lone contexts. Rows come sorted by gram; whole grams are worked on together, about `most`
     bytes at a time."""
 
