@@ -37,7 +37,7 @@ from .common import PrimeHash, RollingHash, discard, map_batches, mixed, small_b
 LENGTH = 400
 GRAM = 128
 PLACE = np.uint64((1 << 24) - 1)
-PIECE = 8 << 20
+PIECE = 4 << 20
 HOT = 1 << 12
 
 
