@@ -53,7 +53,7 @@ def site_metrics(calls: DataFrame) -> DataFrame:
 
 
 def site_metrics_imputed(variants: DataFrame, calls: DataFrame) -> DataFrame:
-    """Metrics of imputed sites, with their qual, af, dr2 and imp: everything that isn't wholly missing counts as called."""
+    """Metrics of imputed sites, with their qual, af (NULL where the table has none), dr2 and imp: everything that isn't wholly missing counts as called."""
     k = F.col("_k")
     out = by_genotype(calls, *SITE).groupBy(*SITE).agg(F.sum("_n").alias("total_genotypes"), of_class(k == 0, "missing_genotypes"), of_class(k > 0, "called_genotypes"), of_class(k.isin(2, 4), "heterozygous_count"))
     total, missing, called = F.col("total_genotypes"), F.col("missing_genotypes"), F.col("called_genotypes")
@@ -61,7 +61,8 @@ def site_metrics_imputed(variants: DataFrame, calls: DataFrame) -> DataFrame:
         *SITE, rate(called, total).alias("call_rate"), rate(missing, total).alias("missing_rate"), rate(F.col("heterozygous_count"), called).alias("heterozygous_rate"),
         "called_genotypes", "missing_genotypes", "total_genotypes", "heterozygous_count",
     )
-    return variants.select(*SITE, "qual", "af", "dr2", "imp").join(rates, SITE)
+    af = F.col("af") if "af" in variants.columns else F.lit(None).cast("double").alias("af")
+    return variants.select(*SITE, "qual", af, "dr2", "imp").join(rates, SITE)
 
 
 def snp_counts(variants: DataFrame, calls: DataFrame, allowed: tuple[str, ...] = ("PASS", ".")) -> DataFrame:
