@@ -692,13 +692,12 @@ def g01(p):
 
 @query("G01b_king_blocked", f"{KING} SELECT * FROM king", "calls", "samples")
 def g01b(p):
-    names = [r["sample"] for r in p.samples.select("sample").distinct().orderBy("sample").collect()]
-    return kinship.king_blocked(p.calls, names)
+    return kinship.king_blocked(p.calls)
 
 
 @query("G02_duplicate_samples", f"{KING} SELECT iid1 AS sample FROM king WHERE kinship >= 0.45 UNION SELECT iid2 FROM king WHERE kinship >= 0.45", "calls")
 def _(p):
-    return kinship.duplicate_samples(kinship.king_table(p.calls))
+    return kinship.duplicate_samples(kinship.king_blocked(p.calls))
 
 
 @query(
@@ -707,12 +706,12 @@ def _(p):
     "calls",
 )
 def _(p):
-    return kinship.without_duplicates(kinship.king_table(p.calls), k.missingness(p.calls, "sample"))
+    return kinship.without_duplicates(kinship.king_blocked(p.calls), k.missingness(p.calls, "sample"))
 
 
 @query("G03_remove_relatives")
 def _(p):
-    return kinship.remove_relatives(kinship.king_table(p.calls), 0.125)
+    return kinship.remove_relatives(kinship.king_blocked(p.calls), 0.125)
 
 
 @query("G04_ld_r2", f"WITH {FEW}, {R2} SELECT chrom, pos_a, pos_b, n, round(r2, 6) AS r2 FROM r2", "samples", "calls")
