@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lsa, minhash, pii, quality, suffixes, token_orc, toolcalls, topk, warc
+from . import bpe, lsa, merkle, minhash, pii, quality, suffixes, token_orc, toolcalls, topk, warc
 from .common import fresh_path, map_batches, small_batches, stored, table
 
 
@@ -106,6 +106,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_batches(table(spark, sf_dir, "documents", "doc_id", "text"), make, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaf, proof and tampering check of every document in the tree over all sources."""
+    return merkle.audit(table(spark, sf_dir, "documents", *merkle.FIELDS))
+
+
 #: Records of equal payloads of at least 100 bytes: the smallest page_id is the response.
 OP2_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -169,6 +174,53 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+#: Leaves by source, levels by recursion over runs of three, siblings by joins, the fold by recursion; CRC-32 from its polynomial.
+OP11_SQL = """
+WITH RECURSIVE k AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (
+  SELECT doc_id, source, lang, n_chars, text, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) & 1 = 0 AS even
+  FROM documents, k),
+h AS (
+  SELECT doc_id, source, head || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-') AS whole, head || coalesce(CAST(strlen(cut) AS VARCHAR) || ':' || cut, '-') AS changed
+  FROM (SELECT *, CASE WHEN even THEN replace(text, chr(10), '') ELSE text END AS cut,
+    coalesce(CAST(strlen(CAST(doc_id AS VARCHAR)) AS VARCHAR) || ':' || doc_id, '-') || coalesce(CAST(strlen(source) AS VARCHAR) || ':' || source, '-') ||
+    coalesce(CAST(strlen(lang) AS VARCHAR) || ':' || lang, '-') || coalesce(CAST(strlen(CAST(n_chars AS VARCHAR)) AS VARCHAR) || ':' || n_chars, '-') AS head FROM d)),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS src FROM (SELECT DISTINCT source FROM documents)),
+l AS (
+  SELECT doc_id, src, row_number() OVER (PARTITION BY src ORDER BY doc_id) - 1 AS pos, sha256(whole) AS leaf, sha256(changed) AS tampered
+  FROM h JOIN s ON h.source IS NOT DISTINCT FROM s.source),
+n AS (
+  SELECT src, 0 AS lvl, pos, leaf AS h FROM l
+  UNION ALL SELECT src, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER (PARTITION BY src) AS c FROM n) WHERE c > 1 GROUP BY src, lvl, pos // 3),
+b AS (SELECT src, max(lvl) AS top FROM n GROUP BY src),
+r AS (SELECT n.src, n.h, b.top FROM n JOIN b ON n.src = b.src AND n.lvl = b.top),
+m AS (
+  SELECT 0 AS lvl, src AS pos, h FROM r
+  UNION ALL SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER () AS c FROM m) WHERE c > 1 GROUP BY lvl, pos // 3),
+q AS (SELECT max(lvl) AS top FROM m),
+w AS (
+  SELECT l.src, l.pos, n.lvl AS step, n.pos AS at, n.pos // 3 AS run FROM l JOIN b ON l.src = b.src JOIN n ON n.src = l.src AND n.lvl < b.top AND n.pos = CAST(floor(l.pos / pow(3, n.lvl)) AS BIGINT)),
+v AS (SELECT r.src, m.lvl AS step, m.pos AS at, m.pos // 3 AS run FROM r, q JOIN m ON m.lvl < q.top WHERE m.pos = CAST(floor(r.src / pow(3, m.lvl)) AS BIGINT)),
+x AS (
+  SELECT w.src, w.pos, w.step, coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos < w.at), '') AS a, coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos > w.at), '') AS z
+  FROM w JOIN n ON n.src = w.src AND n.lvl = w.step AND n.pos // 3 = w.run GROUP BY w.src, w.pos, w.step),
+y AS (
+  SELECT v.src, v.step, coalesce(string_agg(m.h, '' ORDER BY m.pos) FILTER (m.pos < v.at), '') AS a, coalesce(string_agg(m.h, '' ORDER BY m.pos) FILTER (m.pos > v.at), '') AS z
+  FROM v JOIN m ON m.lvl = v.step AND m.pos // 3 = v.run GROUP BY v.src, v.step),
+p AS (
+  SELECT src, pos, step, a, z FROM x
+  UNION ALL SELECT l.src, l.pos, r.top + y.step, y.a, y.z FROM l JOIN r ON l.src = r.src JOIN y ON y.src = l.src),
+f AS (
+  SELECT src, pos, 0 AS step, tampered AS h FROM l
+  UNION ALL SELECT f.src, f.pos, f.step + 1, sha256(p.a || f.h || p.z) FROM f JOIN p ON p.src = f.src AND p.pos = f.pos AND p.step = f.step),
+g AS (SELECT src, pos, arg_max(h, step) AS folded_root FROM f GROUP BY src, pos),
+o AS (SELECT src, pos, sha256(string_agg(a || z, '' ORDER BY step)) AS proof_sha256 FROM p GROUP BY src, pos)
+SELECT l.doc_id, l.leaf, r.h AS subroot, m.h AS root, coalesce(o.proof_sha256, sha256('')) AS proof_sha256, g.folded_root, g.folded_root = m.h AS verified
+FROM l JOIN r ON l.src = r.src JOIN g ON g.src = l.src AND g.pos = l.pos LEFT JOIN o ON o.src = l.src AND o.pos = l.pos, q JOIN m ON m.lvl = q.top
+"""
+
 
 def queries() -> dict:
     return {
@@ -182,8 +234,9 @@ def queries() -> dict:
         "op8_topk": op8_topk,
         "op9_suffixes": op9_suffixes,
         "op10_bpe": op10_bpe,
+        "op11_merkle": op11_merkle,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op4_tool_calls": OP4_SQL, "op6_minhash": OP6_SQL, "op8_topk": OP8_SQL}
+    return {"op2_warc": OP2_SQL, "op4_tool_calls": OP4_SQL, "op6_minhash": OP6_SQL, "op8_topk": OP8_SQL, "op11_merkle": OP11_SQL}
