@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lsa, merkle, minhash, pii, quality, suffixes, token_orc, toolcalls, topk, warc
+from . import align, bpe, lsa, merkle, minhash, pii, quality, suffixes, token_orc, toolcalls, topk, warc
 from .common import fresh_path, map_batches, small_batches, stored, table
 
 
@@ -111,6 +111,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents", *merkle.FIELDS))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in every document, and how common the linked pairs of ids are."""
+    small_batches(spark)
+    return align.align(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 #: Records of equal payloads of at least 100 bytes: the smallest page_id is the response.
 OP2_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -235,6 +241,7 @@ def queries() -> dict:
         "op9_suffixes": op9_suffixes,
         "op10_bpe": op10_bpe,
         "op11_merkle": op11_merkle,
+        "op12_alignment": op12_alignment,
     }
 
 
