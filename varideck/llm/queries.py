@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, bpe, lsa, merkle, minhash, pii, quality, suffixes, token_orc, toolcalls, topk, warc
+from . import align, bpe, extract, lsa, merkle, minhash, pii, quality, suffixes, token_orc, toolcalls, topk, warc
 from .common import fresh_path, map_batches, small_batches, stored, table
 
 
@@ -117,6 +117,13 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    small_batches(spark)
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return extract.extract(pages, extract.fit(pages))
+
+
 #: Records of equal payloads of at least 100 bytes: the smallest page_id is the response.
 OP2_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
@@ -227,6 +234,15 @@ SELECT l.doc_id, l.leaf, r.h AS subroot, m.h AS root, coalesce(o.proof_sha256, s
 FROM l JOIN r ON l.src = r.src JOIN g ON g.src = l.src AND g.pos = l.pos LEFT JOIN o ON o.src = l.src AND o.pos = l.pos, q JOIN m ON m.lvl = q.top
 """
 
+#: What the pages of this table mark as their article, without a cut: its block tags end blocks, other tags go, two references are decoded.
+OP13_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+b AS (
+  SELECT page_id, url, list_transform(string_split(regexp_replace(regexp_replace(replace(body, '<br>', ' '), '(?s)</?(p|h[1-6]|div|ul|ol|li|blockquote|pre|section)(\s[^>]*)?>', chr(1), 'g'), '(?s)<!--.*?-->|<[a-zA-Z/][^>]*>', '', 'g'), chr(1)),
+    lambda x: trim(regexp_replace(regexp_replace(replace(x, '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks FROM a)
+SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text, CAST(length(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10))) AS BIGINT) AS n_chars FROM b
+"""
+
 
 def queries() -> dict:
     return {
@@ -242,8 +258,9 @@ def queries() -> dict:
         "op10_bpe": op10_bpe,
         "op11_merkle": op11_merkle,
         "op12_alignment": op12_alignment,
+        "op13_html": op13_html,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op4_tool_calls": OP4_SQL, "op6_minhash": OP6_SQL, "op8_topk": OP8_SQL, "op11_merkle": OP11_SQL}
+    return {"op2_warc": OP2_SQL, "op4_tool_calls": OP4_SQL, "op6_minhash": OP6_SQL, "op8_topk": OP8_SQL, "op11_merkle": OP11_SQL, "op13_html": OP13_SQL}
