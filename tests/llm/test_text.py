@@ -6,6 +6,8 @@ import random
 import re
 import zlib
 
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -303,3 +305,24 @@ def test_personal_data_tables(spark):
     assert pii.redacted(df, model).filter("doc_id = 1").first().text == "é <EMAIL> <PHONE>"
     assert pii.redacted(df, model).filter("doc_id = 2").first().text is None
     assert pii.find_personal_data(df.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_registered_fit_finds_each_kind(spark, sf):
+    """Recall of at least 0.9 for each kind of disguised span, in texts of the larger table, with few decoys and clean numbers taken."""
+    model, rng = pii.fit(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")), np.random.default_rng(7)
+    found, all_, taken, added = Counter(), Counter(), 0, 0
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    for text in texts[::-1]:
+        added += sum(not s[3] for s in pii.all_spans(text, model)) if sf == "sf0.01" else 0
+        for kind, a, b in pii.base_spans(text):
+            copy, other = pii.perturbed(kind, text[a:b], rng, all_[kind]), pii.decoy(rng)
+            if all_[kind] < 150 and not pii.base_spans(copy):
+                all_[kind] += 1
+                head = text[max(0, a - 80) : a]
+                hits = lambda x, k: any(s[0] in k and not s[3] and s[1] < len(head) + len(x) and s[2] > len(head) for s in pii.all_spans(head + x + text[b : b + 80], model))  # noqa: E731, B023
+                found[kind] += hits(copy, (kind,))
+                taken += not pii.base_spans(other) and hits(other, pii.KINDS)
+    assert set(all_) == set(pii.KINDS) and all(found[k] >= 0.9 * all_[k] for k in all_), (found, all_)
+    assert taken <= 0.02 * sum(all_.values())
+    assert added <= len(texts) // 500

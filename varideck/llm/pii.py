@@ -24,14 +24,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_TOKENS = 8
-MARGIN = 2.0
+MARGIN = 1.0
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -120,7 +120,8 @@ def span_features(x: str, tokens: int, before: str) -> list[int]:
         41 + ("=" in x or '"' in x), 43 + ("(" in x and ")" in x), 45 + ("-" in x), 47 + x[:1].isdigit(), 49 + x[-1:].isdigit(),
         51 + (13 <= n <= 19 and luhn("".join(groups))), 53 + (len(groups) == 4 and all(len(p) < 4 and int(p) < 256 for p in groups)),
         55 + min(8, len(x) // 5), 64 + bool(SPELLED.search(x)), 66 + bool(BRACKETED.search(x)), 68 + min(len(groups), 8), 77 + x.startswith("("), 79 + (13 <= n <= 19 and not LETTERS.search(x)),
-        81 + (bool(groups) and max(map(len, groups)) >= 5), 83 + bool(re.search(r"[A-Za-z]\.[A-Za-z]", x)), FLAGS + zlib.crc32(shape.encode()) % SHAPES, FLAGS + SHAPES + zlib.crc32(before.lower().encode()) % WORDS,
+        81 + (bool(groups) and max(map(len, groups)) >= 5), 83 + bool(re.search(r"[A-Za-z]\.[A-Za-z]", x)), 85 + (min(n, 20) if x.isdigit() else 0), 106 + min(3, x.count("/")),
+        110 + ([*map(len, groups[-3:])] == [3, 3, 4] or [*map(len, groups[-2:])] == [3, 7]), 112 + (len(groups) > 2 and {*map(len, groups[:-1])} == {4}), 114 + (len(set(re.sub("[0-9]", "", x))) == 1), FLAGS + zlib.crc32(shape.encode()) % SHAPES, FLAGS + SHAPES + zlib.crc32(before.lower().encode()) % WORDS,
     ]
     return on
 
@@ -212,24 +213,40 @@ def gold_segments(text: str, s: Stretch, spans: list[tuple[str, int, int]]) -> s
     return gold | {(k, 0) for k, (i, j, *_) in enumerate(s.spans) if j - i == 1 and i not in used}
 
 
-def perturbed(kind: str, x: str, rng: np.random.Generator) -> str:
-    """A base span as people disguise or mistype it, so that the base patterns miss it."""
+def _email(x: str, at: str, dot: str) -> str:
+    local, _, domain = x.partition("@")
+    return local + at + domain.replace(".", dot)
+
+
+def _card(x: str, mark: str, wrong: bool, rng: np.random.Generator) -> str:
+    digits = re.sub("[^0-9]", "", x)
+    if wrong:
+        digits = digits[:-1] + str((int(digits[-1]) + 1 + int(rng.integers(9))) % 10)
+    return mark.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+
+
+def _phone(x: str, form: str) -> str:
     digits = re.sub("[^0-9]", "", x)
-    pick = lambda *forms: forms[int(rng.integers(len(forms)))]
-    if kind == "email":
-        at, dot = pick(("(at)", "."), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)"), (" (at) ", "."), (" @ ", "."), ("[at]", "."))
-        local, _, domain = x.partition("@")
-        return local + at + domain.replace(".", dot)
-    if kind == "ip":
-        return x.replace(".", pick("-", ",", "[.]", ":", "_"))
-    if kind == "card":
-        wrong = digits[:-1] + str((int(digits[-1]) + 1 + int(rng.integers(9))) % 10)
-        mark = pick("", " ", "-", ".", "/")
-        whole = pick(wrong, digits) if mark in "./" and mark else wrong
-        return mark.join(whole[i : i + 4] for i in range(0, len(whole), 4))
-    code, area, first, last = digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:]
-    mark = pick("-", ".", " ", "/")
-    return pick(f"({area}) {first}-{last}", f"{area}{mark}{first}{mark}{last}", f"00{code} {area}{mark}{first}{mark}{last}", f"{code or 1}-{area}-{first}-{last}", f"({area}){first}-{last}", f"{area}/{first}{last}")
+    return form.format(code=digits[:-10], one=digits[:-10] or 1, a=digits[-10:-7], b=digits[-7:-4], c=digits[-4:])
+
+
+#: The ways in which people disguise or mistype each kind, so that the base patterns miss it; each takes a base span. A run of digits with a
+#: wrong check digit and no mark isn't one: texts hold as many such numbers that are no cards.
+FORMS = {
+    "email": [lambda x, _, f=f: _email(x, *f) for f in (("(at)", "."), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)"), (" (at) ", "."), (" @ ", "."), ("[at]", "."))],
+    "ip": [lambda x, _, f=f: x.replace(".", f) for f in ("-", ",", "[.]", ":", "_")],
+    "card": [lambda x, rng, f=f: _card(x, *f, rng) for f in ((" ", True), ("-", True), (".", True), ("/", True), (".", False), ("/", False))],
+    "phone": [
+        lambda x, _, f=f: _phone(x, f)
+        for f in ("({a}) {b}-{c}", "{a}-{b}-{c}", "{a}.{b}.{c}", "{a} {b} {c}", "{a}/{b}/{c}", "00{code} {a}-{b}-{c}", "00{code} {a}.{b}.{c}", "00{code} {a} {b} {c}", "00{code} {a}/{b}/{c}", "{one}-{a}-{b}-{c}", "({a}){b}-{c}", "{a}/{b}{c}")
+    ],
+}
+
+
+def perturbed(kind: str, x: str, rng: np.random.Generator, form: int | None = None) -> str:
+    """A base span in the given form of FORMS, or in any."""
+    forms = FORMS[kind]
+    return forms[int(rng.integers(len(forms))) if form is None else form % len(forms)](x, rng)
 
 
 def decoy(rng: np.random.Generator) -> str:
@@ -243,8 +260,9 @@ def decoy(rng: np.random.Generator) -> str:
     return forms[n(0, len(forms))]
 
 
-def lessons(text: str, rng: np.random.Generator) -> list[tuple[Stretch, set[tuple[int, int]]]]:
-    """The windows of a text with their labels, and each base span in a perturbed copy and a decoy's place."""
+def lessons(text: str, rng: np.random.Generator, copies: dict[str, int] | None = None) -> list[tuple[Stretch, set[tuple[int, int]]]]:
+    """The windows of a text with their labels, and so many perturbed copies of each base span of a kind (two where that isn't said), the
+    forms in turn, with half as many decoys in its place."""
     out, spans = [], base_spans(text)
 
     def learn(x: str, labels: list[tuple[str, int, int]], wanted: int) -> None:
@@ -259,7 +277,8 @@ def lessons(text: str, rng: np.random.Generator) -> list[tuple[Stretch, set[tupl
         before, after = (" ".join(x) for x in (text[max(0, a - 80) : a].split()[-5:], text[b : b + 80].split()[:3]))
         lead, tail = text[max(0, a - 80) : a][-1:].isspace() or not before, after and text[b : b + 1].isspace()
         head = before + " " * bool(before and lead)
-        for copy, labelled in ((perturbed(kind, text[a:b], rng), True), (perturbed(kind, text[a:b], rng), True), (decoy(rng), False), (decoy(rng), False)):
+        first, n = int(rng.integers(len(FORMS[kind]))), (copies or {}).get(kind, 2)
+        for copy, labelled in [(perturbed(kind, text[a:b], rng, first + i), True) for i in range(n)] + [(decoy(rng), False) for _ in range(-(-n // 2))]:
             if not base_spans(copy):
                 line, c, d = head + copy + " " * bool(tail) + after, len(head), len(head) + len(copy)
                 others = [x for x in base_spans(line) if x[2] <= c or x[1] >= d]  # other data around it stays what it is
@@ -267,12 +286,15 @@ def lessons(text: str, rng: np.random.Generator) -> list[tuple[Stretch, set[tupl
     return out
 
 
-def train(texts: list[str], epochs: int = 4, rate: float = 0.4, decay: float = 1e-4, most: int = 3000, seed: int = 3) -> SemiMarkov:
-    """From the lessons of these texts, in a random order, `most` at most."""
+def train(texts: list[str], epochs: int = 4, rate: float = 0.4, decay: float = 1e-4, most: int = 6000, each: int = 60, seed: int = 3) -> SemiMarkov:
+    """From the lessons of these texts, in a random order, `most` at most. A kind with few base spans has more copies of each (up to 60),
+    so that it has `each` of every form all the same."""
     model, rng = SemiMarkov(np.zeros((WIDTH, len(KINDS) + 1))), np.random.default_rng(seed)
-    data = [x for text in texts for x in lessons(text, rng)]
+    found = [kind for text in texts for kind, *_ in base_spans(text)]
+    copies = {kind: min(60, max(2, -(-each * len(FORMS[kind]) // found.count(kind)))) for kind in set(found)}
+    data = [x for text in texts for x in lessons(text, rng, copies)]
     if not any(label for _, gold in data for _, label in gold):
-        model.weights[0, 1:] = -2 * MARGIN
+        model.weights[0, 1:] = -4
         return model
     data = [data[i] for i in rng.permutation(len(data))[:most]]
     flat = [np.array([f for *_, f in s.spans]) for s, _ in data]
@@ -285,11 +307,18 @@ def train(texts: list[str], epochs: int = 4, rate: float = 0.4, decay: float = 1
     return model
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 900) -> SemiMarkov:
-    """The model of at most `rows` documents with a digit or @, those with the least hash of their id; only they reach the driver."""
-    some = docs.filter(F.col(text).rlike("[0-9@]")).select(F.col(key).alias("k"), F.xxhash64(key).alias("h"))
-    chosen = some.orderBy("h", "k").limit(rows).select("k")
-    sample = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k").orderBy(F.xxhash64("k"), "k", "t").limit(rows).collect()
+#: For each kind, a pattern that every base span of it holds: it only chooses rows to learn from.
+LIKELY = {"email": r"@[A-Za-z0-9-]+\.", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "card": r"[0-9]([ -]?[0-9]){12}", "phone": r"\+[0-9][ ().0-9-]{7}"}
+
+
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = 200) -> SemiMarkov:
+    """The model of at most `rows` documents of each kind of data, those with the least hash of their id whose text may hold it; only they
+    reach the driver."""
+    kinds = F.array_compact(F.array(*[F.when(F.col(text).contains({"email": "@", "phone": "+"}.get(k, ".") if k != "card" else "") & F.col(text).rlike(p), k) for k, p in LIKELY.items()]))
+    some = docs.select(F.col(key).alias("k"), F.xxhash64(key).alias("h"), F.explode(kinds).alias("kind"))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("h", "k"))  # limited to `rows` a kind in every task
+    chosen = some.withColumn("place", place).filter(F.col("place") <= rows).select("k").distinct()
+    sample = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k").orderBy(F.xxhash64("k"), "k", "t").limit(len(KINDS) * rows).collect()
     return train([r.t or "" for r in sample])
 
 
