@@ -107,3 +107,12 @@ def test_overlaps_are_those_of_bytes():
     x, y, _, _ = align.overlaps(starts[0], np.zeros(len(a), int), starts[1], np.zeros(len(b), int))
     owner = [np.repeat(np.arange(len(i)), s.lengths[i]) for s, i in ((one, a), (two, np.array(b)))]
     assert list(zip(x.tolist(), y.tolist(), strict=True)) == sorted(set(zip(*(o.tolist() for o in owner), strict=True)))
+
+
+def test_both_ways_to_encode_agree():
+    from varideck.llm.bpe import BpeCodec
+
+    codec = BpeCodec(A)
+    codec.cut = None
+    texts = [r["text"] for r in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).to_pylist()] + [t for _, t in ROWS if t]
+    assert align.sides(A, B)[0].encode(texts) == [x.tolist() for x in codec.encode([" " + t for t in texts])]

@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,15 +49,23 @@ class Side:
 
 
 class ByteSide(Side):
-    """A byte-level vocabulary file, over space and text."""
+    """A byte-level vocabulary file, over space and text; special tokens' strings are plain text. Where the ids rise with the ranks of
+    their merges, as in the known files, tiktoken encodes with them; else the codec of merge rounds does."""
 
     def __init__(self, path: str):
-        self.codec = bpe.BpeCodec(path)
-        self.codec.cut = None  # special tokens' strings are plain text
-        super().__init__(self.codec.pieces)
+        codec = bpe.BpeCodec(path)
+        codec.cut = None
+        super().__init__(codec.pieces)
+        if (np.diff(codec.merged) > 0).all() and codec.first.max() < codec.merged.min():
+            ranks = {piece: i for i, piece in enumerate(codec.pieces) if piece and i not in codec.special.values()}
+            one = tiktoken.Encoding("ranks", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.encode = lambda texts: [one.encode_ordinary(" " + x) for x in texts]
+        else:
+            self.encode = lambda texts: [x.tolist() for x in codec.encode([" " + x for x in texts])]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.codec.encode([" " + x for x in texts])
+    def spells(self, ids: list[int], raw: bytes) -> bool:
+        """Its tokens are cut from the bytes themselves, so their lengths tell."""
+        return int(self.lengths[ids].sum()) == len(raw)
 
 
 class PieceSide(Side):
@@ -184,7 +193,7 @@ def align_block(texts: list[str | None], one: Side, two: Side, piece: int = PIEC
     kept, a_ids, b_ids = [], [], []
     for i, x, y, text in zip(some, one.encode(raw), two.encode(raw), raw, strict=True):
         whole = b" " + text.encode()
-        if one.spells(x.tolist() if isinstance(x, np.ndarray) else x, whole) and two.spells(y, whole):
+        if one.spells(x, whole) and two.spells(y, whole):
             kept.append(i)
             a_ids.append(np.asarray(x, np.int64))
             b_ids.append(np.asarray(y, np.int64))
