@@ -34,7 +34,7 @@ def test_genotype_rules(spark):
 
 def test_two_conventions_of_called(spark):
     calls = spark.createDataFrame([("Chr01", 1, g, None) for g in ("0/.", "0/1", "./.", "0")], "chrom string, pos bigint, gt string, dp bigint")
-    a = k.site_metrics(calls).first()
+    a = k.genotype_metrics(calls).first()
     assert (a.total_genotypes, a.missing_genotypes, a.called_genotypes, a.mean_depth, a.heterozygous_rate) == (4, 1, 1, 0.0, 1.0)
     b = k.site_metrics_imputed(spark.createDataFrame([("Chr01", 1, 1.0, 0.5, 1)], "chrom string, pos bigint, qual double, dr2 double, imp int"), calls).first()
     assert (b.called_genotypes, b.heterozygous_count) == (3, 2)
@@ -183,7 +183,7 @@ def test_text_readers(spark, tmp_path):
 
 
 def test_writers_and_package(spark, p, tmp_path):
-    m = k.site_metrics(p.calls)
+    m = k.site_metrics(p.sites, p.calls)
     sinks.write_metrics(m, str(tmp_path / "m"))
     assert spark.read.csv(str(tmp_path / "m"), sep="\t", header=True).count() == m.count()
     sinks.write_callset(p.sites, str(tmp_path / "c"), 3)
@@ -201,9 +201,26 @@ def test_writers_and_package(spark, p, tmp_path):
 
 def test_refresh_touches_stale_chromosomes_alone(spark, p, tmp_path):
     out = str(tmp_path / "metrics")
-    sinks.write_site_metrics(k.site_metrics(p.calls).withColumn("call_rate", F.lit(-1.0)), out)
+    sinks.write_site_metrics(k.site_metrics(p.sites, p.calls).withColumn("call_rate", F.lit(-1.0)), out)
     sources = spark.createDataFrame([("Chr01", 5), ("Chr02", 5)], "partition string, mtime bigint")
     ledger = spark.createDataFrame([("Chr01", 9, "x"), ("Chr02", 1, "x")], "partition string, made_at bigint, params string")
-    assert [r.partition for r in refresh_site_metrics(p.calls, sources, ledger, "x", out).collect()] == ["Chr02"]
+    assert [r.partition for r in refresh_site_metrics(p.sites, p.calls, sources, ledger, "x", out).collect()] == ["Chr02"]
     rates = {r.chrom: r.r for r in spark.read.parquet(out).groupBy("chrom").agg(F.max("call_rate").alias("r")).collect()}
     assert rates["Chr01"] == -1.0 and rates["Chr02"] >= 0
+
+
+def test_standard_table_and_its_combined_file(spark, tmp_path):
+    sites = spark.createDataFrame([("Chr02", 5, 1, 3.0, 2.0, 50.0), ("Chr01", 7, 2, None, None, None), ("Chr01", 7, 3, 9.0, 1.0, 1.0)], "chrom string, pos bigint, site_key bigint, qual double, qd double, mq double")
+    calls = spark.createDataFrame([("Chr02", 5, 1, "a", "0/1", 4), ("Chr02", 5, 1, "b", "./.", None), ("Chr01", 7, 3, "a", "1|1", 2)], "chrom string, pos bigint, site_key bigint, sample string, gt string, dp bigint")
+    m = k.site_metrics(sites, calls)
+    assert len(m.columns) == 18 and vcf.schema_mode_ok(m.columns, "standard") and not vcf.schema_mode_ok(m.columns, "imputed")
+    rows = {(r.chrom, r.pos, r.qual): r for r in m.collect()}
+    assert rows["Chr02", 5, 3.0].mean_depth == 4.0 and rows["Chr02", 5, 3.0].call_rate == 0.5 and rows["Chr02", 5, 3.0].heterozygous_rate == 1.0
+    assert rows["Chr01", 7, None].total_genotypes == 0 and rows["Chr01", 7, None].mq is None and rows["Chr01", 7, 9.0].called_genotypes == 1
+    path = str(tmp_path / "combined")
+    sinks.write_combined_metrics(m, path)
+    lines = [x for f in sorted((tmp_path / "combined").glob("part-*.txt")) for x in f.read_text().splitlines()]
+    assert lines[0] == "\t".join(m.columns).upper() and [x.split("\t")[:2] for x in lines[1:]] == [["Chr01", "7"], ["Chr01", "7"], ["Chr02", "5"]]
+    assert "NA" in lines[1].split("\t") and sum(x.startswith("CHROM") for x in lines) == 1
+    with pytest.raises(ValueError, match="header"):
+        vcf.read_combined_metrics(spark, path, ["chrom", "pos"])

@@ -27,35 +27,42 @@ def genotypes(calls: DataFrame) -> DataFrame:
     return calls.withColumns({"allele1": part(0), "allele2": part(1), "phased": c.gt_phased(F.col("gt")), "dosage": c.gt_dosage(F.col("gt"))})
 
 
-def by_genotype(calls: DataFrame, *keys: str) -> DataFrame:
-    """The keys and, for each class of genotypes among their calls, _k: its rows _n, and the sum _dp and number _nd of its depths. Equal
-    genotypes are counted first, so the rules are applied to the few distinct ones and not to every call."""
-    few = calls.groupBy(*keys, "gt").agg(F.count(F.lit(1)).alias("_n"), F.sum("dp").alias("_dp"), F.count("dp").alias("_nd"))
-    return few.withColumn("_k", c.gt_class(F.col("gt")))
+#: The columns that a site's metrics take over from its record.
+RECORD_COLUMNS = ("qual", "qd", "ac", "af", "inbreeding_coeff", "excess_het", "mq")
+GENOTYPE_COLUMNS = (
+    "mean_depth", "call_rate", "missing_rate", "heterozygous_rate", "dp_non_missing", "called_genotypes", "missing_genotypes", "total_genotypes", "heterozygous_count",
+)
 
 
-def of_class(condition: Column, name: str) -> Column:
-    return F.sum(F.when(condition, F.col("_n")).otherwise(0)).alias(name)
-
-
-def site_metrics(calls: DataFrame) -> DataFrame:
-    """Metrics of each site: half-missing and haploid genotypes are neither missing nor called."""
+def genotype_metrics(calls: DataFrame, *more: str) -> DataFrame:
+    """Depth, call rates and counts of each site from its calls alone, in one aggregation: half-missing and haploid genotypes are neither
+    missing nor called. more: further keys that a site has, which are kept."""
+    classed = calls.select(*SITE, *more, "dp", c.gt_class(F.col("gt")).alias("_k"))
     k = F.col("_k")
-    out = by_genotype(calls, *SITE).groupBy(*SITE).agg(
-        F.sum("_n").alias("total_genotypes"), of_class(k == 0, "missing_genotypes"), of_class(k.between(1, 3), "called_genotypes"), of_class(k == 2, "heterozygous_count"),
-        F.sum("_nd").alias("dp_non_missing"), F.sum("_dp").alias("_dp"),
-    )
+    out = classed.groupBy(*SITE, *more).agg(
+        F.count(F.lit(1)).alias("total_genotypes"), n(k == 0, "missing_genotypes"), n(k.between(1, 3), "called_genotypes"), n(k == 2, "heterozygous_count"), F.count("dp").alias("dp_non_missing"), F.sum("dp").alias("_dp")
+    )
     total, missing = F.col("total_genotypes"), F.col("missing_genotypes")
     return out.select(
-        *SITE, rate(F.col("_dp"), F.col("dp_non_missing")).alias("mean_depth"), rate(total - missing, total).alias("call_rate"), rate(missing, total).alias("missing_rate"),
+        *SITE, *more, rate(F.col("_dp"), F.col("dp_non_missing")).alias("mean_depth"), rate(total - missing, total).alias("call_rate"), rate(missing, total).alias("missing_rate"),
         rate(F.col("heterozygous_count"), F.col("called_genotypes")).alias("heterozygous_rate"), "dp_non_missing", "called_genotypes", "missing_genotypes", "total_genotypes", "heterozygous_count",
     )
 
 
+def site_metrics(variants: DataFrame, calls: DataFrame) -> DataFrame:
+    """The standard table of a call set, a row a record and 18 columns: what the record says (NULL where it doesn't, or the table lacks the
+    column) and what its genotypes say (0 for a record without calls). Records of one place are told apart where both sides have site_key."""
+    more = ["site_key"] if "site_key" in variants.columns and "site_key" in calls.columns else []
+    said = [F.col(x).cast("double").alias(x) if x in variants.columns else F.lit(None).cast("double").alias(x) for x in RECORD_COLUMNS]
+    joined = variants.select(*SITE, *more, *said).join(genotype_metrics(calls, *more), [*SITE, *more], "left")
+    return joined.select(*SITE, *RECORD_COLUMNS, *[F.coalesce(x, F.lit(0)).alias(x) for x in GENOTYPE_COLUMNS])
+
+
 def site_metrics_imputed(variants: DataFrame, calls: DataFrame) -> DataFrame:
     """Metrics of imputed sites, with their qual, af (NULL where the table has none), dr2 and imp: everything that isn't wholly missing counts as called."""
     k = F.col("_k")
-    out = by_genotype(calls, *SITE).groupBy(*SITE).agg(F.sum("_n").alias("total_genotypes"), of_class(k == 0, "missing_genotypes"), of_class(k > 0, "called_genotypes"), of_class(k.isin(2, 4), "heterozygous_count"))
+    classed = calls.select(*SITE, c.gt_class(F.col("gt")).alias("_k"))
+    out = classed.groupBy(*SITE).agg(F.count(F.lit(1)).alias("total_genotypes"), n(k == 0, "missing_genotypes"), n(k > 0, "called_genotypes"), n(k.isin(2, 4), "heterozygous_count"))
     total, missing, called = F.col("total_genotypes"), F.col("missing_genotypes"), F.col("called_genotypes")
     rates = out.select(
         *SITE, rate(called, total).alias("call_rate"), rate(missing, total).alias("missing_rate"), rate(F.col("heterozygous_count"), called).alias("heterozygous_rate"),
@@ -69,10 +76,8 @@ def snp_counts(variants: DataFrame, calls: DataFrame, allowed: tuple[str, ...] =
     """Counts of each sample on each chromosome, on biallelic SNPs with an allowed filter."""
     sites = v.filter_status(v.biallelic_snps(variants), allowed).select("site_key")
     k = F.col("_k")
-    counts = by_genotype(calls.join(sites, "site_key", "left_semi"), "chrom", "sample").groupBy(F.col("chrom").alias("chr_label"), "sample").agg(
-        of_class(k == 1, "n_refhom"), of_class(k == 3, "n_homalt"), of_class(k == 2, "n_het"), of_class(~k.between(1, 3), "n_missing")
-    )
-    return with_totals(counts)
+    classed = calls.join(sites, "site_key", "left_semi").select(F.col("chrom").alias("chr_label"), "sample", c.gt_class(F.col("gt")).alias("_k"))
+    return with_totals(classed.groupBy("chr_label", "sample").agg(n(k == 1, "n_refhom"), n(k == 3, "n_homalt"), n(k == 2, "n_het"), n(~k.between(1, 3), "n_missing")))
 
 
 def with_totals(counts: DataFrame) -> DataFrame:

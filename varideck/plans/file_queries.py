@@ -10,7 +10,7 @@ from ..operators import variants as v
 from ..sources import sinks, vcf
 from ..streaming.refresh import refresh_site_metrics
 from .phasing import prepare_for_phasing
-from .registry import METRICS, ORACLES, SNP, query
+from .registry import ORACLES, SNP, STANDARD, query, records, standard_metrics
 
 RATES = ["mean_depth", "call_rate", "missing_rate", "heterozygous_rate"]
 COUNTS = ["dp_non_missing", "called_genotypes", "missing_genotypes", "total_genotypes", "heterozygous_count"]
@@ -18,20 +18,27 @@ COUNTS = ["dp_non_missing", "called_genotypes", "missing_genotypes", "total_geno
 
 def typed(raw):
     """Metrics as they were before they were text."""
-    return raw.select("chrom", F.col("pos").cast("bigint").alias("pos"), *[F.col(x).cast("double").alias(x) for x in RATES], *[F.col(x).cast("bigint").alias(x) for x in COUNTS])
+    return raw.select("chrom", F.col("pos").cast("bigint").alias("pos"), *[F.col(x).cast("double").alias(x) for x in (*k.RECORD_COLUMNS, *RATES)], *[F.col(x).cast("bigint").alias(x) for x in COUNTS])
 
 
-@query("K01_write_metrics", METRICS, "calls")
+@query("K01_write_metrics", STANDARD, "sites", "calls")
 def _(p):
     path = sinks.scratch(p.spark, "metrics")
-    sinks.write_metrics(k.site_metrics(p.calls), path)
+    sinks.write_metrics(standard_metrics(p), path)
     return typed(p.spark.read.csv(path, sep="\t", header=True, nullValue="NA"))
 
 
-@query("K02_write_site_metrics", METRICS, "calls")
+@query("K01b_write_combined_metrics", STANDARD, "sites", "calls")
+def _(p):
+    path, m = sinks.scratch(p.spark, "combined-metrics"), standard_metrics(p)
+    sinks.write_combined_metrics(m, path)
+    return typed(vcf.read_combined_metrics(p.spark, path, m.columns))
+
+
+@query("K02_write_site_metrics", STANDARD, "sites", "calls")
 def _(p):
     """The second write replaces one chromosome alone."""
-    path, m = sinks.scratch(p.spark, "site-metrics"), k.site_metrics(p.calls)
+    path, m = sinks.scratch(p.spark, "site-metrics"), standard_metrics(p)
     sinks.write_site_metrics(m.withColumn("call_rate", F.when(F.col("chrom") == "Chr01", -1.0).otherwise(F.col("call_rate"))), path)
     sinks.write_site_metrics(m.filter("chrom = 'Chr01'"), path)
     return typed(p.spark.read.parquet(path))
@@ -59,7 +66,7 @@ ORACLES["K04_write_counts"] = ORACLES["A04_snp_counts_with_total"]
 def _(p):
     path = sinks.scratch(p.spark, "package")
     samples = sinks.annotate_samples(p.samples, p.samples.filter("k % 5 <> 0"), p.samples.filter("k % 7 = 0"))
-    there = sinks.export_report_package(path, "cohort", k.site_metrics(p.calls), samples=samples, counts=p.calls.select("chrom", "sample").distinct(), kinship=None)
+    there = sinks.export_report_package(path, "cohort", standard_metrics(p), samples=samples, counts=p.calls.select("chrom", "sample").distinct(), kinship=None)
     sizes = [p.spark.read.parquet(f"{path}/{x}").select(F.lit(x).alias("section")) for x in there] + [p.spark.read.text(f"{path}/manifest").select(F.lit("manifest").alias("section"))]
     return v.concatenate(sizes).groupBy("section").agg(F.count(F.lit(1)).alias("n"))
 
@@ -155,22 +162,22 @@ def _(p):
     return prepare_for_phasing(p.variants, fai, "impute").select("site_key", "chrom")
 
 
-@query("U02_concatenate_metrics", METRICS, "calls")
+@query("U02_concatenate_metrics", STANDARD, "sites", "calls")
 def _(p):
     """One table of each half of the chromosomes, read back and put together under one header."""
-    m, parts = k.site_metrics(p.calls), []
+    m, parts = standard_metrics(p), []
     for even in (True, False):
         parts.append(sinks.scratch(p.spark, "half"))
         sinks.write_metrics(m.filter((F.substring("chrom", 4, 2).cast("int") % 2 == 0) == even), parts[-1])
     return typed(v.concatenate([vcf.read_metrics(p.spark, x, ["pos", "mean_depth"]) for x in parts]))
 
 
-@query("I02_refresh_site_metrics", METRICS, "calls")
+@query("I02_refresh_site_metrics", STANDARD, "sites", "calls")
 def _(p):
     """The chromosomes whose sources are newer are made again, the others stay."""
-    path, m = sinks.scratch(p.spark, "refreshed"), k.site_metrics(p.calls)
+    path, m = sinks.scratch(p.spark, "refreshed"), standard_metrics(p)
     odd = F.substring("chrom", 4, 2).cast("int") % 2 == 1
     sinks.write_site_metrics(m.withColumn("call_rate", F.when(odd, -1.0).otherwise(F.col("call_rate"))), path)
     chroms = m.select("chrom").distinct().select(F.col("chrom").alias("partition"), F.when(odd, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).alias("mtime"))
-    refresh_site_metrics(p.calls, chroms, chroms.select("partition", F.lit("2024-01-01").alias("made_at"), F.lit("geno=1").alias("params")), "geno=1", path)
+    refresh_site_metrics(records(p), p.calls, chroms, chroms.select("partition", F.lit("2024-01-01").alias("made_at"), F.lit("geno=1").alias("params")), "geno=1", path)
     return typed(p.spark.read.parquet(path))

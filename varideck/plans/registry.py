@@ -175,7 +175,7 @@ def _(p):
 
 @query("F22_mean_depth_view", f"SELECT chrom, pos, {rate('sum(dp)', 'count(dp)')} AS mean_depth FROM calls GROUP BY 1, 2", "calls")
 def _(p):
-    return k.site_metrics(p.calls).select("chrom", "pos", "mean_depth")
+    return k.genotype_metrics(p.calls).select("chrom", "pos", "mean_depth")
 
 
 @query("F23_depth_matrix", "SELECT chrom, pos, max(site_key * 3 % 1000) AS info_dp, CAST(max(CASE WHEN sample = 'S0001' THEN dp END) AS DOUBLE) AS S0001, CAST(max(CASE WHEN sample = 'S0002' THEN dp END) AS DOUBLE) AS S0002, CAST(max(CASE WHEN sample = 'S0003' THEN dp END) AS DOUBLE) AS S0003 FROM calls GROUP BY 1, 2", "calls")
@@ -272,9 +272,24 @@ METRICS = f"""SELECT chrom, pos, {rate("sum(dp)", "count(dp)")} AS mean_depth, {
   count(*) AS total_genotypes, CAST(count_if({HET}) AS BIGINT) AS heterozygous_count FROM calls GROUP BY 1, 2"""
 
 
-@query("A01_site_metrics", METRICS, "calls")
+#: The standard table: what the records say, and METRICS.
+RECORDS = """site_key, chrom, pos, qual, qd, CASE WHEN site_key % 37 = 0 THEN NULL ELSE CAST(site_key * 7 % 50 AS DOUBLE) END AS ac, CAST(site_key * 53 % 101 AS DOUBLE) / 100 AS af,
+  CASE WHEN site_key % 19 = 0 THEN NULL ELSE CAST(site_key * 59 % 200 AS DOUBLE) / 100 - 1 END AS inbreeding_coeff, CAST(site_key * 61 % 300 AS DOUBLE) / 10 AS excess_het, mq"""
+STANDARD = f"WITH r AS (SELECT {RECORDS} FROM sites), m AS ({METRICS}) SELECT r.* EXCLUDE (site_key), m.* EXCLUDE (chrom, pos) FROM r JOIN m ON r.chrom = m.chrom AND r.pos = m.pos"
+
+
+def records(p):
+    """The sites with the INFO columns of a standard call set."""
+    return p.spark.sql(f"SELECT {RECORDS} FROM {{sites}}", sites=p.sites)
+
+
+def standard_metrics(p):
+    return k.site_metrics(records(p), p.calls)
+
+
+@query("A01_site_metrics", STANDARD, "sites", "calls")
 def a01(p):
-    return k.site_metrics(p.calls)
+    return standard_metrics(p)
 
 
 @query(
@@ -431,7 +446,7 @@ def _(p):
     "calls",
 )
 def _(p):
-    return plots.call_rate_bins(k.site_metrics(p.calls))
+    return plots.call_rate_bins(k.genotype_metrics(p.calls))
 
 
 @query(
@@ -442,7 +457,7 @@ def _(p):
     "calls",
 )
 def _(p):
-    return plots.het_windows(k.site_metrics(p.calls))
+    return plots.het_windows(k.genotype_metrics(p.calls))
 
 
 @query(
@@ -478,7 +493,7 @@ def _(p):
 
 @query("A24b_depth_missingness", f"WITH m AS ({METRICS}) SELECT chrom, mean_depth AS x, missing_rate AS y FROM m", "calls")
 def _(p):
-    return plots.plot_series(k.site_metrics(p.calls), "depth_missingness")
+    return plots.plot_series(k.genotype_metrics(p.calls), "depth_missingness")
 
 
 @query("A25_coverage_series", "SELECT chrom, count(*) AS n_points, min(start0) AS first_start, max(end0) AS last_end FROM coverage_bins GROUP BY 1", "coverage_bins")

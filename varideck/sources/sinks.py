@@ -37,8 +37,24 @@ def write_named_text(df: DataFrame, path: str, name: str = "name", order: str =
 
 
 def write_metrics(m: DataFrame, path: str) -> None:
-    """Tab-separated tables with a header, one folder a chromosome."""
-    m.repartition("chrom").write.mode("overwrite").partitionBy("chrom").csv(path, sep="\t", header=True, nullValue="NA")
+    """Tab-separated tables with a header, one folder a chromosome; a large chromosome has a file for each 5 Mbp."""
+    m.repartition("chrom", F.floor(F.col("pos") / 5_000_000)).write.mode("overwrite").partitionBy("chrom").csv(path, sep="\t", header=True, nullValue="NA")
+
+
+def write_combined_metrics(m: DataFrame, path: str) -> None:
+    """One table of all chromosomes as text in coordinate order, under a single header: its files, one after another by name, are that
+    table. Each task writes a range of it; the header is the least row of the order. Rates have six places."""
+    from ..functions.columns import contig_number
+
+    def text(name: str):
+        kind = m.schema[name].dataType.simpleString()
+        return F.coalesce(F.format_string("%.6f", F.col(name)) if name.endswith(("_rate", "mean_depth")) else F.col(name).cast("bigint").cast("string") if kind == "int" else F.col(name).cast("string"), F.lit("NA"))
+
+    rows = m.select(F.lit(1).alias("_part"), contig_number(F.col("chrom")).alias("_n"), F.col("chrom").alias("_c"), F.col("pos").alias("_p"), F.concat_ws("\t", *map(text, m.columns)).alias("value"))
+    header = m.sparkSession.createDataFrame([(0, None, None, None, "\t".join(x.upper() for x in m.columns))], rows.schema)
+    order = [F.col("_part"), F.col("_n").asc_nulls_last(), F.col("_c"), F.col("_p")]
+    parts = int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.unionByName(header).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
 
 
 def write_site_metrics(m: DataFrame, path: str, codec: str = "snappy") -> None:

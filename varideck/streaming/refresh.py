@@ -10,10 +10,10 @@ from ..sources.inventory import stale_partitions
 from ..sources.sinks import write_site_metrics
 
 
-def refresh_site_metrics(calls: DataFrame, sources: DataFrame, ledger: DataFrame, params: str, path: str) -> DataFrame:
+def refresh_site_metrics(variants: DataFrame, calls: DataFrame, sources: DataFrame, ledger: DataFrame, params: str, path: str) -> DataFrame:
     """Writes the metrics of stale chromosomes over theirs (dynamic partition overwrite) and returns the stale list."""
     # A row a partition: told once, as the sources' times may move on while the metrics are written.
     stale = stale_partitions(sources, ledger, params).checkpoint()
-    some = calls.join(F.broadcast(stale.select(F.col("partition").alias("chrom"))), "chrom", "left_semi")
-    write_site_metrics(site_metrics(some), path)
+    of_stale = lambda df: df.join(F.broadcast(stale.select(F.col("partition").alias("chrom"))), "chrom", "left_semi")
+    write_site_metrics(site_metrics(of_stale(variants), of_stale(calls)), path)
     return stale
