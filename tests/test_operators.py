@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from varideck.functions import columns as c
+from varideck.functions import numbering
 from varideck.operators import calls as k
-from varideck.operators import coverage, gvcf, kinship, ld, lines, pca, plots, reads
+from varideck.operators import coverage, gvcf, kinship, ld, lines, pca, planes, plots, reads
 from varideck.operators import variants as v
 from varideck.plans.phasing import prepare_for_phasing
 from varideck.sources import inventory, sinks, vcf
@@ -74,14 +75,116 @@ def test_pruning_leaves_no_linked_pair(spark, p):
     assert linked.count() > 0 and left.count() == 0
 
 
-def test_pca_reproduces_the_matrix(spark, p):
-    names = sorted(r["sample"] for r in p.samples.collect())
-    g = pca.relationship_matrix(p.calls, names)
-    scores, values = pca.genotype_pca(p.calls, names, len(names))
-    u = np.array([[r[f"pc{i + 1}"] for i in range(len(names))] for r in scores.orderBy("sample").collect()])
-    e = np.array([r.eigenvalue for r in values.orderBy("component").collect()])
-    assert np.allclose(u.T @ u, np.eye(len(names)), atol=1e-8)
-    assert np.allclose(u @ np.diag(e) @ u.T, g, atol=1e-8)
+def linked_throughout(seed, sites, samples):
+    """Calls in which neighbours look alike over the whole chromosome, with unknown ones and repeated places."""
+    rng = np.random.default_rng(seed)
+    now, rows = rng.integers(0, 3, samples), []
+    for k in range(sites):
+        now = np.where(rng.random(samples) < 0.25, rng.integers(0, 3, samples), now)
+        rows += [("Chr01" if k % 5 else "Chr02", 10 * (k // 2), k, f"s{i:03d}", None if rng.random() < 0.05 else int(g)) for i, g in enumerate(now)]
+    return rows
+
+
+CALLS = "chrom string, pos bigint, site_key bigint, sample string, dosage int"
+
+
+def plain_prune(rows, window, step, least):
+    """Windows one after another over each chromosome."""
+    sites = {}
+    for chrom, pos, key, sample, g in rows:
+        sites.setdefault(chrom, {}).setdefault((pos, key), {})[sample] = g
+    out = {}
+    for chrom, of in sites.items():
+        order = sorted(of)
+        g = [{s: x for s, x in of[k].items() if x is not None} for k in order]
+        af = [sum(x.values()) / (2 * len(x)) if x else None for x in g]
+        maf = [0.0 if f is None else min(f, 1 - f) for f in af]
+
+        def r2(a, b):
+            u = [(a[s], b[s]) for s in a.keys() & b.keys()]
+            n, sx, sy = len(u), sum(i for i, _ in u), sum(j for _, j in u)
+            vx, vy = n * sum(i * i for i, _ in u) - sx * sx, n * sum(j * j for _, j in u) - sy * sy
+            return (n * sum(i * j for i, j in u) - sx * sy) ** 2 / (vx * vy) if vx > 0 and vy > 0 else 0.0
+
+        known, gone = {}, set()
+        for start in range(0, len(order), step):
+            for i in range(start, min(start + window, len(order))):
+                for j in range(i + 1, min(start + window, len(order))):
+                    if i not in gone and j not in gone:
+                        if (i, j) not in known:
+                            known[i, j] = r2(g[i], g[j])
+                        if known[i, j] > least:
+                            gone.add(i if maf[i] < maf[j] else j)
+        out |= {(chrom, *k): v not in gone for v, k in enumerate(order)}
+    return out
+
+
+@pytest.mark.parametrize(("seed", "window", "step", "block"), [(1, 8, 3, 3), (2, 12, 5, 3), (3, 6, 1, 6), (4, 200, 50, 40)])
+def test_pruning_by_blocks_equals_windows_in_turn(spark, seed, window, step, block):
+    rows = linked_throughout(seed, 160, 70)
+    want = plain_prune(rows, window, step, 0.2)
+    kept = ld.ld_prune(spark.createDataFrame(rows, CALLS), window, step, 0.2, block)
+    assert sorted((r.chrom, r.pos, r.kept) for r in kept.collect()) == sorted((c_, pos, x) for (c_, pos, _), x in want.items())
+    assert 0 < sum(want.values()) < len(want)
+
+
+def test_planes_where_calls_lack(spark):
+    rows = [("Chr01", 1, 1, f"s{i:03d}", i % 3) for i in range(150)] + [("Chr01", 2, 2, "s149", 2), ("Chr01", 2, 2, "s000", None)]
+    got = {r.pos: r for r in planes.site_planes(spark.createDataFrame(rows, CALLS)).collect()}
+    assert [len(got[p].het) for p in (1, 2)] == [3, 3] and (got[2].n, got[2].ac, got[1].n) == (1, 2, 150)
+    bits = [i for i in range(150) if got[1].hom[i // 64] >> (i % 64) & 1]
+    assert bits == list(range(2, 150, 3)) and got[2].hom == [0, 0, 1 << 21] and got[2].known == [0, 0, 1 << 21]
+    assert planes.site_planes(spark.createDataFrame([], CALLS)).count() == 0
+
+
+def test_numbers_are_spread_and_in_order(spark):
+    """One chromosome's rows are numbered by several tasks, none of which has most of them."""
+    df = spark.range(0, 4000, 1, 8).select(F.lit("Chr01").alias("chrom"), (F.col("id") * 7919 % 4001).alias("pos"))
+    got = numbering.with_number_in(df, "chrom", [F.col("pos")], "n", 8)
+    rows = sorted(got.collect(), key=lambda r: r.pos)
+    assert [r.n for r in rows] == list(range(1, 4001))
+    where = numbering.with_row_number(df, [F.col("pos")], "n", 8).groupBy(F.spark_partition_id()).count().collect()
+    assert len(where) >= 4 and max(r["count"] for r in where) < 2000
+    mixed = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), (None, 1), ("b", 0)], "g string, x int")
+    assert sorted(((r.g or "", r.x, r.n) for r in numbering.with_number_in(mixed, "g", [F.col("x")], "n").collect())) == [("", 1, 1), ("", 2, 2), ("a", 3, 1), ("b", 0, 1), ("b", 1, 2)]
+    assert numbering.with_row_number(mixed.limit(0), [F.col("x")]).count() == 0
+
+
+def plain_pca(rows, samples):
+    """Eigenvalues and vectors of the whole matrix, and the standardised dosages by site."""
+    sites = {}
+    for chrom, pos, key, sample, g in rows:
+        sites.setdefault((chrom, pos, key), {})[sample] = g
+    z = {}
+    for site, of in sites.items():
+        x = np.array([np.nan if of.get(s) is None else of[s] for s in samples], float)
+        q = np.nanmean(x) / 2 if not np.isnan(x).all() else 0.0
+        z[site] = np.where(np.isnan(x), 0, x - 2 * q) / np.sqrt(2 * q * (1 - q)) if 0 < q < 1 else np.zeros(len(samples))
+    m = np.array(list(z.values()))
+    values, vectors = np.linalg.eigh(m.T @ m / max(1, (m != 0).any(1).sum()))
+    return values[::-1], vectors[:, ::-1], z
+
+
+@pytest.mark.parametrize(("sites", "samples", "k", "steps", "words"), [(90, 30, 30, 5, 64), (700, 150, 5, 6, 1), (300, 70, 3, 5, 64)])
+def test_components_equal_those_of_the_whole_matrix(spark, monkeypatch, sites, samples, k, steps, words):
+    monkeypatch.setattr(pca, "TILE_WORDS", words)  # parts of so many samples
+    rng = np.random.default_rng(sites)
+    group = rng.integers(0, 4, samples)
+    rows = [("Chr01", i, i, f"s{j:03d}", None if rng.random() < 0.05 else int(rng.binomial(2, p[group[j]]))) for i in range(sites) for p in [rng.random(4)] for j in range(samples)]
+    rows += [("Chr02", 1, 10**6, "s000", 1)]
+    names = [f"s{j:03d}" for j in range(samples)]
+    values, vectors, z = plain_pca(rows, names)
+    found = pca.genotype_pca(spark.createDataFrame(rows, CALLS), k, steps)
+    got = sorted(found.scores.collect(), key=lambda r: r["sample"])
+    u = np.array([[r[f"pc{i + 1}"] for i in range(k)] for r in got])
+    assert [r["sample"] for r in got] == names
+    few, e = min(k, 3), np.array([r.eigenvalue for r in found.eigenvalues.orderBy("component").collect()])
+    # Exact where the blocks span all samples; else the leading ones, and those in the noise nearly.
+    assert np.allclose(e[:few], values[:few], atol=1e-7) and np.allclose(e, values[:k], atol=1e-7 if (k + 10) * steps >= samples else 0.01 * values[k])
+    assert np.allclose(np.abs((u * vectors[:, :k]).sum(0))[:few], 1, atol=1e-6) and np.allclose(u.T @ u, np.eye(k), atol=1e-8)
+    weights = {(r.chrom, r.pos, r.component): r.weight for r in pca.pca_variant_weights(found).collect()}
+    assert len(weights) == k * len(z)
+    assert all(abs(weights[c_, pos, i + 1] - z[c_, pos, key] @ u[:, i] / np.sqrt(values[i])) < 1e-5 for c_, pos, key in list(z)[:40] for i in range(few))
 
 
 def test_blocks_equal_pairs(spark, p):

@@ -33,5 +33,5 @@ def with_number_in(df: DataFrame, group: str, order: list[Column], name: str = "
     span many tasks; its first place over all comes from one small row a group."""
     placed = with_row_number(df, [F.col(group).asc_nulls_first(), *order], "_all", partitions)
     first = placed.groupBy(F.col(group).alias("_group")).agg(F.min("_all").alias("_first"))
-    joined = placed.join(first, placed[group].eqNullSafe(first["_group"]))
+    joined = placed.join(first, F.col(group).eqNullSafe(F.col("_group")))
     return joined.withColumn(name, F.col("_all") - F.col("_first") + 1).drop("_all", "_first", "_group")

@@ -776,7 +776,22 @@ def _(p):
     return decay_run(p)
 
 
-@query("G06_ld_prune")
+@query(
+    "G06_ld_prune",
+    """WITH RECURSIVE v AS (SELECT chrom, pos, site_key, row_number() OVER (PARTITION BY chrom ORDER BY pos, site_key) - 1 AS v, coalesce(least(f, 1 - f), 0) AS maf
+      FROM (SELECT chrom, pos, site_key, CAST(sum(dosage) AS DOUBLE) / CAST(nullif(2 * count(dosage), 0) AS DOUBLE) AS f FROM calls GROUP BY 1, 2, 3) q),
+    d AS (SELECT v.chrom, v.v, v.maf, sample, dosage FROM calls JOIN v ON calls.site_key = v.site_key WHERE dosage IS NOT NULL),
+    pr AS (SELECT a.chrom, a.v AS i, b.v AS j, a.maf < b.maf AS rarer, count(*) AS n, sum(a.dosage) AS x, sum(b.dosage) AS y, sum(a.dosage * a.dosage) AS xx, sum(b.dosage * b.dosage) AS yy, sum(a.dosage * b.dosage) AS xy
+      FROM d a JOIN d b ON a.chrom = b.chrom AND a.sample = b.sample AND b.v > a.v AND b.v - a.v < 200 GROUP BY 1, 2, 3, 4),
+    k AS (SELECT chrom, i, j, CASE WHEN rarer THEN i ELSE j END AS loses, CAST(greatest(ceil((j - 199) / 50.0), 0) AS BIGINT) AS k FROM pr WHERE n * xx - x * x > 0 AND n * yy - y * y > 0
+      AND CAST(n * xy - x * y AS DOUBLE) * CAST(n * xy - x * y AS DOUBLE) / (CAST(n * xx - x * x AS DOUBLE) * CAST(n * yy - y * y AS DOUBLE)) > 0.2),
+    e AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY k, i, j) AS s FROM k WHERE k * 50 <= i),
+    g AS (SELECT DISTINCT chrom, CAST(0 AS BIGINT) AS s, CAST([] AS BIGINT[]) AS gone FROM e
+      UNION ALL SELECT g.chrom, e.s, CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gone ELSE list_append(gone, loses) END FROM g JOIN e ON e.chrom = g.chrom AND e.s = g.s + 1),
+    f AS (SELECT chrom, arg_max(gone, s) AS gone FROM g GROUP BY 1)
+    SELECT v.chrom, pos, NOT coalesce(list_contains(gone, v), false) AS kept FROM v LEFT JOIN f ON v.chrom = f.chrom""",
+    "sites", "calls",
+)
 def g06(p):
     return ld.ld_prune(p.calls)
 
@@ -787,23 +802,46 @@ def _(p):
 
 
 def pca_of(p):
+    """The components of the pruned variants."""
     from ..operators import pca
 
-    names = [r["sample"] for r in p.samples.select("sample").distinct().orderBy("sample").collect()]
-    return pca.genotype_pca(p.calls, names), names
+    return pca.genotype_pca(ld.extract(p.calls, ld.ld_prune(p.calls)))
 
 
 @query("G07_genotype_pca")
-def _(p):
-    return pca_of(p)[0][0]
+def g07(p):
+    return pca_of(p).scores
 
 
 @query("G08_pca_variant_weights")
 def _(p):
     from ..operators import pca
 
-    (scores, values), names = pca_of(p)
-    return pca.pca_variant_weights(p.calls, scores, values, names)
+    return pca.pca_variant_weights(pca_of(p))
+
+
+@query(
+    "G07b_pca_invariants",
+    """WITH s AS (SELECT site_key, CAST(sum(dosage) AS DOUBLE) / CAST(2 * count(dosage) AS DOUBLE) AS p FROM calls WHERE site_key % 10 = 1 GROUP BY 1 HAVING min(dosage) < max(dosage)),
+    z AS (SELECT c.site_key, sample, (dosage - 2 * p) / sqrt(2 * p * (1 - p)) AS z FROM calls c JOIN s ON c.site_key = s.site_key WHERE dosage IS NOT NULL AND p > 0 AND p < 1),
+    m AS (SELECT CAST(count(DISTINCT site_key) AS DOUBLE) AS m FROM z), n AS (SELECT count(DISTINCT sample) AS n FROM calls),
+    g AS (SELECT a.sample, b.sample AS other, sum(a.z * b.z) AS g FROM z a JOIN z b ON a.site_key = b.site_key GROUP BY 1, 2)
+    SELECT 'trace' AS name, round(sum(g) / max(m), 6) AS value FROM g, m WHERE sample = other UNION ALL SELECT 'squares', round(sum(g * g) / max(m * m), 6) FROM g, m
+    UNION ALL SELECT 'lengths', CAST(n AS DOUBLE) FROM n UNION ALL SELECT 'products', 0.0""",
+    "sites", "samples", "calls",
+)
+def _(p):
+    """All components of every tenth site: the eigenvalues' sum and sum of squares are those of the matrix, the components orthonormal."""
+    from ..operators import pca
+
+    n = p.samples.count()
+    found = pca.genotype_pca(p.calls.filter("site_key % 10 = 1"), k=n)
+    sums = found.eigenvalues.select(F.lit("trace").alias("name"), F.col("eigenvalue").alias("x")).unionByName(found.eigenvalues.select(F.lit("squares").alias("name"), (F.col("eigenvalue") * F.col("eigenvalue")).alias("x")))
+    long = found.scores.unpivot("sample", [x for x in found.scores.columns if x != "sample"], "pc", "x")
+    pairs = long.alias("a").join(long.alias("b"), "sample").groupBy(F.col("a.pc").alias("one"), F.col("b.pc").alias("two")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("x"))
+    same = F.col("one") == F.col("two")
+    checks = pairs.select(F.when(same, "lengths").otherwise("products").alias("name"), F.when(same, F.col("x")).otherwise(F.abs("x")).alias("x"))
+    return sums.unionByName(checks).groupBy("name").agg((F.round(F.sum("x"), 6) + 0.0).alias("value"))
 
 
 @query("G09_scree", "WITH e AS (SELECT chrom_num + 1 AS component, CAST(count(*) AS DOUBLE) AS eigenvalue FROM sites GROUP BY 1), s AS (SELECT component, round(eigenvalue / sum(eigenvalue) OVER (), 6) AS share FROM e) SELECT component, 'PC' || component || ' (' || printf('%.1f', share * 100) || '%)' AS label FROM s", "sites")
