@@ -2,11 +2,13 @@
 
 import gzip
 import json
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from varideck.functions import cigar
 from varideck.functions import columns as c
 from varideck.functions import numbering
 from varideck.operators import calls as k
@@ -217,6 +219,109 @@ def test_trimming():
     assert reads.trim_bounds("ACGTAGATCGGAAG", "I" * 14, reads.Trimming(least=3, adapters=("AGATCGGAAGAGC",))) == (0, 4)
 
 
+def plain_bounds(q, t):
+    """One read's cut points, base by base."""
+    start = next((i for i, x in enumerate(q) if x >= t.leading), len(q))
+    end = next((i + 1 for i in range(len(q) - 1, start - 1, -1) if q[i] >= t.trailing), start)
+    for i in range(start, end - t.window + 1):
+        if sum(q[i : i + t.window]) < t.window_quality * t.window:
+            end = i
+            while q[end] >= t.window_quality:
+                end += 1
+            break
+    ok = end > start and end - start >= t.least and sum(q[start:end]) >= t.average * (end - start)
+    return (start, end) if ok else (0, 0)
+
+
+def plain_adapter(seq, qual, t):
+    for i in range(len(seq)):
+        for a in t.adapters:
+            pairs = list(zip(a, seq[i:], qual[i:], strict=False))
+            if sum(x != y for x, y, _ in pairs[: t.seed]) <= t.mismatches and sum(602 if x == y else -100 * (ord(q) - 33) for x, y, q in pairs) >= 1000 * t.score:
+                return i
+    return len(seq)
+
+
+def some_reads(n, seed):
+    rng = np.random.default_rng(seed)
+    letters = lambda k, of: "".join(rng.choice(list(of), k))
+    out = []
+    for i in range(n):
+        seq = letters(int(rng.integers(0, 90)), "ACGTN")
+        if i % 3 == 0:
+            seq += "AGATCGGAAGAGCACACG"[: int(rng.integers(1, 18))]
+        if i % 9 == 0 and len(seq) > 4:
+            seq = seq[:-3] + "T" + seq[-2:]
+        out.append((i, seq, letters(len(seq), "#(2:DI")))
+    return out
+
+
+def test_trimming_and_clipping_of_batches_equal_one_by_one(spark):
+    rows = some_reads(600, 5) + [(600, None, None), (601, "", "")]
+    df = spark.createDataFrame([(i, 10, len(s or ""), s, q) for i, s, q in rows], "read_id int, start0 bigint, read_len bigint, seq string, qual string")
+    for t in (reads.Trimming(least=5), reads.Trimming(leading=3, trailing=25, window=4, window_quality=20, average=10, least=1)):
+        got = {r.read_id: r for r in reads.trim_reads(df, t).collect()}
+        for i, s, q in rows:
+            a, b = plain_bounds([ord(x) - 33 for x in q or ""], t)
+            assert (got[i].seq, got[i].qual) == ((s or "")[a:b] if s is not None else None, (q or "")[a:b] if q is not None else None) and (got[i].start0, got[i].read_len, got[i].kept) == (10 + a, b - a, b > a)
+    t = reads.Trimming(adapters=("AGATCGGAAGAGCACACG", "TTTTTTTTTT"), score=3.0)
+    got = {r.read_id: r for r in reads.clip_adapters(df, t).collect()}
+    ends = {i: plain_adapter(s or "", q or "", t) for i, s, q in rows}
+    assert all((got[i].seq or "") == (s or "")[: ends[i]] and got[i].clipped == len(s or "") - ends[i] for i, s, _ in rows)
+    assert sum(e < len(s or "") for (_, s, _), e in zip(rows, ends.values(), strict=True)) > 60
+
+
+def test_mates_show_where_their_fragment_ends(spark):
+    rng = np.random.default_rng(3)
+    turn = lambda s: s.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    rows = []
+    for i, size in enumerate((40, 60, 75, 99, 100, 140)):
+        f = "".join(rng.choice(list("ACGT"), size))
+        for mate, strand, adapter in ((1, f, reads.PAIRED_ADAPTERS[0]), (2, turn(f), reads.PAIRED_ADAPTERS[1])):
+            seq = (strand + adapter * 3)[:100]
+            seq = seq[:20] + ("A" if seq[20] != "A" else "C") + seq[21:] if mate == 1 and i == 1 else seq
+            rows.append((10 * i + mate, f"f{i}", mate, "s", seq, "I" * 100, 100))
+    rows.append((99, "alone", 1, "s", "ACGT" * 25, "I" * 100, 100))
+    df = spark.createDataFrame(rows, "read_id bigint, qname string, mate bigint, sample string, seq string, qual string, read_len bigint")
+    got = {(r.qname, r.mate): (len(r.seq), len(r.qual), r.clipped) for r in reads.clip_pairs(df, reads.Trimming()).collect()}
+    for i, size in enumerate((0, 60, 75, 99, 100, 140)):  # an overlap of 40 bases can't reach the score
+        end = min(size or 100, 100)
+        assert got[f"f{i}", 1] == got[f"f{i}", 2] == (end, end, 100 - end)
+    assert got["alone", 1] == (100, 100, 0)
+    both = reads.clip_pairs(df, reads.Trimming(adapters=reads.PAIRED_ADAPTERS)).filter("qname = 'f0'").collect()
+    assert [(len(r.seq), r.clipped) for r in both] == [(40, 60)] * 2
+
+
+def test_alignment_arithmetic(spark):
+    df = spark.createDataFrame([("5S10M2D3I4M6S3H", 100), ("*", 7), (None, 7), ("4H8=1X5=", 0), ("10M100N5M", 50)], "cigar string, start0 bigint")
+    c_ = F.col("cigar")
+    got = df.select(
+        cigar.reference_length(c_).alias("ref"), cigar.length_on(c_, cigar.ON_READ).alias("read"), cigar.clips(c_, False).alias("a"), cigar.clips(c_, True).alias("b"), cigar.clips(c_, True, "S").alias("s"), cigar.aligned_pieces(c_).alias("p"),
+        cigar.unclipped_end5(F.col("start0"), c_, F.lit(False)).alias("fwd"), cigar.unclipped_end5(F.col("start0"), c_, F.lit(True)).alias("rev"),
+    ).collect()
+    assert [(r.ref, r.read, r.a, r.b, r.s, r.fwd, r.rev) for r in got] == [(16, 28, 5, 9, 6, 95, 125), (0, 0, 0, 0, 0, 7, 7), (0, 0, 0, 0, 0, 7, 7), (14, 14, 4, 0, 0, -4, 14), (115, 15, 0, 0, 0, 50, 165)]
+    assert [[tuple(x) for x in r.p] for r in got] == [[(5, 0, 10), (18, 12, 4)], [], [], [(0, 0, 8), (8, 8, 1), (9, 9, 5)], [(0, 0, 10), (10, 110, 5)]]
+
+
+def test_depth_runs_equal_a_base_by_base_count(spark):
+    rng = np.random.default_rng(8)
+    rows = [("s", f"Chr0{i % 2}", int(rng.integers(0, 300)), str(rng.choice(["20M", "5S30M", "10M20N10M", "*", "8M3D8M"])), int(rng.choice([0, 0, 0, 4, 1024, 256]))) for i in range(200)]
+    df = spark.createDataFrame(rows, "sample string, chrom string, start0 bigint, cigar string, flag bigint")
+    for fast in (True, False):
+        depth = {}
+        for _, chrom, start, text, flag in rows:
+            at = start
+            for n, op in re.findall("([0-9]+)([MIDNSHP=X])", text) if not flag & 1796 else []:
+                for k in range(int(n) if op in "MDN" else 0):
+                    depth[chrom, at + k] = depth.get((chrom, at + k), 0) + (fast or op == "M")
+                at += int(n) if op in "MDN" else 0
+        got = coverage.depth_runs(df, fast, bucket=32).orderBy("chrom", "start0").collect()
+        assert {(r.chrom, x): r.depth for r in got for x in range(r.start0, r.end0)} == {k: v for k, v in depth.items() if v}
+        assert not [1 for a, b in zip(got, got[1:], strict=False) if a.chrom == b.chrom and a.end0 == b.start0 and a.depth == b.depth]
+        bins = lambda d: sorted(map(tuple, d.collect()))
+        assert bins(coverage.binned(coverage.depth_runs(df, fast, 32), 50)) == bins(coverage.coverage_bins(df, 50, fast))
+
+
 def test_joint_genotypes(spark):
     rows = [("s1", "Chr01", 5, "G", 1, 9, 30), ("s2", "Chr01", 5, "<NON_REF>", 0, 9, 30), ("s3", "Chr01", 5, "G", 2, 9, 30)]
     df = spark.createDataFrame(rows, "sample string, chrom string, pos bigint, alt string, dosage int, dp int, gq int")
@@ -327,3 +432,39 @@ def test_standard_table_and_its_combined_file(spark, tmp_path):
     assert "NA" in lines[1].split("\t") and sum(x.startswith("CHROM") for x in lines) == 1
     with pytest.raises(ValueError, match="header"):
         vcf.read_combined_metrics(spark, path, ["chrom", "pos"])
+
+
+def test_fastq_of_several_splits(spark, tmp_path):
+    """Records lie across the borders of splits, qualities begin with @, a short record is left out."""
+    rng = np.random.default_rng(2)
+    want = []
+    for name in ("a_1", "a_2", "b_1"):
+        rows = [(f"{name}r{i}", "".join(rng.choice(list("ACGT"), k)), "@" * k) for i in range(40) for k in [int(rng.integers(1, 30))]]
+        (tmp_path / f"{name}.fastq").write_text("".join(f"@{n}/1 x\n{s}\n+\n{q}\n" for n, s, q in rows) + ("@cut\nAC\n" if name == "b_1" else ""))
+        want += [(name[0], n, int(name[2]), s, q, len(s)) for n, s, q in rows]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        found = vcf.read_fastq(spark, str(tmp_path / "*.fastq"))
+        assert spark.read.text(str(tmp_path / "*.fastq")).rdd.getNumPartitions() > 10
+        assert sorted(map(tuple, found.collect())) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_schema_of_partitions(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert inventory.partition_schemas(spark, path).count() == 0
+    df = spark.createDataFrame([("a", ["CHROM", "MEAN_DEPTH", "QD", "MQ"]), ("b", ["AF", "DR2", "IMP"]), ("c", ["mean_depth", "qd", "mq", "dr2"]), ("d", []), ("e", None)], "partition string, columns array<string>")
+    fits = {m: {r.partition: r.x for r in df.select("partition", inventory.fits_mode(F.col("columns"), m).alias("x")).collect()} for m in ("standard", "imputed")}
+    assert fits["standard"] == {"a": True, "b": False, "c": False, "d": False, "e": None} and fits["imputed"] == {"a": False, "b": True, "c": False, "d": False, "e": None}
+    sources = df.select("partition", F.lit(1).alias("mtime"))
+    stale = inventory.stale_partitions(sources, df.select("partition", F.lit(1).alias("made_at"), F.lit("x").alias("params")), "x", df)
+    assert {(r.partition, r.reason) for r in stale.collect()} == {("b", "other schema"), ("c", "other schema"), ("d", "other schema"), ("e", "missing")}
+
+
+def test_fractions_are_checked(spark):
+    depths = spark.createDataFrame([("a", 2.0), ("b", 0.5), ("c", None)], "sample string, depth double")
+    assert sorted(map(tuple, coverage.checked_fractions(depths, 0.5).collect())) == [("a", 0.25, True), ("b", None, False), ("c", None, False)]
+    with pytest.raises(ValueError, match="positive"):
+        coverage.checked_fractions(depths, 0.0)

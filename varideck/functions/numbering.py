@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.sinks import scratch
+from .shared import scratch
 
 #: monotonically_increasing_id() holds the partition above this bit and the row's place in it below.
 PLACE_BITS = 33

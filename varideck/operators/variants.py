@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from ..functions.numbering import with_number_in
 
 #: The hard-filter thresholds (name of the tag, condition that passes).
 HARD_RULES = {
@@ -103,8 +104,8 @@ def with_variant_id(v: DataFrame) -> DataFrame:
 
 
 def with_variant_index(v: DataFrame) -> DataFrame:
-    """v with variant_index: the place on the chromosome, from 1."""
-    return v.withColumn("variant_index", F.row_number().over(Window.partitionBy("chrom").orderBy("pos", "site_key")).cast("bigint"))
+    """v with variant_index: the place on the chromosome, from 1, counted over ranges of it."""
+    return with_number_in(v, "chrom", [F.col("pos"), F.col("site_key")], "variant_index")
 
 
 def dedup_sites(m: DataFrame) -> DataFrame:

@@ -145,12 +145,11 @@ def _(p):
     return vcf.read_fastq(p.spark, path)
 
 
-@query("S17_read_sam", "SELECT sample, qname, mate, chrom, start0, read_len, strand, mapq, '64M' AS cigar, seq, qual FROM reads", "reads")
+@query("S17_read_sam", "SELECT sample, qname, mate, chrom, start0, read_len, strand, mapq, cigar, flag, seq, qual FROM reads", "reads")
 def _(p):
     path = sinks.scratch(p.spark, "sam")
-    flag = F.when(F.col("mate") == 2, 128).otherwise(64) + F.when(F.col("strand") == "-", 16).otherwise(0)
     name = F.concat("sample", F.lit(".sorted.sam")).alias("name")
-    body = p.reads.select(name, F.col("read_id").alias("ord"), F.concat_ws("\t", "qname", flag, "chrom", F.col("start0") + 1, "mapq", F.lit("64M"), F.lit("*"), F.lit(0), F.lit(0), "seq", "qual").alias("line"))
+    body = p.reads.select(name, F.col("read_id").alias("ord"), F.concat_ws("\t", "qname", "flag", "chrom", F.col("start0") + 1, "mapq", "cigar", F.lit("*"), F.lit(0), F.lit(0), "seq", "qual").alias("line"))
     head = p.reads.select(name, F.lit(-1).cast("bigint").alias("ord"), F.lit("@HD\tVN:1.6\tSO:coordinate").alias("line")).distinct()
     sinks.write_named_text(body.union(head), path)
     return vcf.read_sam(p.spark, path)[1]
@@ -181,3 +180,27 @@ def _(p):
     chroms = m.select("chrom").distinct().select(F.col("chrom").alias("partition"), F.when(odd, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).alias("mtime"))
     refresh_site_metrics(records(p), p.calls, chroms, chroms.select("partition", F.lit("2024-01-01").alias("made_at"), F.lit("geno=1").alias("params")), "geno=1", path)
     return typed(p.spark.read.parquet(path))
+
+
+@query("I03_schema_mode", STANDARD, "sites", "calls")
+def _(p):
+    """Two chromosomes' tables are of the imputed mode: they alone are made again, though nothing is newer."""
+    path, m = sinks.scratch(p.spark, "moded"), standard_metrics(p)
+    of_two = F.col("chrom").isin("Chr03", "Chr05")
+    sinks.write_site_metrics(m.filter(~of_two), path)
+    imputed = k.site_metrics_imputed(p.sites.withColumn("af", F.lit(0.5)), p.calls)
+    sinks.write_site_metrics(imputed.filter(of_two), path)
+    chroms = p.sites.select(F.col("chrom").alias("partition")).distinct()
+    ledger = chroms.select("partition", F.lit("2024-01-01").alias("made_at"), F.lit("geno=1").alias("params"))
+    stale = refresh_site_metrics(records(p), p.calls, chroms.withColumn("mtime", F.lit("2024-01-01")), ledger, "geno=1", path)
+    found = {(r.partition, r.reason) for r in stale.collect()}  # a row a chromosome
+    if not found <= {("Chr03", "other schema"), ("Chr05", "other schema")}:
+        raise ValueError(f"made again: {found}")
+    return typed(p.spark.read.parquet(path))
+
+
+@query("Q08_keep_fractions", """WITH d AS (SELECT sample, CAST(sum(read_len) AS DOUBLE) / 100000 AS depth FROM reads GROUP BY 1) SELECT sample, CASE WHEN depth > 0.5 THEN round(0.5 / depth, 6) END AS fraction, depth > 0.5 AS ok FROM d""", "reads")
+def _(p):
+    """The share to keep of each sample, and whether its depth passes the check that keep_fraction makes of one."""
+    depth = p.reads.groupBy("sample").agg((F.sum("read_len").cast("double") / 100000).alias("depth"))
+    return coverage.checked_fractions(depth, 0.5)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
+from ..functions.numbering import with_row_number
 from ..operators import calls as k
 from ..operators import coverage, gvcf, kinship, ld, lines, plots, reads
 from ..operators import variants as v
@@ -380,17 +381,6 @@ def _(p):
     return k.variant_count_gate(p.sites, 110)
 
 
-@query(
-    "A13_coverage_bins",
-    """WITH b AS (SELECT sample, chrom, start0, read_len, unnest(generate_series(CAST(floor(start0 / 250) AS BIGINT), CAST(floor((start0 + read_len - 1) / 250) AS BIGINT))) AS bin FROM reads)
-    SELECT sample, chrom, bin * 250 AS start0, (bin + 1) * 250 AS end0, CAST(sum(least(start0 + read_len, (bin + 1) * 250) - greatest(start0, bin * 250)) AS BIGINT) AS bases,
-    round(CAST(sum(least(start0 + read_len, (bin + 1) * 250) - greatest(start0, bin * 250)) AS DOUBLE) / 250, 6) AS coverage FROM b GROUP BY sample, chrom, bin""",
-    "reads",
-)
-def _(p):
-    return coverage.coverage_bins(p.reads)
-
-
 @query("A14_merge_coverage", "SELECT chrom, start0, max(end0) AS end0, count(coverage) AS n_samples, round(CAST(sum(coverage) AS DOUBLE) / count(coverage), 6) AS coverage FROM coverage_bins GROUP BY 1, 2", "coverage_bins")
 def _(p):
     return coverage.merge_coverage(p.coverage_bins)
@@ -631,12 +621,11 @@ def _(p):
     return kinship.flag_duplicates(p.samples.select("sample"), p.samples.filter("k % 10 in (8, 9)"))
 
 
-@query(
-    "J13_combine_gvcfs",
-    """WITH l AS (SELECT DISTINCT chrom, pos FROM gvcf WHERE alt <> '<NON_REF>'), m AS (SELECT g.sample, l.chrom, l.pos, g.alt, g.dosage, g.dp, g.gq, row_number() OVER (PARTITION BY g.sample, l.chrom, l.pos ORDER BY (g.alt <> '<NON_REF>') DESC, g.pos DESC, g.alt DESC, g.dosage DESC, g.dp DESC, g.gq DESC) AS r
-    FROM l JOIN gvcf g ON g.chrom = l.chrom AND g.pos <= l.pos AND l.pos <= g.end_pos AND (g.alt = '<NON_REF>' OR g.pos = l.pos)) SELECT sample, chrom, pos, alt, dosage, dp, gq FROM m WHERE r = 1""",
-    "gvcf",
-)
+JOINED = """l AS (SELECT DISTINCT chrom, pos FROM gvcf WHERE alt <> '<NON_REF>'), m AS (SELECT g.sample, l.chrom, l.pos, g.alt, g.dosage, g.dp, g.gq, row_number() OVER (PARTITION BY g.sample, l.chrom, l.pos ORDER BY (g.alt <> '<NON_REF>') DESC, g.pos DESC, g.alt DESC, g.dosage DESC, g.dp DESC, g.gq DESC) AS r
+    FROM l JOIN gvcf g ON g.chrom = l.chrom AND g.pos <= l.pos AND l.pos <= g.end_pos AND (g.alt = '<NON_REF>' OR g.pos = l.pos)), jo AS (SELECT sample, chrom, pos, alt, dosage, dp, gq FROM m WHERE r = 1)"""
+
+
+@query("J13_combine_gvcfs", f"WITH {JOINED} SELECT * FROM jo", "gvcf")
 def _(p):
     return gvcf.combine_gvcfs(p.gvcf)
 
@@ -670,13 +659,8 @@ def _(p):
 
 @query("O01_callset_order", "SELECT CAST(row_number() OVER (ORDER BY chrom_num, chrom, pos, site_key) AS BIGINT) AS place, site_key FROM sites", "sites")
 def _(p):
-    from pyspark.sql import Window
-
-    # One row a site; the place is counted by chromosome first, so that no task ranks all sites.
-    place = F.row_number().over(Window.partitionBy("chrom").orderBy("pos", "site_key"))
-    before = p.sites.groupBy("chrom_num", "chrom").agg(F.count(F.lit(1)).alias("n"))
-    before = before.select("chrom", (F.sum("n").over(Window.orderBy("chrom_num", "chrom")) - F.col("n")).alias("before"))
-    return p.sites.withColumn("at", place).join(F.broadcast(before), "chrom").select((F.col("before") + F.col("at")).alias("place"), "site_key")
+    placed = with_row_number(p.sites, [F.col(x) for x in ("chrom_num", "chrom", "pos", "site_key")], "place")
+    return placed.select((F.col("place") + 1).alias("place"), "site_key")
 
 
 @query(
@@ -881,9 +865,39 @@ def _(p):
     return reads.per_position_quality(p.reads)
 
 
-@query("R02_trim_reads")
+@query(
+    "R02_trim_reads",
+    """WITH q AS (SELECT *, list_transform(string_split(qual, ''), lambda x: ascii(x) - 33) AS q FROM reads),
+    a AS (SELECT *, coalesce(list_filter(range(0, len(q)), lambda i: q[i + 1] >= 10)[1], len(q)) AS s FROM q),
+    b AS (SELECT *, coalesce(list_filter(range(0, len(q)), lambda i: i >= s AND q[i + 1] >= 10)[-1] + 1, s) AS e FROM a),
+    w AS (SELECT *, list_filter(range(0, len(q) - 2), lambda i: i >= s AND i + 3 <= e AND q[i + 1] + q[i + 2] + q[i + 3] < 45)[1] AS c FROM b),
+    t AS (SELECT *, CASE WHEN c IS NULL THEN e WHEN q[c + 1] < 15 THEN c WHEN q[c + 2] < 15 THEN c + 1 WHEN q[c + 3] < 15 THEN c + 2 ELSE c + 3 END AS f FROM w),
+    k AS (SELECT *, f > s AND f - s >= 20 AND list_sum(q[s + 1:f]) >= 10 * (f - s) AS kept FROM t)
+    SELECT read_id, CAST(start0 + CASE WHEN kept THEN s ELSE 0 END AS BIGINT) AS start0, CAST(CASE WHEN kept THEN f - s ELSE 0 END AS BIGINT) AS read_len,
+      CASE WHEN kept THEN substr(seq, CAST(s + 1 AS BIGINT), CAST(f - s AS BIGINT)) ELSE '' END AS seq, CASE WHEN kept THEN substr(qual, CAST(s + 1 AS BIGINT), CAST(f - s AS BIGINT)) ELSE '' END AS qual, coalesce(kept, false) AS kept FROM k""",
+    "reads",
+)
 def _(p):
-    return reads.trim_reads(p.reads, reads.Trimming(leading=10, trailing=10, average=10, least=20))
+    return reads.trim_reads(p.reads, reads.Trimming(leading=10, trailing=10, average=10, least=20)).select("read_id", "start0", "read_len", "seq", "qual", "kept")
+
+
+#: Reads with an adapter put in at places that their ids say, some with a wrong base in it.
+ADAPTER = "AGATCGGAAGAGC"
+PLANTED = f"""SELECT read_id, substr(CASE WHEN read_id % 5 = 0 THEN substr(seq, 1, CAST(read_id % 60 AS INT)) || '{ADAPTER}' || substr(seq, 1, 64)
+  WHEN read_id % 5 = 1 THEN substr(seq, 1, CAST(read_id % 50 AS INT)) || 'AGATCTGAAGAGC' || substr(seq, 1, 64) ELSE seq END, 1, 64) AS seq, qual, read_len FROM {{reads}}"""
+SCORES = " + ".join(f"CASE WHEN i + {k} > 64 THEN 0 WHEN substr(seq, CAST(i + {k} AS BIGINT), 1) = '{x}' THEN 602 ELSE -100 * (ascii(substr(qual, CAST(i + {k} AS BIGINT), 1)) - 33) END" for k, x in enumerate(ADAPTER))
+WRONG = " + ".join(f"CASE WHEN i + {k} > 64 OR substr(seq, CAST(i + {k} AS BIGINT), 1) = '{x}' THEN 0 ELSE 1 END" for k, x in enumerate(ADAPTER))
+
+
+@query(
+    "R04_clip_adapters",
+    f"""WITH r AS MATERIALIZED ({PLANTED.format(reads="reads")}), m AS (SELECT read_id, min(i) AS i FROM r, generate_series(1, 64) g(i) WHERE {WRONG} <= 2 AND {SCORES} >= 3000 GROUP BY 1)
+    SELECT read_id, substr(seq, 1, CAST(coalesce(i - 1, 64) AS BIGINT)) AS seq, substr(qual, 1, CAST(coalesce(i - 1, 64) AS BIGINT)) AS qual, CAST(65 - coalesce(i, 65) AS BIGINT) AS clipped FROM r LEFT JOIN m USING (read_id)""",
+    "reads",
+)
+def _(p):
+    some = p.spark.sql(PLANTED, reads=p.reads)
+    return reads.clip_adapters(some, reads.Trimming(adapters=(ADAPTER,))).select("read_id", "seq", "qual", "clipped")
 
 
 KEPT = "mapq >= 20"
@@ -898,11 +912,52 @@ def _(p):
     return reads.split_survivors(p.reads.withColumn("kept", F.expr(KEPT))).select("read_id", "fate")
 
 
-FRAG = f"""f AS (SELECT sample, qname, list_sort(list({{'chrom': chrom, 'e': CASE WHEN strand = '-' THEN start0 + read_len ELSE start0 END, 'strand': strand}})) AS key, sum({QSUM}) AS score FROM reads GROUP BY 1, 2),
+#: CIGAR texts as lists of numbers n and operations op, the bases that they use of the reference and of the read, and the clipped ends.
+OPS = """o AS (SELECT *, list_transform(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 1), lambda x: CAST(x AS BIGINT)) AS n, regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 2) AS op FROM reads),
+al AS (SELECT *, list_transform(range(1, len(n) + 1), lambda i: CASE WHEN op[i] IN ('M', 'D', 'N', '=', 'X') THEN n[i] ELSE 0 END) AS on_ref, list_transform(range(1, len(n) + 1), lambda i: CASE WHEN op[i] IN ('M', 'I', 'S', '=', 'X') THEN n[i] ELSE 0 END) AS on_read,
+  coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '^((?:[0-9]+[SH])+)', 1), '[0-9]+'), lambda x: CAST(x AS BIGINT))), 0) AS lead,
+  coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '((?:[0-9]+[SH])+)$', 1), '[0-9]+'), lambda x: CAST(x AS BIGINT))), 0) AS tail,
+  coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '^((?:[0-9]+[SH])+)', 1), '([0-9]+)S', 1), lambda x: CAST(x AS BIGINT))), 0) AS soft_lead,
+  coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '((?:[0-9]+[SH])+)$', 1), '([0-9]+)S', 1), lambda x: CAST(x AS BIGINT))), 0) AS soft_tail FROM o)"""
+PIECES = """pc AS (SELECT *, n[k] AS len, coalesce(list_sum(on_ref[1:k - 1]), 0) AS r, coalesce(list_sum(on_read[1:k - 1]), 0) AS q FROM (SELECT *, unnest(range(1, len(n) + 1)) AS k FROM al WHERE flag & 1796 = 0) WHERE op[k] IN ('M', '=', 'X'))"""
+SPAN = "cv AS (SELECT sample, chrom, CAST(start0 AS BIGINT) AS start0, CAST(start0 + coalesce(list_sum(on_ref), 0) AS BIGINT) AS end0 FROM al WHERE flag & 1796 = 0 AND coalesce(list_sum(on_ref), 0) > 0)"
+BINS = """b AS (SELECT *, unnest(generate_series(CAST(floor(start0 / 250) AS BIGINT), CAST(floor((end0 - 1) / 250) AS BIGINT))) AS bin FROM cv)
+    SELECT sample, chrom, bin * 250 AS start0, (bin + 1) * 250 AS end0, CAST(sum(least(end0, (bin + 1) * 250) - greatest(start0, bin * 250)) AS BIGINT) AS bases,
+    round(CAST(sum(least(end0, (bin + 1) * 250) - greatest(start0, bin * 250)) AS DOUBLE) / 250, 6) AS coverage FROM b GROUP BY sample, chrom, bin"""
+RUNS = """e AS (SELECT sample, chrom, place, sum(d) AS d FROM (SELECT sample, chrom, start0 AS place, 1 AS d FROM cv UNION ALL SELECT sample, chrom, end0, -1 FROM cv) u GROUP BY 1, 2, 3 HAVING sum(d) <> 0),
+    w AS (SELECT sample, chrom, place AS start0, lead(place) OVER x AS end0, CAST(sum(d) OVER x AS BIGINT) AS depth FROM e WINDOW x AS (PARTITION BY sample, chrom ORDER BY place)) SELECT * FROM w WHERE depth > 0"""
+
+
+@query("A13_coverage_bins", f"WITH {OPS}, {SPAN}, {BINS}", "reads")
+def _(p):
+    return coverage.coverage_bins(p.reads)
+
+
+ALIGNED = "cv AS (SELECT sample, chrom, CAST(start0 + r AS BIGINT) AS start0, CAST(start0 + r + len AS BIGINT) AS end0 FROM pc)"
+
+
+@query("A13b_aligned_bins", f"WITH {OPS}, {PIECES}, {ALIGNED}, {BINS}", "reads")
+def _(p):
+    return coverage.coverage_bins(p.reads, fast=False)
+
+
+@query("A13c_depth_runs", f"WITH {OPS}, {PIECES}, {ALIGNED}, {RUNS}", "reads")
+def _(p):
+    return coverage.depth_runs(p.reads, fast=False, bucket=1 << 12)
+
+
+@query("A13d_bins_of_runs", f"WITH {OPS}, {SPAN}, {BINS}", "reads")
+def _(p):
+    return coverage.binned(coverage.depth_runs(p.reads))
+
+
+USED = "flag & 2308 = 0"
+GOOD = "coalesce(list_sum(list_filter(list_transform(string_split(qual, ''), lambda x: ascii(x) - 33), lambda x: x >= 15)), 0)"
+FRAG = f"""{OPS}, f AS (SELECT sample, qname, list_sort(list({{'chrom': chrom, 'e': CASE WHEN strand = '-' THEN start0 + coalesce(list_sum(on_ref), 0) + tail ELSE start0 - lead END, 'strand': strand}})) AS key, sum({GOOD}) AS score FROM al WHERE {USED} GROUP BY 1, 2),
 d AS (SELECT sample, qname, row_number() OVER (PARTITION BY sample, key ORDER BY score DESC, qname) > 1 AS is_duplicate FROM f)"""
 
 
-@query("R05_mark_duplicates", f"WITH {FRAG} SELECT read_id, is_duplicate FROM reads JOIN d USING (sample, qname)", "reads")
+@query("R05_mark_duplicates", f"WITH {FRAG} SELECT read_id, coalesce(is_duplicate, false) AND {USED} AS is_duplicate FROM reads LEFT JOIN d USING (sample, qname)", "reads")
 def _(p):
     return reads.mark_duplicates(p.reads).select("read_id", "is_duplicate")
 
@@ -914,42 +969,43 @@ def _(p):
 
 def reference_of(p):
     """A made-up reference base for each covered position, from the position alone."""
-    pos = reads.read_bases(p.reads).select("chrom", "pos").distinct()
-    return pos.select("chrom", "pos", F.element_at(F.array(*map(F.lit, "ACGT")), (F.col("pos") % 4 + 1).cast("int")).alias("ref_base"))
+    runs = coverage.depth_runs(p.reads, fast=False)
+    pos = runs.select("chrom", F.explode(F.sequence(F.col("start0") + 1, F.col("end0"))).alias("pos")).distinct()
+    path = sinks.scratch(p.spark, "reference")
+    sinks.write_parquet(pos.select("chrom", "pos", F.element_at(F.array(*map(F.lit, "ACGT")), (F.col("pos") % 4 + 1).cast("int")).alias("ref_base")), path)
+    return p.spark.read.parquet(path)
 
 
-BASES = "bs AS (SELECT sample, chrom, start0 + i AS pos, i AS cycle, substr(seq, CAST(i AS INTEGER), 1) AS base, CASE WHEN i > 1 THEN substr(seq, CAST(i AS INTEGER) - 1, 1) ELSE '^' END AS before, ascii(substr(qual, CAST(i AS INTEGER), 1)) - 33 AS reported FROM reads, generate_series(1, 64) g(i))"
+#: Aligned bases of counted reads; the bases of all reads that aren't clipped.
+BASES = """bs AS (SELECT sample, chrom, start0 + r + j AS pos, q + j - soft_lead AS cycle, substr(seq, CAST(q + j AS BIGINT), 1) AS base, CASE WHEN q + j - 1 > soft_lead THEN substr(seq, CAST(q + j - 1 AS BIGINT), 1) ELSE '^' END AS before,
+  ascii(substr(qual, CAST(q + j AS BIGINT), 1)) - 33 AS reported FROM (SELECT *, unnest(range(1, len + 1)) AS j FROM pc))"""
+TABLE = """n AS (SELECT sample, reported, CAST(cycle AS INTEGER) AS cycle, before || base AS context, count(*) AS observations, CAST(count_if(base <> ['A', 'C', 'G', 'T'][CAST(pos % 4 + 1 AS INTEGER)]) AS BIGINT) AS mismatches FROM bs WHERE base <> 'N' AND pos % 10 <> 0 GROUP BY 1, 2, 3, 4),
+    t AS (SELECT *, round(-10 * log10(CAST(mismatches + 1 AS DOUBLE) / (observations + 2)), 6) AS empirical FROM n)"""
 
 
-@query(
-    "R06_recal_table",
-    f"""WITH {BASES}, n AS (SELECT sample, reported, cycle, before || base AS context, count(*) AS observations, CAST(count_if(base <> ['A', 'C', 'G', 'T'][CAST(pos % 4 + 1 AS INTEGER)]) AS BIGINT) AS mismatches FROM bs WHERE base <> 'N' AND pos % 10 <> 0 GROUP BY 1, 2, 3, 4)
-    SELECT *, round(-10 * log10(CAST(mismatches + 1 AS DOUBLE) / (observations + 2)), 6) AS empirical FROM n""",
-    "reads",
-)
-def _(p):
+@query("R06_recal_table", f"WITH {OPS}, {PIECES}, {BASES}, {TABLE} SELECT * FROM t", "reads")
+def r06(p):
     ref = reference_of(p)
     return reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))
 
 
 @query("R06b_recal_table_whole")
 def _(p):
-    ref = reference_of(p)
-    return reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))
+    return r06(p)
 
 
 @query(
     "R07_apply_recal",
-    f"""WITH {BASES}, n AS (SELECT sample, reported, cycle, before || base AS context, count(*) AS observations, CAST(count_if(base <> ['A', 'C', 'G', 'T'][CAST(pos % 4 + 1 AS INTEGER)]) AS BIGINT) AS mismatches FROM bs WHERE base <> 'N' AND pos % 10 <> 0 GROUP BY 1, 2, 3, 4),
-    t AS (SELECT *, round(-10 * log10(CAST(mismatches + 1 AS DOUBLE) / (observations + 2)), 6) AS empirical FROM n), u AS (SELECT DISTINCT sample, seq, qual FROM reads),
-    ub AS (SELECT sample, seq, qual, i AS cycle, CASE WHEN i > 1 THEN substr(seq, CAST(i AS INTEGER) - 1, 1) ELSE '^' END || substr(seq, CAST(i AS INTEGER), 1) AS context, ascii(substr(qual, CAST(i AS INTEGER), 1)) - 33 AS reported FROM u, generate_series(1, 64) g(i)),
-    m AS (SELECT ub.sample, ub.seq, ub.qual, string_agg(chr(CAST(greatest(2, least(CAST(round(coalesce(empirical, ub.reported)) AS INTEGER), 41)) + 33 AS INTEGER)), '' ORDER BY ub.cycle) AS q
-    FROM ub LEFT JOIN t ON t.sample = ub.sample AND t.reported = ub.reported AND t.cycle = ub.cycle AND t.context = ub.context GROUP BY 1, 2, 3) SELECT read_id, q AS qual FROM reads JOIN m USING (sample, seq, qual)""",
+    f"""WITH {OPS}, {PIECES}, {BASES}, {TABLE},
+    al2 AS (SELECT *, row_number() OVER () AS rid FROM al),
+    ub AS (SELECT rid, read_id, sample, i, i - soft_lead AS cycle, CASE WHEN i - 1 > soft_lead THEN substr(seq, CAST(i - 1 AS BIGINT), 1) ELSE '^' END || substr(seq, CAST(i AS BIGINT), 1) AS context, ascii(substr(qual, CAST(i AS BIGINT), 1)) - 33 AS reported,
+      i > soft_lead AND i <= 64 - soft_tail AS inside FROM al2, generate_series(1, 64) g(i))
+    SELECT min(read_id) AS read_id, string_agg(CASE WHEN inside THEN chr(CAST(greatest(2, least(CAST(round(coalesce(empirical, ub.reported)) AS INTEGER), 41)) + 33 AS INTEGER)) ELSE chr(CAST(ub.reported + 33 AS INTEGER)) END, '' ORDER BY i) AS qual
+    FROM ub LEFT JOIN t ON t.sample = ub.sample AND t.reported = ub.reported AND t.cycle = ub.cycle AND t.context = ub.context GROUP BY rid""",
     "reads",
 )
 def _(p):
-    ref = reference_of(p)
-    return reads.apply_recal(p.reads, reads.recal_table(p.reads, ref, ref.filter("pos % 10 = 0"))).select("read_id", "qual")
+    return reads.apply_recal(p.reads, r06(p)).select("read_id", "qual")
 
 
 @query("R08_downsample", f"SELECT read_id, qname FROM reads WHERE CAST('0x' || substr(md5(qname || '|67'), 1, 7) AS BIGINT) < {int(0.4 * (1 << 28))}", "reads")
@@ -993,7 +1049,18 @@ def _(p):
     return p.samples.select("sample", reads.read_group(F.col("sample")).alias("line"))
 
 
-@query("V02_joint_genotypes")
+@query(
+    "V02_joint_genotypes",
+    f"""WITH RECURSIVE {JOINED}, pl AS MATERIALIZED (SELECT sample, chrom, pos, {", ".join(f"pow(10, -CAST(CASE WHEN dosage = {k} THEN 0 WHEN abs(dosage - {k}) = 1 THEN coalesce(gq, 0) ELSE 2 * coalesce(gq, 0) END AS DOUBLE) / 10) AS l{k}" for k in range(3))} FROM jo),
+    cl AS MATERIALIZED (SELECT chrom, pos, l0, l1, l2, CAST(count(*) AS DOUBLE) AS n FROM pl GROUP BY ALL),
+    em AS (SELECT DISTINCT chrom, pos, 0 AS k, CAST(0.1 AS DOUBLE) AS f FROM cl
+      UNION ALL SELECT em.chrom, em.pos, min(k) + 1, sum(n * (l1 * 2 * f * (1 - f) + 2 * l2 * f * f) / (l0 * (1 - f) * (1 - f) + l1 * 2 * f * (1 - f) + l2 * f * f)) / (2 * sum(n)) FROM em JOIN cl ON em.chrom = cl.chrom AND em.pos = cl.pos WHERE k < 20 GROUP BY 1, 2),
+    fi AS MATERIALIZED (SELECT chrom, pos, f FROM em WHERE k = 20),
+    qu AS (SELECT fi.chrom, fi.pos, round(greatest(0, 10 * (sum(n * log10(l0 * (1 - f) * (1 - f) + l1 * 2 * f * (1 - f) + l2 * f * f)) - sum(n * log10(l0)))), 3) AS qual FROM fi JOIN cl ON fi.chrom = cl.chrom AND fi.pos = cl.pos GROUP BY 1, 2),
+    ca AS (SELECT sample, pl.chrom, pl.pos, f, CASE WHEN a >= b AND a >= c THEN 0 WHEN b >= c THEN 1 ELSE 2 END AS dosage FROM (SELECT sample, pl.chrom, pl.pos, f, l0 * (1 - f) * (1 - f) AS a, l1 * 2 * f * (1 - f) AS b, l2 * f * f AS c FROM pl JOIN fi ON fi.chrom = pl.chrom AND fi.pos = pl.pos) pl)
+    SELECT ca.chrom, ca.pos, qual, round(f, 6) AS af, sample, dosage, CAST(sum(dosage) OVER (PARTITION BY ca.chrom, ca.pos) AS BIGINT) AS ac, 2 * count(*) OVER (PARTITION BY ca.chrom, ca.pos) AS an FROM ca JOIN qu ON ca.chrom = qu.chrom AND ca.pos = qu.pos""",
+    "gvcf",
+)
 def _(p):
     return gvcf.joint_genotypes(gvcf.with_likelihoods(gvcf.combine_gvcfs(p.gvcf)))
 

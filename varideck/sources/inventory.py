@@ -5,7 +5,7 @@ files: dataset, path, suffix ... ; artifacts: sample, suffix, has_index, mtime.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
@@ -143,9 +143,34 @@ def missing_stages(artifacts: DataFrame, required: list[str] | None = None) -> D
     return wanted.join(artifacts.select("sample", "suffix"), ["sample", "suffix"], "left_anti")
 
 
-def stale_partitions(sources: DataFrame, ledger: DataFrame, params: str) -> DataFrame:
-    """partition, reason of what has to be made again: missing, newer source, or other parameters. sources: partition, mtime; ledger:
-    partition, made_at, params."""
+#: The columns that a metrics table of each mode has, and those that only the other one has.
+MODE_MARKS = {"standard": ({"mean_depth", "qd", "mq"}, {"dr2"}), "imputed": ({"af", "dr2", "imp"}, {"mean_depth"})}
+
+
+def fits_mode(columns: Column, mode: str) -> Column:
+    """Whether a partition's columns (array<string>, in any case) are those of a metrics table of this mode."""
+    has, lacks = ([F.lit(x) for x in sorted(marks)] for marks in MODE_MARKS[mode])
+    low = F.transform(columns, F.lower)
+    return (F.size(F.array_except(F.array(*has), low)) == 0) & ~F.arrays_overlap(low, F.array(*lacks))
+
+
+def partition_schemas(spark: SparkSession, path: str, key: str = "chrom") -> DataFrame:
+    """partition, columns of a Parquet table that is partitioned by key, from the footers: one look a partition (a chromosome), so on the
+    driver. No rows where there is no table."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    found = [x.getPath() for x in fs.listStatus(root)] if fs.exists(root) else []
+    rows = [(x.getName().split("=", 1)[1], spark.read.parquet(x.toString()).columns) for x in found if x.getName().startswith(f"{key}=")]
+    return spark.createDataFrame(rows, "partition string, columns array<string>")
+
+
+def stale_partitions(sources: DataFrame, ledger: DataFrame, params: str, schemas: DataFrame | None = None, mode: str = "standard") -> DataFrame:
+    """partition, reason of what has to be made again: missing, newer source, other parameters, or other schema. sources: partition, mtime;
+    ledger: partition, made_at, params; schemas: partition, columns of what there is, which have to fit the mode."""
     joined = sources.join(ledger, "partition", "left")
     reason = F.when(F.col("made_at").isNull(), "missing").when(F.col("mtime") > F.col("made_at"), "newer source").when(F.col("params") != params, "other parameters")
+    if schemas is not None:
+        joined = joined.join(schemas, "partition", "left")
+        reason = reason.when(F.col("columns").isNull(), "missing").when(~fits_mode(F.col("columns"), mode), "other schema")
     return joined.select("partition", reason.alias("reason")).filter("reason is not null")

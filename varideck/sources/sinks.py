@@ -2,26 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shared import scratch  # noqa: F401  (sinks.scratch)
 from ..operators import variants as v
 
 
-def scratch(spark, name: str) -> str:
-    """A path that no other run uses, in the folder that driver and executors share, spark.checkpoint.dir. Only on a single machine may that
-    be unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def write_named_text(df: DataFrame, path: str, name: str = "name", order: str = "ord", line: str = "line") -> None:
     """A text file for each name, its lines in order; one task a file, as its lines have an order."""
     df.repartition(name).sortWithinPartitions(name, order).select(name, F.col(line).alias("value")).write.partitionBy(name).text(f"{path}/_parts")
