@@ -48,7 +48,7 @@ SELECT read_id, 'R' || CAST(frag AS STRING) AS qname, mate, 'S' || lpad(CAST(fra
   CASE WHEN l_returnflag = 'A' THEN '-' ELSE '+' END AS strand, CAST(round(l_discount*600) AS BIGINT) AS mapq,
   translate(md5('s' || CAST(read_id AS STRING)) || md5('t' || CAST(read_id AS STRING)),'0123456789abcdef','ACGTACGTACGTACGN') AS seq,
   translate(md5('q' || CAST(read_id AS STRING)) || md5('r' || CAST(read_id AS STRING)),'0123456789abcdef','#+28:;<=?ABCDEFG') AS qual,
-  CASE WHEN read_id % 7 = 1 THEN '5S59M' WHEN read_id % 11 = 2 THEN '50M8S6H' WHEN read_id % 13 = 3 THEN '30M2D34M' WHEN read_id % 17 = 4 THEN '20M3I41M' WHEN read_id % 19 = 5 THEN '10M700N54M'
+  CASE WHEN read_id % 7 = 1 THEN '5S59M' WHEN read_id % 11 = 2 THEN '50M14S6H' WHEN read_id % 13 = 3 THEN '30M2D34M' WHEN read_id % 17 = 4 THEN '20M3I41M' WHEN read_id % 19 = 5 THEN '10M700N54M'
     WHEN read_id % 23 = 6 THEN '4H3S30=1X24=6S' WHEN read_id % 97 = 0 THEN '*' ELSE '64M' END AS cigar,
   CAST(1 + mate * 64 + CASE WHEN l_returnflag = 'A' THEN 16 ELSE 0 END + CASE WHEN read_id % 97 = 0 THEN 4 ELSE 0 END + CASE WHEN read_id % 89 = 0 THEN 256 ELSE 0 END
     + CASE WHEN read_id % 83 = 0 THEN 512 ELSE 0 END + CASE WHEN read_id % 79 = 0 THEN 1024 ELSE 0 END + CASE WHEN read_id % 73 = 0 THEN 2048 ELSE 0 END AS BIGINT) AS flag
