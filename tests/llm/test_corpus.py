@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from varideck.llm import lsa, minhash, pii, suffixes, toolcalls, topk
+from varideck.llm import lsa, minhash, pii, queries, suffixes, toolcalls, topk
 from varideck.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -447,3 +448,21 @@ def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     assert 0 < out.count() < n
+
+
+def test_the_query_equals_all_windows_of_the_given_documents(spark):
+    """op9 as registered, against every window of 400 bytes."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in queries.op9_suffixes(spark, SF).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=repr)
+    raw = [(text or "").encode() for _, text in rows]
+    seen = Counter(hashlib.blake2b(x[i : i + 400], digest_size=16).digest() for x in raw for i in range(len(x) - 399))
+    want = []
+    for (doc, _), x in zip(rows, raw, strict=True):
+        gone = bytearray(len(x))
+        for i in range(len(x) - 399):
+            if seen[hashlib.blake2b(x[i : i + 400], digest_size=16).digest()] > 1:
+                gone[i : i + 400] = b"\x01" * 400
+        spans = sum(1 for i in range(len(x)) if gone[i] and not (i and gone[i - 1]))
+        want.append((doc, len(x), sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(x, gone, strict=True) if not g)).hexdigest()))
+    assert sum(w[2] > 0 for w in want) > 10
+    assert got == sorted(want, key=repr)
