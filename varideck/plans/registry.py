@@ -486,6 +486,16 @@ def _(p):
     return plots.plot_series(k.genotype_metrics(p.calls), "depth_missingness")
 
 
+@query(
+    "A24c_sampled_series",
+    "WITH r AS (SELECT chrom, pos, qual, row_number() OVER (PARTITION BY chrom ORDER BY md5(chrom || '|' || pos || '|67'), pos) AS r FROM sites WHERE qual BETWEEN 0 AND 100) SELECT chrom, round(CAST(pos AS DOUBLE) / 1e6, 6) AS x, qual AS y FROM r WHERE r <= 25",
+    "sites",
+)
+def _(p):
+    """At most 25 points of each chromosome's quality plot."""
+    return plots.plot_series(plots.sampled_points(p.sites.filter(c.valid_qual(F.col("qual"))), 25), "quality")
+
+
 @query("A25_coverage_series", "SELECT chrom, count(*) AS n_points, min(start0) AS first_start, max(end0) AS last_end FROM coverage_bins GROUP BY 1", "coverage_bins")
 def _(p):
     return plots_series(p)
