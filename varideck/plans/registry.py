@@ -718,7 +718,19 @@ def _(p):
     return kinship.without_duplicates(kinship.king_blocked(p.calls), k.missingness(p.calls, "sample"))
 
 
-@query("G03_remove_relatives")
+#: Each round's edges, both ways, with the degrees of both ends and whether they outrank all their relatives.
+RANKED = """(SELECT *, struct_pack(d := da, n := a) > max(struct_pack(d := db, n := b)) OVER (PARTITION BY k, a) AS out_a, struct_pack(d := db, n := b) > max(struct_pack(d := da, n := a)) OVER (PARTITION BY k, b) AS out_b
+      FROM (SELECT *, count(*) OVER (PARTITION BY k, a) AS da, count(*) OVER (PARTITION BY k, b) AS db FROM rounds) q) z"""
+
+
+@query(
+    "G03_remove_relatives",
+    f"""{KING.replace("WITH s", "WITH RECURSIVE s")}, pairs AS MATERIALIZED (SELECT iid1, iid2 FROM king WHERE kinship >= 0.125),
+    rounds AS (SELECT 0 AS k, iid1 AS a, iid2 AS b FROM pairs UNION ALL SELECT 0, iid2, iid1 FROM pairs),
+    turns AS (SELECT k, a, b FROM rounds UNION ALL SELECT k + 1, a, b FROM {RANKED.replace("FROM rounds", "FROM turns")} WHERE NOT out_a AND NOT out_b)
+    SELECT DISTINCT a AS sample FROM {RANKED.replace("FROM rounds", "FROM turns")} WHERE out_a""",
+    "sites", "samples", "calls",
+)
 def _(p):
     return kinship.remove_relatives(kinship.king_blocked(p.calls), 0.125)
 
