@@ -326,3 +326,24 @@ def test_the_registered_fit_finds_each_kind(spark, sf):
     assert set(all_) == set(pii.KINDS) and all(found[k] >= 0.9 * all_[k] for k in all_), (found, all_)
     assert taken <= 0.02 * sum(all_.values())
     assert added <= len(texts) // 500
+
+
+def test_row_indexes_and_bloom_filters_spare_reads(spark, tmp_path):
+    """Rows that the ORC reader hands over: one stride of many for a key that is there, none for a key between those that are."""
+    df = spark.range(0, 40_000, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    out = str(tmp_path / "orc")
+    token_orc.write_token_orc(df, out, WORD, files=2)
+
+    def scanned(found):
+        n = len(found.collect())
+        return n, found._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().get("numOutputRows").get().value()
+
+    whole = token_orc.read_token_orc(spark, out)
+    assert scanned(whole) == (20_000, 20_000)
+    assert scanned(token_orc.lookup(spark, out, [12_000])) == (1, 1000)
+    assert scanned(token_orc.lookup(spark, out, [999_999])) == (0, 0)  # beyond all rows: the row index tells
+    absent = [scanned(token_orc.lookup(spark, out, [k])) for k in range(12_001, 12_041, 2)]
+    assert all(n == 0 for n, _ in absent) and sum(rows > 0 for _, rows in absent) <= 3  # between rows: only the filter can tell, but for 1 in 100
+    plain = str(tmp_path / "plain")
+    whole.write.option("orc.row.index.stride", "1000").orc(plain)
+    assert scanned(spark.read.schema(whole.schema).orc(plain).filter("doc_id = 12001"))[1] >= 1000
