@@ -60,7 +60,7 @@ def test_page_without_article_is_cut_by_words():
     (None, ""), ("", ""), ("   ", ""), ("<article></article>", ""), ("<article>a<!-- b", "a"), ("<article>a<!-->b<!--->c", "abc"), ("<article>x<script>var t='</p>';</script>y<script>z", "xy"),
     ("<article><p>a &lt; b &amp;amp; c &#8364; &#x41; &nosuch; &am</p>", "a < b &amp; c € A &nosuch; &am"), ("<article>1 < 2 </> 3 <? x ?> 4", "1 < 2 3 4"), ('<article><a title="a > b">link</a> tail', "link tail"),
     ('<article><p title="open>in</p>out', "in\nout"), ("<ARTICLE><P>Up<BR/>per</P></ARTICLE>", "Up per"), ("<article>a<b>b</b>c <i> d</i>\n\n e</article>", "abc d e"), ("<article><p>a<p", "a"),
-    ("<article><table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"), ("<article><p>é ü&nbsp;x</p>", "é ü x"), ("<head><title>no</title><meta x><article>yes", "yes"), ("<article><style>s</style><noscript>n</noscript><template>t</template><p hidden>h</p>k", "k"),
+    ("<article><table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"), ("<article><ul><li>a<div>b<li>c<ul><li>d</ul>e</ul><dl><dt>f<dd>g<dt>h", "a\nb\nc\nd\ne\nf\ng\nh"), ("<article><p>é ü&nbsp;x</p>", "é ü x"), ("<head><title>no</title><meta x><article>yes", "yes"), ("<article><style>s</style><noscript>n</noscript><template>t</template><p hidden>h</p>k", "k"),
 ])
 def test_reader(page, text):
     assert extract.main_text(page) == text
@@ -68,6 +68,9 @@ def test_reader(page, text):
 
 def test_long_and_deep_pages_take_time_in_proportion():
     assert extract.main_text("<article>" + "<div>" * 50_000 + "deep" + "</div>" * 50_000) == "deep"
+    assert extract.main_text("<article>" + "<div>" * 30_000 + "<li>x</li>" * 30_000) == "\n".join(["x"] * 30_000)
+    for odd in ("<" * 200_000, "<a " * 100_000, "<a x=\"" * 50_001, "<!--" * 100_000, "</" * 100_000, "&" * 200_000):
+        assert isinstance(extract.main_text("<article>" + odd), str)
     many = "<article>" + "<p>word.</p>" * 30_000
     assert extract.main_text(many) == "\n".join(["word."] * 30_000)
     mixed = "".join(f"<div><p>{BODY}</p></div><div><a href={i}>x</a></div>" for i in range(3000))

@@ -71,7 +71,7 @@ FRAME = 0.8
 @dataclass
 class Container:
     """An open element, and what it and the elements around it say of their text: bad whatever is inside; word and layout by names that the
-    element has itself (own_word, own_layout) or one around it."""
+    element has itself (own_word, own_layout) or one around it. firm is the nearest container, itself included, that isn't LOOSE."""
 
     tag: str
     number: int
@@ -88,6 +88,7 @@ class Container:
     holds: bool = False
     size: int = 0
     region: int = 0
+    firm: Container | None = None
 
 
 @dataclass
@@ -144,6 +145,7 @@ def settle(page: Page) -> None:
 def read_page(html: str) -> Page:
     """The blocks of a page in their order."""
     page, top = Page(), Container("", 0)
+    top.firm = top
     page.containers.append(top)
     opened: dict[str, int] = {}
     parts: list[str] = []
@@ -209,11 +211,7 @@ def read_page(html: str) -> Page:
             close()
         if tag in CLOSES:
             kinds = CLOSES[tag]
-            while (x := top).parent is not None:
-                while x.parent is not None and x.tag in LOOSE:
-                    x = x.parent
-                if x.tag not in kinds:
-                    break
+            while (x := top.firm).tag in kinds:
                 while top is not x:
                     close()
                 close()
@@ -226,6 +224,7 @@ def read_page(html: str) -> Page:
         made = Container(tag, len(page.containers), top, top.bad or bad, top.header or header, top.article, top.main, top.named or content, word and not inside, layout and not inside)
         made.article |= article and not made.bad
         made.main |= main and not made.bad
+        made.firm = top.firm if tag in LOOSE else made
         page.containers.append(made)
         if made.article > top.article or made.main > top.main:
             x = top
