@@ -189,6 +189,25 @@ def test_components_equal_those_of_the_whole_matrix(spark, monkeypatch, sites, s
     assert all(abs(weights[c_, pos, i + 1] - z[c_, pos, key] @ u[:, i] / np.sqrt(values[i])) < 1e-5 for c_, pos, key in list(z)[:40] for i in range(few))
 
 
+@pytest.mark.parametrize(("sites", "samples"), [(90, 130), (60, 200), (40, 20)])
+def test_all_components_of_several_blocks(spark, sites, samples):
+    """Blocks of 64 columns: an even and an odd count of them, one alone, and fewer sites than samples."""
+    rng = np.random.default_rng(sites)
+    group = rng.integers(0, 4, samples)
+    rows = [("Chr01", i, i, f"s{j:03d}", None if rng.random() < 0.05 else int(rng.binomial(2, p[group[j]]))) for i in range(sites) for p in [rng.random(4)] for j in range(samples)]
+    values, _, z = plain_pca(rows, [f"s{j:03d}" for j in range(samples)])
+    m = np.array(list(z.values()))
+    m = m.T @ m / max(1, (m != 0).any(1).sum())
+    found = pca.all_components(spark.createDataFrame(rows, CALLS), numbers=64 * samples)
+    blocks = found.blocks.orderBy("j").collect()
+    assert len(blocks) == -(-samples // 64)
+    v = np.concatenate([np.frombuffer(r.v).reshape(-1, r.cols) for r in blocks], 1)
+    e = np.concatenate([r.e for r in blocks])
+    assert np.allclose(np.sort(e)[::-1], values, atol=1e-9) and np.allclose(m @ v, v * e, atol=1e-7) and np.allclose(v.T @ v, np.eye(samples), atol=1e-12)
+    sums = pca.inner_products(found).agg(F.sum("lengths"), F.sum("products")).first()
+    assert abs(sums[0] - samples) < 1e-9 and sums[1] < 1e-8
+
+
 def test_blocks_equal_pairs(spark, p):
     want = sorted(kinship.king_table(p.calls).collect())
     assert sorted(kinship.king_blocked(p.calls, block=3, sites=20).collect()) == want
