@@ -471,6 +471,25 @@ def test_fastq_of_several_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_named_text_in_pieces(spark, tmp_path):
+    """A name of many lines is several files, each a piece of its order; what is read back is what was written, in its order."""
+    from varideck.sources import sinks
+
+    rows = [("a_1.fastq", i * i, f"@a{i}\nACGT\n+\n@II{i % 10}") for i in range(100)] + [("b_1.fastq", 5, "@b\nAC\n+\nII"), ("b_1.fastq", 5, "@c\nAC\n+\nII")]
+    sinks.write_named_text(spark.createDataFrame(rows, "name string, ord bigint, line string"), str(tmp_path / "w"), most=20)
+    files = sorted(f for f in (tmp_path / "w").iterdir() if "fastq" in f.name and not f.name.startswith("."))
+    assert [f.name for f in files if f.name[0] == "a"] == [f"a_1.fastq.{k:05d}" for k in range(5)] and files[-1].name == "b_1.fastq"
+    assert "".join(f.read_text() for f in files[:-1]) == "".join(x + "\n" for _, _, x in rows[:100])
+    for size in ("300", "128m"):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found = sorted(tuple(r)[:5] for r in vcf.read_fastq(spark, str(tmp_path / "w")).collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert found == sorted([("a", f"a{i}", 1, "ACGT", f"@II{i % 10}") for i in range(100)] + [("b", x, 1, "AC", "II") for x in "bc"])
+
+
 def test_schema_of_partitions(spark, tmp_path):
     path = str(tmp_path / "m")
     assert inventory.partition_schemas(spark, path).count() == 0
