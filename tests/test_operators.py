@@ -490,6 +490,15 @@ def test_named_text_in_pieces(spark, tmp_path):
         assert found == sorted([("a", f"a{i}", 1, "ACGT", f"@II{i % 10}") for i in range(100)] + [("b", x, 1, "AC", "II") for x in "bc"])
 
 
+def test_depth_runs_meet_over_borders(spark):
+    """Runs go on over the borders of buckets, also over whole ones, and nothing is joined to know a bucket's depth."""
+    rows = [("a", "c", s, f"{n}M", 0) for s, n in ((0, 100), (0, 32), (32, 32), (64, 1), (100, 28), (130, 0), (200, 5))] + [(None, "c", 5, "3M", 0)]
+    found = coverage.depth_runs(spark.createDataFrame(rows, "sample string, chrom string, start0 bigint, cigar string, flag int"), False, bucket=32)
+    assert sorted(map(tuple, found.filter("sample = 'a'").collect())) == [("a", "c", 0, 65, 2), ("a", "c", 65, 128, 1), ("a", "c", 200, 205, 1)]
+    assert [tuple(r) for r in found.filter("sample is null").collect()] == [(None, "c", 5, 8, 1)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_schema_of_partitions(spark, tmp_path):
     path = str(tmp_path / "m")
     assert inventory.partition_schemas(spark, path).count() == 0
