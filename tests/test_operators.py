@@ -499,6 +499,18 @@ def test_depth_runs_meet_over_borders(spark):
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_known_sites_are_holes_of_packed_stretches(spark, p):
+    packed = spark.createDataFrame([("a", 0, "ACGTACGTAC" * 7), ("a", 3, "ACGTACGTAC" * 7), ("b", 0, "AC")], "chrom string, block bigint, bases string")
+    known = spark.createDataFrame([("a", 1), ("a", 1), ("a", 66), ("a", 70), ("a", 214), ("b", 3), ("c", 1)], "chrom string, pos bigint")
+    got = {(r.chrom, r.block): r.bases for r in reads.masked(packed, known, 70).collect()}
+    whole = "ACGTACGTAC" * 7
+    assert got == {("a", 0): "." + whole[1:65] + "." + whole[66:69] + ".", ("a", 3): whole[:3] + "." + whole[4:], ("b", 0): "AC"}
+    from varideck.plans import registry
+
+    # The queries' reference is a row a stretch, not a row a base.
+    assert registry.reference_of(p).columns == ["chrom", "block", "bases"]
+
+
 def test_schema_of_partitions(spark, tmp_path):
     path = str(tmp_path / "m")
     assert inventory.partition_schemas(spark, path).count() == 0
