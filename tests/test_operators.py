@@ -511,6 +511,32 @@ def test_known_sites_are_holes_of_packed_stretches(spark, p):
     assert registry.reference_of(p).columns == ["chrom", "block", "bases"]
 
 
+def test_adapters_by_the_plain_rule(spark):
+    """Reads of several lengths, adapters longer than the seed, qualities below the least letter: as a loop over places and bases finds them."""
+    rng = np.random.default_rng(8)
+    t = reads.Trimming(adapters=(reads.PAIRED_ADAPTERS[0], "AGATC"), score=2.0)
+    for low in (33, 20):
+        n = rng.integers(0, 50, 200)
+        seq, qual = rng.choice(np.frombuffer(b"ACGTN", np.uint8), (200, 50)), rng.integers(low, 75, (200, 50)).astype(np.uint8)
+        for i in range(0, 200, 2):
+            a = np.frombuffer(t.adapters[0].encode(), np.uint8)[: 50 - i // 4]
+            seq[i, i // 4 : i // 4 + len(a)] = a
+        want = []
+        for s, q, size in zip(seq, qual, n, strict=True):
+            starts = [size]
+            for adapter in map(str.encode, t.adapters):
+                for i in range(size):
+                    both = [(s[i + k] == x, int(q[i + k]) - 33) for k, x in enumerate(adapter) if i + k < size]
+                    if sum(not f for f, _ in both[: t.seed]) <= t.mismatches and sum(602 if f else -100 * c for f, c in both) >= 2000:
+                        starts.append(i)
+            want.append(min(starts))
+        inside = np.arange(50) < n[:, None]
+        assert reads.adapter_starts(np.where(inside, seq, 0).astype(np.uint8), np.where(inside, qual, 33).astype(np.uint8), n, t).tolist() == want
+    uneven = spark.createDataFrame([("ACGT", "III", 4), ("ACGT", "IIII", 4)], "seq string, qual string, read_len bigint")
+    with pytest.raises(Exception, match="another number of qualities"):
+        reads.clip_adapters(uneven, t).collect()
+
+
 def test_schema_of_partitions(spark, tmp_path):
     path = str(tmp_path / "m")
     assert inventory.partition_schemas(spark, path).count() == 0
