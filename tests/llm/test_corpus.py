@@ -466,3 +466,22 @@ def test_the_query_equals_all_windows_of_the_given_documents(spark):
         want.append((doc, len(x), sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(x, gone, strict=True) if not g)).hexdigest()))
     assert sum(w[2] > 0 for w in want) > 10
     assert got == sorted(want, key=repr)
+
+
+def test_planted_passages_go_by_their_bytes(spark, tmp_path):
+    """op9 as registered, on passages of over 50 words in two documents each: from 400 bytes on both lose them whole, below neither
+    loses a byte, nor do documents without one; n_bytes is the input's length in all of them."""
+    rnd = random.Random(12)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnopqrsé") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    docs, least = [], {}
+    for i in range(0, 120, 3):
+        passage = f" {prose(rnd.randint(51, 75))} "
+        docs += [(i, prose(30) + passage + prose(20)), (i + 1, prose(9) + passage + prose(40)), (i + 2, prose(120))]
+        if (size := len(passage.encode())) >= 400:
+            least |= {i: size, i + 1: size}
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op9_suffixes(spark, str(tmp_path)).collect()}
+    assert 20 < len(least) < 70
+    assert {k for k, r in got.items() if r.n_removed} == set(least)
+    assert all(got[k].n_removed >= size and got[k].n_spans == 1 for k, size in least.items())
+    assert {k: r.n_bytes for k, r in got.items()} == {k: len(t.encode()) for k, t in docs}
