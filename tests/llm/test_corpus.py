@@ -140,6 +140,14 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_top_k_sends_no_blocks_through_the_driver(spark, monkeypatch):
+    plans, plain = {}, topk.stored
+    monkeypatch.setattr(topk, "stored", lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or plain(df, name))
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(40)], "vec_id bigint, embedding array<double>")
+    assert topk.top_k(df, F.col("id") % 20 == 0, k=3).count() == 6
+    assert "SortMergeJoin" in plans["best-of-blocks"] and "Broadcast" not in plans["best-of-blocks"]
+
+
 def brute_repeats(docs, length):
     raw = [(t or "").encode() for _, t in docs]
     seen = {}

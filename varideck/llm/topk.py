@@ -128,7 +128,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec
     every = lambda side: F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
     asked = asked.select("dim", place(rows).alias("_row"), every(columns).alias("_column"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
     blocks = blocks.select("dim", place(columns).alias("_column"), every(rows).alias("_row"), "ids", "data")
-    pairs = asked.join(blocks, ["dim", "_row", "_column"]).select("dim", "q_ids", "q_data", "ids", "data")
+    # Blocks are a row of megabytes and many cells' copies of their file, whose size says little: neither side may go through the driver.
+    pairs = asked.hint("merge").join(blocks, ["dim", "_row", "_column"]).select("dim", "q_ids", "q_data", "ids", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
