@@ -81,6 +81,15 @@ def test_equals_plain_version(spark):
     assert aligned(spark, df.limit(0)) == []
 
 
+def test_blocks_of_a_task_are_not_held_at_once(spark, monkeypatch):
+    monkeypatch.setattr(align, "BLOCK", 40)
+    df = spark.createDataFrame(ROWS, "doc_id bigint, text string").coalesce(1)
+    found = align.align(df, A, B)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "collect_list" not in plan and "ObjectHashAggregate" not in plan
+    assert sorted(map(tuple, found.drop("n_overlaps").collect()), key=repr) == plain(ROWS)
+
+
 def test_given_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["doc_id", "text"]).to_pylist()]
     assert aligned(spark, spark.createDataFrame(rows, "doc_id bigint, text string")) == plain(rows)

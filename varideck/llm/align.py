@@ -234,9 +234,31 @@ def align_block(texts: list[str | None], one: Side, two: Side, piece: int = PIEC
 FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")
 
 
+#: What a block keeps for its documents' last figures: an Arrow stream of these, each a list.
+LISTS = (*FIGURES, "sizes", "slot", "links")
+
+
+def sealed(ids: pa.Array, made: dict[str, np.ndarray | list]) -> bytes:
+    """ids, LISTS and the hashes of a block as one compressed stream; slots as steps, which are small."""
+    whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+    arrays = {x: made[x] for x in LISTS} | {"slot": np.diff(made["slot"], prepend=0)}
+    columns = [whole(ids), *[whole(pa.array(arrays[x], pa.int64() if x in FIGURES else pa.int32())) for x in LISTS], whole(pa.array(made["groups_sha256"], pa.string()))]
+    rows = pa.RecordBatch.from_arrays(columns, ["ids", *LISTS, "groups_sha256"])
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def opened(payload: bytes) -> tuple[pa.Array, dict[str, np.ndarray], pa.Array]:
+    """What sealed() put together."""
+    ids, *lists, hashes = (c.flatten() for c in pa.ipc.open_stream(payload).read_next_batch().columns)
+    arrays = {x: y.to_numpy() for x, y in zip(LISTS, lists, strict=True)}
+    return ids, arrays | {"slot": np.cumsum(arrays["slot"], dtype=np.int64)}, hashes
+
+
 def aligned_blocks(docs: DataFrame, byte_path: str, piece_path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """A row a block: block, ids, the figures of its documents as arrays, and the arrays of align_block."""
-    lists = [*FIGURES, "keys", "holders", "sizes", "slot", "links"]
+    """A row a block: block, keys and holders of align_block, and payload, the rest of it as sealed()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = sides(byte_path, piece_path)
@@ -245,13 +267,11 @@ def aligned_blocks(docs: DataFrame, byte_path: str, piece_path: str, text: str =
             texts = batch.column(1).to_pylist()
             for i, j in bpe.text_groups(texts, BLOCK):
                 made = align_block(texts[i:j], one, two)
-                whole = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x if isinstance(x, pa.Array) else pa.array(x, kind))
-                columns = [pa.array([number], pa.int64()), whole(batch.column(0).slice(i, j - i), None), *[whole(made[x], pa.int64() if x in FIGURES else pa.int32()) for x in lists], whole(made["groups_sha256"], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "ids", *lists, "groups_sha256"])
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(made[x])], pa.int32()), pa.array(made[x], pa.int32())) for x in ("keys", "holders")]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists, pa.array([sealed(batch.column(0).slice(i, j - i), made)], pa.binary())], ["block", "keys", "holders", "payload"])
                 number += 1
 
-    schema = f"block bigint, ids array<{docs.schema[key].dataType.simpleString()}>, " + ", ".join(f"{x} array<{'bigint' if x in FIGURES else 'int'}>" for x in lists) + ", groups_sha256 array<string>"
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(run, "block bigint, keys array<int>, holders array<int>, payload binary")
 
 
 def pair_counts(blocks: DataFrame, width: int) -> DataFrame:
@@ -270,20 +290,40 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, text: str = "text",
     width = sentencepiece.SentencePieceProcessor(model_file=piece_path).get_piece_size()
     blocks = stored(aligned_blocks(docs, byte_path, piece_path, text, key), "aligned-blocks")
     counts = stored(pair_counts(blocks, width), "pair-counts")
+    # A block's payload and the counts of its pairs come as rows side by side and are put together one block at a time: gathered as lists
+    # in the executors, the blocks of a task would be held at once.
     held = blocks.select("block", F.posexplode("keys").alias("place", "key")).join(counts, "key")
-    back = held.groupBy("block").agg(F.collect_list(F.struct("place", "count", "best")).alias("counts"))
+    held = held.select("block", "place", (F.col("count") * 2 + F.col("best").cast("bigint")).alias("count"), F.lit(None).cast("binary").alias("payload"))
+    rows = held.unionByName(blocks.select("block", F.lit(-1).alias("place"), F.lit(0).cast("bigint").alias("count"), "payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, found, payload = None, [], None
+
+        def block() -> pa.RecordBatch:
+            ids, arrays, hashes = opened(payload)
+            place, count = (np.concatenate(x) for x in zip(*found, strict=True))
+            # The payload's own row has the place -1, which is the last.
+            table = np.zeros(place.max() + 2, np.int64)
+            table[place] = count
+            at = np.r_[0, np.cumsum(arrays["sizes"])]
+            sums = [np.diff(np.r_[0, np.cumsum(x[arrays["slot"]] * arrays["links"])][at]) for x in (table & 1, table >> 1)]
+            return pa.RecordBatch.from_arrays([ids, *[pa.array(arrays[x]) for x in FIGURES], *map(pa.array, sums), hashes], [key, *FIGURES, "n_best", "count_sum", "groups_sha256"])
+
         for batch in batches:
-            for row in range(batch.num_rows):
-                ids, *lists = (c.slice(row, 1).flatten() for c in batch.columns)
-                figures, hashes, (sizes, slot, links) = lists[:5], lists[5], (x.to_numpy() for x in lists[6:9])
-                place, count, best = (x.to_numpy(zero_copy_only=False) for x in lists[9].flatten())
-                table = np.zeros((2, len(place)), np.int64)
-                table[0, place], table[1, place] = count, best
-                at = np.r_[0, np.cumsum(sizes)]
-                sums = [np.diff(np.r_[0, np.cumsum(x[slot] * links)][at]) for x in table]
-                yield pa.RecordBatch.from_arrays([ids, *figures, pa.array(sums[1]), pa.array(sums[0]), hashes], [key, *FIGURES, "n_best", "count_sum", "groups_sha256"])
-
-    joined = blocks.join(back, "block", "left").select("ids", *FIGURES, "groups_sha256", "sizes", "slot", "links", F.coalesce("counts", F.array().cast("array<struct<place:int,count:bigint,best:boolean>>")).alias("counts"))
-    return joined.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{x} bigint" for x in (*FIGURES, "n_best", "count_sum")) + ", groups_sha256 string")
+            numbers, places, values = (batch.column(i).to_numpy() for i in range(3))
+            cuts = np.r_[0, np.flatnonzero(np.diff(numbers)) + 1, len(numbers)]
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if i == j:
+                    continue
+                if numbers[i] != now:
+                    if now is not None:
+                        yield block()
+                    now, found = numbers[i], []
+                found.append((places[i:j].copy(), values[i:j].copy()))
+                if len(own := i + np.flatnonzero(places[i:j] < 0)):
+                    payload = batch.column(3)[int(own[0])].as_py()
+        if now is not None:
+            yield block()
+
+    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{x} bigint" for x in (*FIGURES, "n_best", "count_sum")) + ", groups_sha256 string"
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, schema)
